@@ -1,4 +1,4 @@
-"""Column profiles. Numeric profiles work on value counts, so each scans the profiled columns once.
+"""Column profiles: a few narrow scans each, with aggregates that combine on the map side.
 
 Definitions: sample standard deviation; discrete quantiles; equal-width histogram bins between minimum and maximum;
 outliers beyond 1.5 interquartile ranges; Gaussian kernel density with Silverman's bandwidth
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.numeric import rounded, share_pct
-from tripmart.operators.quantiles import Target, order_statistics, value_counts
+from tripmart.operators.quantiles import Target, long_values, order_statistics
 
 FENCE = 1.5
 
@@ -39,10 +39,10 @@ def missing_matrix(df: DataFrame, block: Column, columns: list[str]) -> DataFram
     )
 
 
-def _quartiles(counts: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
+def _quantiles(values: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
     """``measure`` and one column per probability. At most one row per profiled column."""
     targets = [Target(f"{c}/{name}", c, p) for c in columns for name, p in probabilities.items()]
-    found = order_statistics(counts, targets).withColumn("_which", F.substring_index("target", "/", -1))
+    found = order_statistics(values, targets).withColumn("_which", F.substring_index("target", "/", -1))
     return found.groupBy("measure").agg(
         *[F.max(F.when(F.col("_which") == name, F.col("value"))).alias(name) for name in probabilities]
     )
@@ -64,42 +64,35 @@ def numeric_stats(df: DataFrame, columns: list[str]) -> DataFrame:
             for c in columns
         ]
     ).select(F.inline(F.array(*columns)))
-    medians = _quartiles(value_counts(df, columns), columns, {"median": 0.5})
+    medians = _quantiles(long_values(df, columns), columns, {"median": 0.5})
     return moments.join(F.broadcast(medians), F.col("column_name") == F.col("measure"), "left").select(
         "column_name", "n", *[rounded(F.col(c)).alias(c) for c in ("mean", "median", "std", "min", "max")]
     )
 
 
-def _binned(counts: DataFrame, bins: int) -> DataFrame:
-    """``measure, bin, n`` plus the range and mean of the measure; the ranges are one row per profiled column."""
-    ranges = counts.groupBy("measure").agg(
+def _binned(values: DataFrame, bins: int) -> DataFrame:
+    """``measure, bin, n`` plus the range and size of the measure; the ranges are one row per profiled column."""
+    ranges = values.groupBy("measure").agg(
         F.min("value").alias("low"),
         F.max("value").alias("high"),
-        F.sum("n").alias("total"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.count(F.lit(1)).alias("total"),
+        F.stddev_samp("value").alias("std"),
     )
     share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
     number = F.when(
         F.col("high") > F.col("low"), F.least(F.floor(share * F.lit(float(bins))) + 1, F.lit(bins))
     ).otherwise(F.lit(1))
-    off = F.col("value") - F.col("mean")
     return (
-        counts.join(F.broadcast(ranges), "measure")
+        values.join(F.broadcast(ranges), "measure")
         .groupBy("measure", number.cast("int").alias("bin"))
-        .agg(
-            F.sum("n").alias("n"),
-            F.first("low").alias("low"),
-            F.first("high").alias("high"),
-            F.first("total").alias("total"),
-            F.sum(F.col("n") * off * off).alias("squares"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("low", "high", "total", "std")])
     )
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     """Equal-width bins per column; empty bins are left out."""
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    return _binned(value_counts(df, columns), bins).select(
+    return _binned(long_values(df, columns), bins).select(
         F.col("measure").alias("column_name"),
         "bin",
         rounded(F.col("low") + width * (F.col("bin") - 1), 6).alias("low_edge"),
@@ -113,22 +106,19 @@ def kernel_density(df: DataFrame, columns: list[str], bins: int = 64) -> DataFra
 
     The kernel sum runs over the at most ``bins`` histogram bins of its column, held in one array per column.
     """
-    counts = value_counts(df, columns)
-    spread = _quartiles(counts, columns, {"q1": 0.25, "q3": 0.75}).withColumn("iqr", F.col("q3") - F.col("q1"))
+    values = long_values(df, columns)
+    spread = _quantiles(values, columns, {"q1": 0.25, "q3": 0.75}).withColumn("iqr", F.col("q3") - F.col("q1"))
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
 
     def centre(number: Column) -> Column:
         return F.col("low") + width * (number - F.lit(0.5))
 
     per_column = (
-        _binned(counts, bins)
+        _binned(values, bins)
         .groupBy("measure")
         .agg(
             F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"),
-            F.first("low").alias("low"),
-            F.first("high").alias("high"),
-            F.first("total").alias("total"),
-            F.sqrt(F.sum("squares") / F.nullif(F.first("total") - 1, F.lit(0))).alias("std"),
+            *[F.first(c).alias(c) for c in ("low", "high", "total", "std")],
         )
         .join(F.broadcast(spread), "measure")
         .withColumn(
@@ -154,23 +144,23 @@ def kernel_density(df: DataFrame, columns: list[str], bins: int = 64) -> DataFra
 
 def outliers(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values outside the interquartile fences, per column."""
-    counts = value_counts(df, columns)
-    fences = _quartiles(counts, columns, {"q1": 0.25, "q3": 0.75}).select(
+    values = long_values(df, columns)
+    fences = _quantiles(values, columns, {"q1": 0.25, "q3": 0.75}).select(
         "measure",
         "q1",
         "q3",
         (F.col("q1") - F.lit(FENCE) * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
         (F.col("q3") + F.lit(FENCE) * (F.col("q3") - F.col("q1"))).alias("upper_fence"),
     )
-    value, n, nothing = F.col("value"), F.col("n"), F.lit(0).cast("bigint")
+    value = F.col("value")
     counted = (
-        counts.join(F.broadcast(fences), "measure")
+        values.join(F.broadcast(fences), "measure")
         .groupBy("measure")
         .agg(
             *[F.first(c).alias(c) for c in ("q1", "q3", "lower_fence", "upper_fence")],
-            F.sum(F.when(value < F.col("lower_fence"), n).otherwise(nothing)).alias("below"),
-            F.sum(F.when(value > F.col("upper_fence"), n).otherwise(nothing)).alias("above"),
-            F.sum(n).alias("total"),
+            F.count_if(value < F.col("lower_fence")).alias("below"),
+            F.count_if(value > F.col("upper_fence")).alias("above"),
+            F.count(F.lit(1)).alias("total"),
         )
     )
     return counted.select(

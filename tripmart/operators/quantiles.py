@@ -2,16 +2,16 @@
 
 Exact path
 ----------
-``percentile_disc`` keeps every distinct value of a column in one aggregation buffer. Here the column is first reduced
-to *value counts* (hash aggregate with map-side combine, so a hot value costs one row per map task), and the wanted
-order statistics are located by narrowing:
+``percentile_disc`` keeps every distinct value of a column in one aggregation buffer, and a global sort moves every
+row. Here the wanted order statistics are located by narrowing:
 
-1. counts per coarse bucket (monotone, logarithmic; bounded number of buckets) -> the bucket holding each rank;
-2. inside that bucket, counts per equal-width cell                              -> the cell holding each rank;
-3. inside that cell, a running count over the remaining distinct values         -> the value.
+1. one narrow scan counts rows per coarse bucket (monotone, logarithmic, 0.2 % wide) -> the bucket of each rank;
+2. a second one counts the distinct values of the chosen buckets only, a small share of the rows;
+3. inside a bucket, counts per equal-width cell lead to the cell of the rank, and a running count to the value.
 
-Every frame that reaches one task or a broadcast is bounded by the number of buckets, cells or targets, not by the
-number of rows. The value-count exchange is computed once and reused by the three steps.
+All counting combines on the map side, so a hot value costs one row per task. What reaches a single task or a
+broadcast is bounded by the number of buckets, cells or targets, never by the number of rows. The scans read only the
+columns asked for; give a stored table rather than an expensive plan.
 
 Approximate path
 ----------------
@@ -44,14 +44,11 @@ class Target:
     skip_negatives: bool = False
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(measure, value, n)`` for several numeric columns in one scan; nulls and NaN are left out."""
+def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(measure, value)``: several numeric columns under each other; nulls and NaN are left out."""
     doubles = df.select(*[F.col(c).try_cast("double").alias(c) for c in columns])
-    return (
-        doubles.unpivot([], list(columns), "measure", "value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("measure", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    return doubles.unpivot([], list(columns), "measure", "value").where(
+        F.col("value").isNotNull() & ~F.isnan("value")
     )
 
 
@@ -87,8 +84,19 @@ def _wanted(targets: list[Target]) -> Column:
     )
 
 
-def order_statistics(counts: DataFrame, targets: list[Target]) -> DataFrame:
-    """``(target, measure, value, total, negatives)``: one row per target whose column has any value."""
+def coarse_counts(values: DataFrame) -> DataFrame:
+    """Per measure and coarse bucket: rows, negatives, smallest and largest value. A few thousand rows per measure."""
+    value = F.col("value")
+    return values.groupBy("measure", _coarse_bucket(value).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(value < 0).alias("negatives"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+    )
+
+
+def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
+    """``(target, measure, value)``: one row per target whose measure has any value."""
     names = [t.name for t in targets]
     if len(set(names)) != len(names):
         raise ValueError(f"target names must be distinct: {names}")
@@ -96,64 +104,56 @@ def order_statistics(counts: DataFrame, targets: list[Target]) -> DataFrame:
         if not 0.0 <= t.probability <= 1.0:
             raise ValueError(f"probability out of [0, 1]: {t}")
 
-    # step 1: coarse buckets; at most a few hundred thousand rows per column however large the input
-    buckets = counts.groupBy("measure", _coarse_bucket(F.col("value")).alias("bucket")).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("value") < 0, F.col("n")).otherwise(F.lit(0))).alias("negatives"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-    )
+    # step 1: the coarse bucket of every wanted rank
     whole = Window.partitionBy("measure")
     upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = F.filter(_wanted(targets), lambda t: t["of"] == F.col("measure"))
+    first_rank = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("p") * F.col("_total")).cast("bigint"))
     ranked = (
-        buckets.withColumns(
+        coarse_counts(values)
+        .withColumns(
             {
                 "_upto": F.sum("n").over(upto),
-                "total": F.sum("n").over(whole),
-                "negatives": F.sum("negatives").over(whole),
+                "_total": F.sum("n").over(whole),
+                "_negatives": F.sum("negatives").over(whole),
             }
         )
         .select("*", F.inline(wanted))
         .withColumn(
             "rank",
             F.least(
-                F.col("total"),
-                F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("p") * F.col("total")).cast("bigint"))
-                + F.when(F.col("skip_negatives"), F.col("negatives")).otherwise(F.lit(0)),
+                F.col("_total"),
+                first_rank + F.when(F.col("skip_negatives"), F.col("_negatives")).otherwise(F.lit(0)),
             ),
         )
     )
-    bucket_of_target = ranked.where(
-        (F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))
-    ).select(
-        "target",
-        "measure",
-        "bucket",
-        "low",
-        "high",
-        "total",
-        "negatives",
-        (F.col("rank") - (F.col("_upto") - F.col("n"))).alias("rank"),
+    before = F.col("_upto") - F.col("n")
+    buckets = ranked.where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > before)).select(
+        "target", "measure", "bucket", "low", "high", (F.col("rank") - before).alias("rank")
     )
 
-    # step 2: equal-width cells of the chosen buckets. One row per target is broadcast.
-    keyed = counts.withColumn("bucket", _coarse_bucket(F.col("value")))
-    in_bucket = keyed.join(F.broadcast(bucket_of_target), ["measure", "bucket"]).withColumn(
-        "cell", _fine_cell(F.col("value"), F.col("low"), F.col("high"))
+    # step 2: value counts of the chosen buckets only. What is broadcast has one row per target.
+    counts = (
+        values.withColumn("bucket", _coarse_bucket(F.col("value")))
+        .join(F.broadcast(buckets), ["measure", "bucket"], "left_semi")
+        .groupBy("measure", "bucket", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    cells = in_bucket.groupBy("target", "cell").agg(F.sum("n").alias("n"), F.first("rank").alias("rank"))
-    cell_of_target = _keep_cell_of_rank(cells, "target", "cell").select("target", "cell", "rank")
 
-    # step 3: the distinct values left in the chosen cells
-    left = in_bucket.drop("rank").join(F.broadcast(cell_of_target), ["target", "cell"])
-    return _keep_cell_of_rank(left, "target", "value").select("target", "measure", "value", "total", "negatives")
+    # step 3: inside each bucket, the equal-width cell of the rank; inside the cell, the value
+    placed = counts.join(F.broadcast(buckets), ["measure", "bucket"]).withColumn(
+        "cell", _fine_cell(F.col("value"), F.col("low"), F.col("high"))
+    )
+    per_cell = placed.groupBy("target", "cell").agg(F.sum("n").alias("n"), F.first("rank").alias("rank"))
+    cells = _keep_cell_of_rank(per_cell, "target", "cell").select("target", "cell", "rank")
+    left = placed.drop("rank").join(F.broadcast(cells), ["target", "cell"])
+    return _keep_cell_of_rank(left, "target", "value").select("target", "measure", "value")
 
 
 def exact_quantiles(df: DataFrame, targets: list[Target]) -> DataFrame:
     """One row, one double column per target (null when its column holds no value)."""
     columns = sorted({t.column for t in targets})
-    return one_row(order_statistics(value_counts(df, columns), targets), targets)
+    return one_row(order_statistics(long_values(df, columns), targets), targets)
 
 
 def one_row(statistics: DataFrame, targets: list[Target]) -> DataFrame:
