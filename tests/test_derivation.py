@@ -74,3 +74,4 @@ def test_fact_has_the_documented_columns(make):
     fact = fact_trips(prepared_trips(make([])))
     assert len(fact.columns) == 25 and fact.columns[0] == "trip_id"
     assert fact.columns[1:] == [target for _, target in S.FACT_COLUMNS]
+    assert fact.dtypes == [(f.name, f.dataType.simpleString()) for f in S.FACT_TRIPS.fields]

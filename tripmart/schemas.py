@@ -126,6 +126,35 @@ FACT_COLUMNS = (
     ("pickup_month", "pickup_month"),
     ("pickup_dow", "pickup_dow"),
 )
+FACT_TRIPS = T.StructType(
+    [
+        T.StructField("trip_id", T.LongType()),
+        T.StructField("date_key", T.DateType()),
+        T.StructField("pickup_location_id", T.LongType()),
+        T.StructField("dropoff_location_id", T.LongType()),
+        T.StructField("payment_key", T.LongType()),
+        T.StructField("vendor_id", T.LongType()),
+        T.StructField("trip_distance", T.DoubleType()),
+        T.StructField("trip_duration_min", T.DoubleType()),
+        T.StructField("passenger_count", T.IntegerType()),
+        T.StructField("fare_amount", T.DoubleType()),
+        T.StructField("tip_amount", T.DoubleType()),
+        T.StructField("tip_pct", T.DoubleType()),
+        T.StructField("tolls_amount", T.DoubleType()),
+        T.StructField("total_amount", T.DoubleType()),
+        T.StructField("revenue_excl_tip", T.DoubleType()),
+        T.StructField("congestion_surcharge", T.DoubleType()),
+        T.StructField("airport_fee", T.DoubleType()),
+        T.StructField("time_of_day", T.StringType()),
+        T.StructField("is_weekend", T.BooleanType()),
+        T.StructField("is_airport_trip", T.BooleanType()),
+        T.StructField("is_invalid_total", T.BooleanType()),
+        T.StructField("distance_bucket", T.StringType()),
+        T.StructField("pickup_hour", T.IntegerType()),
+        T.StructField("pickup_month", T.IntegerType()),
+        T.StructField("pickup_dow", T.IntegerType()),
+    ]
+)
 TABLES = ("fact_trips", "dim_time", "dim_location", "dim_payment", "dim_vendor")
 
 # key columns that should not be null, per table

@@ -10,7 +10,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -26,11 +26,24 @@ def _binary_files(spark: SparkSession, path: str, pattern: str | None) -> DataFr
     return reader.load(path)
 
 
+def _uri() -> Column:
+    """The file of a row, in the form the file index uses (``file:///x``, not ``file:/x``)."""
+    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("path")
+
+
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``path, length, modified_at`` of every file; contents are not read."""
-    return _binary_files(spark, path, pattern).select(
-        "path", "length", F.col("modificationTime").alias("modified_at")
+    """``path, length, modified_at`` of every file, paths as URIs; contents are not read.
+
+    A scan leaves out files of zero bytes. Their names come from the file index, the list of names Spark's driver holds
+    for any scan; they have length 0 and no time.
+    """
+    files = _binary_files(spark, path, pattern)
+    scanned = files.select(
+        _uri(), "length", F.col("modificationTime").alias("modified_at")
     )
+    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    length = F.coalesce(F.col("length"), F.lit(0).cast("bigint"))
+    return names.join(scanned, "path", "left").select("path", length.alias("length"), "modified_at")
 
 
 def file_gate(
@@ -54,11 +67,10 @@ def _digest_in_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for frame in frames:
         digests = []
-        for uri in frame["path"]:
-            # Spark writes local paths as file:/x; the file-system resolver wants file:///x
-            system, name = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+        for path in frame["path"]:
+            system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
             digest = hashlib.md5()
-            with system.open_input_stream(name) as stream:
+            with system.open_input_stream(name, compression=None) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
@@ -71,9 +83,17 @@ def file_md5(
     """``path, length, md5``. Files up to the limit are hashed in the JVM; larger ones, which must not sit in memory
     as one value, are read in chunks by the task that owns the row."""
     files = _binary_files(spark, path, pattern)
-    small = files.where(F.col("length") <= whole_file_limit).select("path", "length", F.md5("content").alias("md5"))
-    large = files.where(F.col("length") > whole_file_limit).select("path", "length")
-    return small.unionByName(large.mapInPandas(_digest_in_chunks, "path string, length bigint, md5 string"))
+    small = files.where(F.col("length") <= whole_file_limit).select(
+        _uri(), F.md5("content").alias("md5")
+    )
+    large = list_files(spark, path, pattern).where(F.col("length") > whole_file_limit).select("path")
+    digests = small.unionByName(large.mapInPandas(_digest_in_chunks, "path string, md5 string"))
+    of_nothing = F.md5(F.lit("").cast("binary"))
+    return (
+        list_files(spark, path, pattern)
+        .join(digests, "path", "left")
+        .select("path", "length", F.when(F.col("length") == 0, of_nothing).otherwise(F.col("md5")).alias("md5"))
+    )
 
 
 def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") -> DataFrame:
@@ -88,9 +108,8 @@ def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") ->
     bad = (
         lines.text(path)
         .where(~F.is_valid_utf8("value"))
-        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .groupBy(_uri())
         .agg(F.count(F.lit(1)).alias("bad_lines"))
-        .withColumn("path", F.regexp_replace("path", r"^file:/+", "file:/"))
     )
     listing = list_files(spark, path, pattern).select("path", "length")
     bad_lines = F.coalesce(F.col("bad_lines"), F.lit(0).cast("bigint"))
