@@ -41,6 +41,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         # the test files hold one row group each; several small output files let later scans use every core
         .config("spark.sql.files.maxRecordsPerFile", "80000")
+        # no call-site capture for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tripmart-bench-"))
         .getOrCreate()
     )

@@ -63,19 +63,28 @@ def validate_warehouse(
 ) -> DataFrame:
     """Verdict rows for every table: count as written, no nulls in required columns.
 
-    Each table is checked by its own job, so that one that cannot be read fails its check and the others go on.
+    All tables are checked by one job, one pass each. Should that fail, every table is checked by its own job, so that
+    one that cannot be read fails its check and the others go on.
     """
 
-    def verdicts(name: str) -> DataFrame:
+    def checked(name: str) -> DataFrame:
+        return table_checks(scan_table(spark, base, name), name, expected.get(name), null_severity)
+
+    def rows_of(checks: DataFrame) -> list[tuple]:
+        return [tuple(row) for row in checks.collect()]  # one row per check
+
+    def rows_or_reason(name: str) -> list[tuple]:
         try:
-            checked = table_checks(scan_table(spark, base, name), name, expected.get(name), null_severity)
-            rows = [tuple(r) for r in checked.collect()]  # one row per check
+            return rows_of(checked(name))
         except PySparkException as problem:
             reason = (str(problem).splitlines() or [type(problem).__name__])[0]
-            rows = [(name, "readable", None, expected.get(name), None, "error", False, reason)]
-        return spark.createDataFrame(rows, VERDICTS)
+            return [(name, "readable", None, expected.get(name), None, "error", False, reason)]
 
-    return reduce(DataFrame.unionByName, [verdicts(name) for name in S.TABLES])
+    try:
+        rows = rows_of(reduce(DataFrame.unionByName, [checked(name) for name in S.TABLES]))
+    except PySparkException:
+        rows = [row for name in S.TABLES for row in rows_or_reason(name)]
+    return spark.createDataFrame(rows, VERDICTS)
 
 
 def run_warehouse_job(raw: DataFrame, base: str, method: str = "exact") -> DataFrame:
