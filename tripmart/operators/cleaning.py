@@ -74,7 +74,7 @@ def trip_statistics(standard: DataFrame, method: str = "exact", relative_error:
     """One row ``fare_median, distance_median, fare_low, fare_high``; all null on empty input.
 
     ``exact`` reads the two columns once: the fare bounds after imputation follow from order statistics of the raw
-    fare. ``approximate`` uses constant-size sketches in two passes.
+    fare. ``approximate`` runs two passes of constant-size sketches when called.
     """
     if method == "exact":
         targets = [

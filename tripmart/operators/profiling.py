@@ -190,8 +190,9 @@ def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFr
 
 
 def profile_sample(df: DataFrame, rows: int = 200_000, seed: int = 42) -> DataFrame:
-    """At most ``rows`` random rows. A Bernoulli sample a little over the target size is cut to it; a table that is
-    not larger than the target comes back whole."""
+    """At most ``rows`` random rows: a Bernoulli sample a little over the target size, cut to it by the lowest draws.
+    A table that is not larger than the target comes back whole."""
     size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     fraction = F.lit(float(rows)) * 1.05 / F.nullif(size, F.lit(0)).cast("double")
-    return df.where(F.rand(seed) < F.coalesce(fraction, F.lit(1.0))).limit(rows)
+    drawn = df.withColumn("_draw", F.rand(seed)).where(F.col("_draw") < F.coalesce(fraction, F.lit(1.0)))
+    return drawn.orderBy("_draw").limit(rows).drop("_draw")

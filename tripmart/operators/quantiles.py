@@ -15,8 +15,8 @@ columns asked for; give a stored table rather than an expensive plan.
 
 Approximate path
 ----------------
-``percentile_approx``: one pass, constant-size mergeable sketch. The rank error must be smaller than the tail asked
-for, otherwise the sketch may answer with the plain minimum or maximum; such a call is refused.
+``DataFrame.approxQuantile``: constant-size sketches merged in a tree. The rank error must be smaller than the tail
+asked for, otherwise the sketch may answer with the plain minimum or maximum; such a call is refused.
 """
 
 from __future__ import annotations
@@ -163,21 +163,24 @@ def one_row(statistics: DataFrame, targets: list[Target]) -> DataFrame:
 
 
 def approximate_quantiles(df: DataFrame, targets: list[Target], relative_error: float = 0.0001) -> DataFrame:
-    """Sketch version of :func:`exact_quantiles`; the rank error is at most ``relative_error * n``."""
+    """Sketch version of :func:`exact_quantiles`; the rank error is at most ``relative_error * n``.
+
+    Runs at once: one scan for all columns, partial sketches merged in a tree, a few numbers returned.
+    """
     if any(t.skip_negatives for t in targets):
         raise ValueError("the sketch cannot skip negatives: impute the column first")
     for t in targets:
         require_resolvable(t.probability, relative_error)
-    accuracy = round(1.0 / relative_error)
-    return df.agg(
-        *[
-            F.percentile_approx(
-                F.when(~F.isnan(F.col(t.column).cast("double")), F.col(t.column).cast("double")),
-                t.probability,
-                accuracy,
-            ).alias(t.name)
-            for t in targets
-        ]
+    columns = sorted({t.column for t in targets})
+    probabilities = sorted({t.probability for t in targets})
+    doubles = df.select(*[F.col(c).try_cast("double").alias(c) for c in columns])
+    found = {
+        (column, p): value
+        for column, values in zip(columns, doubles.approxQuantile(columns, probabilities, relative_error))
+        for p, value in zip(probabilities, values)  # no values for a column without any
+    }
+    return df.sparkSession.range(1).select(
+        *[F.lit(found.get((t.column, t.probability))).cast("double").alias(t.name) for t in targets]
     )
 
 
