@@ -36,6 +36,20 @@ def _bag(rows, order):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, sf_dir, name):
+    check(spark, duck, sf_dir, name)
+
+
+@pytest.mark.parametrize("name", ["clean_parse_ts", "csv_roundtrip", "derive_calendar", "derive_duration", "dim_time"])
+def test_matches_sql_in_a_zone_with_daylight_saving(spark, duck, sf_dir, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        check(spark, duck, sf_dir, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def check(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     ours = df.collect()
     result = duck.execute(ORACLES[name])

@@ -123,9 +123,7 @@ def clean_cast(spark, sf_dir):
 @query
 def clean_parse_ts(spark, sf_dir):
     """The timestamps as text, as a CSV load would bring them, parsed back."""
-    text = _raw(spark, sf_dir).select(
-        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in S.TIMESTAMP_COLUMNS]
-    )
+    text = _raw(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in S.TIMESTAMP_COLUMNS])
     return cleaning.parse_timestamps(text)
 
 

@@ -1,8 +1,8 @@
 """Joins of the fact table with its dimensions.
 
-Only the vendor table, a literal of two rows, carries a broadcast hint. The other dimensions are left to the
-optimizer: it broadcasts a side whose measured size is below ``spark.sql.autoBroadcastJoinThreshold`` and falls back
-to a shuffled join (with adaptive skew handling) above it.
+No side carries a broadcast hint. The optimizer broadcasts a side whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold``, which holds for the two vendor rows and for dimensions of usual size, and
+falls back to a shuffled join (with adaptive skew handling) above it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from tripmart import schemas as S
 
 def with_vendor(fact: DataFrame, vendors: DataFrame) -> DataFrame:
     """Left join: trips of an unknown vendor keep a null name."""
-    return fact.join(F.broadcast(vendors), "vendor_id", "left")
+    return fact.join(vendors, "vendor_id", "left")
 
 
 def payment_labels(payments: DataFrame) -> DataFrame:

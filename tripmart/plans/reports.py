@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.functions.numeric import pct_change, rounded
-from tripmart.operators.joins import reported_payment_labels, with_time
+from tripmart.operators.joins import reported_payment_labels, with_time, with_vendor
 
 TOP_ZONES = 15
 
@@ -180,7 +180,7 @@ def vendor_revenue(fact: DataFrame, vendors: DataFrame) -> DataFrame:
     """Revenue by vendor name; trips of vendors without a name share a null group."""
     per_id = fact.groupBy("vendor_id").agg(F.sum("total_amount").alias("revenue"))
     return (
-        per_id.join(F.broadcast(vendors), "vendor_id", "left")
+        with_vendor(per_id, vendors)
         .groupBy("vendor_name")
         .agg(rounded(F.sum("revenue")).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "vendor_name")
