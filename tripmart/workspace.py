@@ -1,31 +1,43 @@
-"""Where jobs may write: the shared folder the session names in ``spark.checkpoint.dir``."""
+"""Where jobs may write: the shared folder the session names in ``spark.checkpoint.dir``, else its warehouse folder."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_roots: set[str] = set()
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The session's shared folder. Only a local session may do without one and gets a temporary folder."""
+    """A folder that the driver and every executor reach. The setting is read from the session, never written."""
     root = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_KEY} to a folder every executor can reach")
-    return _local_root()
+    return (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tripmart-")
+def session_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one. Spark's file system removes it when the application ends, so
+    intermediate tables of past runs do not pile up."""
+    root = f"{shared_root(spark)}/tripmart/{spark.sparkContext.applicationId}"
+    if root not in _roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _roots.add(root)
+    return root
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; two runs never share one."""
-    return f"{shared_root(spark)}/tripmart/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the application's folder; two calls never share one."""
+    return f"{session_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared folder and read it back: lineage ends here, and a lost executor costs no rerun of
+    what came before."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
