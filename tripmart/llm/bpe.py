@@ -21,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import pieces, schema_with, with_columns
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
 from tripmart.llm.word_bpe import Speller, Vocabulary
-from tripmart.workspace import session_root
+from tripmart.workspace import session_root, write_bytes
 
 LEXICON_WORDS = 65_536
 #: A task hands on its word counts when it holds so many distinct words.
@@ -81,19 +81,11 @@ def build_lexicon(docs: DataFrame, content: bytes, text_col: str = "text", words
     compiled = compile_lexicon((row.word.encode(), vocabulary.merge(row.word)) for row in top)
     name = f"lexicon-{uuid.uuid4().hex[:12]}.bin"
     path = f"{session_root(spark)}/{name}"
-    _write(spark, path, compiled)
+    write_bytes(spark, path, compiled)
     spark.sparkContext.addFile(path)
     return name
 
 
-def _write(spark: SparkSession, path: str, content: bytes) -> None:
-    """Through Spark's own file systems, so any shared folder will do."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
-    stream.write(bytearray(content))
-    stream.close()
-
-
 @cache
 def _speller(content: bytes, name: str) -> Speller:
     vocabulary, lexicon = _vocabulary(content), Lexicon(SparkFiles.get(name))

@@ -13,13 +13,15 @@ ignored, so clashing names cannot occur.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import join_groups
 from tripmart.workspace import materialise
 
-BUCKETS = 64
+BUCKETS = 256
 _WHITE = (" ", "\n", "\t", "\r", "\x0b", "\x0c")
 
 
@@ -42,8 +44,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 class DigestIndex:
-    """A named table of the digests seen so far: ``digest``, ``keep_id``, ``group_size`` (rows of the batch that
-    brought it).
+    """A named table of the digests seen so far: ``digest``, ``keep_id`` and the ``batch`` that brought it.
 
     The table's files outlive the session; opening the same name and location again continues the index. ``location``
     is a folder that all executors share.
@@ -52,7 +53,7 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, table: str, location: str, id_type: str = "bigint", buckets: int = BUCKETS):
         self.spark, self.table, self.location, self.buckets = spark, table, location, buckets
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} (digest BINARY, keep_id {id_type}, group_size BIGINT) USING parquet "
+            f"CREATE TABLE IF NOT EXISTS {table} (digest BINARY, keep_id {id_type}, batch STRING) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
 
@@ -65,33 +66,28 @@ class DigestIndex:
         A text that an earlier batch brought keeps its earlier ``keep_id``, so no row of this batch with it is kept,
         and ``group_size`` counts the rows of this batch.
         """
+        number = uuid.uuid4().hex
         batch = materialise(batch, "digests")
-        longest = F.min_by("id", F.struct((-F.col("length")).alias("n"), F.col("id").isNull().alias("no"), "id"))
-        groups = materialise(
-            batch.groupBy("digest").agg(longest.alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups"
-        )
-        fresh = groups.repartition(self.buckets, "digest").join(
-            self.rows().select("digest").hint("merge"), "digest", "left_anti"
-        )
-        fresh = materialise(fresh, "fresh")
+        best = F.min_by("id", F.struct((-F.col("length")).alias("n"), F.col("id").isNull().alias("no"), "id"))
+        groups = batch.groupBy("digest").agg(best.alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        # one row per digest from here on, in the buckets of the index
+        groups = materialise(groups, "groups")
         (
-            fresh.select("digest", "keep_id", "group_size")
-            .repartition(self.buckets, "digest")
+            groups.repartition(self.buckets, "digest")
+            .join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+            .select("digest", "keep_id", F.lit(number).alias("batch"))
             .write.bucketBy(self.buckets, "digest")
             .sortBy("digest")
             .mode("append")
             .option("path", self.location)
             .saveAsTable(self.table)
         )
-        seen = (
-            groups.select("digest", "group_size")
-            .join(self.rows().select("digest", "keep_id").hint("merge"), "digest")
-            .join(fresh.select("digest", F.lit(True).alias("is_new")).hint("merge"), "digest", "left")
-        )
+        known = self.rows().select("digest", "keep_id", (F.col("batch") == number).alias("is_new"))
+        seen = groups.select("digest", "group_size").join(known.hint("merge"), "digest")
         return join_groups(batch, materialise(seen, "seen"), ["digest"], "group_size").select(
             "id",
             "digest",
             "keep_id",
             "group_size",
-            (F.coalesce("is_new", F.lit(False)) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+            (F.col("is_new") & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         )

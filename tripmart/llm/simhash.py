@@ -161,20 +161,15 @@ def link(docs: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
         docs.groupBy("fingerprint").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "distinct"
     )
     roots = components(near_links(distinct.select("fingerprint"), radius, cell))
-    placed = materialise(
-        distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-            "fingerprint", "first_id", "copies", F.coalesce("root", "fingerprint").alias("root")
-        ),
-        "placed",
+    placed = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "first_id", "copies", F.coalesce("root", "fingerprint").alias("root")
     )
-    groups = placed.groupBy("root").agg(
-        F.min("first_id").alias("component_id"),
-        F.sum("copies").alias("component_size"),
-        F.count(F.lit(1)).alias("members"),
-    )
-    by_print = join_groups(placed, materialise(groups, "groups"), ["root"], "members").select(
-        "fingerprint", "copies", "component_id", "component_size"
+    placed = materialise(placed, "placed")
+    groups = materialise(
+        placed.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("copies").alias("component_size")),
+        "groups",
     )
+    by_print = placed.join(groups, "root").select("fingerprint", "copies", "component_id", "component_size")
     return join_groups(docs, materialise(by_print, "by_print"), ["fingerprint"], "copies").select(
         "id", "fingerprint", "component_id", "component_size"
     )
