@@ -45,3 +45,9 @@ def make(spark):
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans_of(df) -> int:
+    """How often the executed plan reads files; a reused exchange reads nothing."""
+    df.collect()
+    return plan_of(df).split("== Initial Plan ==")[0].count("FileScan")

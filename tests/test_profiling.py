@@ -3,7 +3,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import plan_of
+from tests.conftest import plan_of, scans_of
 from tripmart.operators import profiling as P
 
 VALUES = [1.0, 2.0, 2.0, 3.0, 4.0, 5.0, 40.0]
@@ -63,7 +63,29 @@ def test_duplicates_of_a_hot_row(spark):
     assert P.duplicate_summary(df, ["b"]).first()["distinct_rows"] == 1
 
 
+def test_duplicates_do_not_depend_on_the_hash(spark):
+    df = spark.range(600).select((F.col("id") % 400).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
+    colliding = (F.pmod(F.col("a"), F.lit(7)), F.lit(0))
+    assert P.duplicate_summary(df, hashes=colliding).first() == P.duplicate_summary(df).first()
+    assert sorted(map(tuple, P.duplicate_rows(df, hashes=colliding).collect())) == sorted(map(tuple, P.duplicate_rows(df).collect()))
+    assert P.duplicate_summary(df).first().asDict() == {"total_rows": 600, "distinct_rows": 400, "duplicate_groups": 200, "surplus_rows": 200}
+
+
+def test_all_rows_are_grouped_by_hashes_only(spark, sf_dir):
+    from tripmart.catalog.stage import raw_trips
+
+    plan = P.duplicate_summary(raw_trips(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_a" in plan
+
+
+@pytest.mark.parametrize(("profile", "most"), [(P.numeric_stats, 3), (P.outliers, 3), (P.kernel_density, 3), (P.histogram, 2)])
+def test_scans_of_a_profile(spark, sf_dir, profile, most):
+    from tripmart.catalog.stage import raw_trips
+
+    assert scans_of(profile(raw_trips(spark, sf_dir), ["fare_amount", "trip_distance"])) <= most
+
+
 def test_sample_is_bounded_and_small_tables_come_back_whole(spark):
     assert P.profile_sample(spark.range(500), rows=1000).count() == 500
-    assert 900 <= P.profile_sample(spark.range(50_000), rows=1000).count() <= 1000
+    assert all(P.profile_sample(spark.range(20_000), rows=100, seed=s).count() == 100 for s in range(12))
     assert P.profile_sample(spark.range(0), rows=10).count() == 0

@@ -35,6 +35,9 @@ def run(spark, values, targets=TARGETS):
         [1e-300, 1e300, -1e300, 0.1, 0.2],
         [float("inf"), 1.0, float("-inf")],
         [1_000_000_000.0 + i / 7 for i in range(300)],
+        [i * 1e-9 for i in range(500)],
+        [40.0 + i * 7.1e-15 for i in range(400)] + [40.01],
+        [5e-324, -5e-324, 1e-310, 0.0, -0.0, 1.7e308],
     ],
 )
 def test_exact_equals_sorted_list(spark, values):
@@ -132,3 +135,10 @@ def test_statistics_run_once_as_a_subquery(make):
     assert "ReusedSubquery" in plan_of(out)
     # not reading the imputed column drops the statistics from the plan
     assert "ubquery" not in plan_of(out.select("PULocationID"))
+
+
+def test_two_scans(spark, sf_dir):
+    from tests.conftest import scans_of
+    from tripmart.catalog.stage import raw_trips
+
+    assert scans_of(trip_statistics(raw_trips(spark, sf_dir))) == 2

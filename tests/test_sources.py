@@ -6,6 +6,7 @@ import pytest
 from tests.conftest import plan_of
 from tripmart import schemas as S
 from tripmart.operators import checks
+from tripmart.plans.landing import land_trips, landing_gate
 from tripmart.sources import files, sinks, tables
 from tripmart.workspace import new_path, shared_root
 
@@ -38,12 +39,23 @@ def test_file_gate(spark, folder):
     assert not any(r["size_ok"] for r in files.file_gate(files.list_files(spark, str(folder))).collect())
 
 
-@pytest.mark.parametrize("limit", [10_000, 20, 0])
-def test_md5_of_small_and_chunked_files(spark, folder, limit):
-    rows = by_name(files.file_md5(spark, str(folder), whole_file_limit=limit))
-    assert {n: r["md5"] for n, r in rows.items()} == {
+def test_md5_of_every_file_in_one_way(spark, folder):
+    (folder / "large.tsv").write_bytes(b"0123456789abcdef" * 100_000)
+    sums = files.file_md5(spark, str(folder))
+    assert {n: r["md5"] for n, r in by_name(sums).items()} == {
         p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in folder.iterdir()
     }
+    assert "Python" not in plan_of(sums) and "Pandas" not in plan_of(sums)
+
+
+def test_a_file_too_large_for_a_value_is_an_error(spark, folder):
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        with pytest.raises(Exception, match="1000"):
+            files.file_md5(spark, str(folder)).collect()
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
 
 
 def test_utf8_check_covers_whole_files(spark, folder):
@@ -55,15 +67,17 @@ def test_utf8_check_covers_whole_files(spark, folder):
 
 def test_gate_collects_every_failure_before_it_raises(spark, folder):
     listed = files.file_gate(files.list_files(spark, str(folder)), min_bytes=40)
-    verdict = checks.ingest_gate(listed, spark.range(5), min_rows=10, encodings=files.file_utf8(spark, str(folder)))
+    rows = spark.createDataFrame([("csv", 5, True), ("parquet", 0, False)], "format string, n bigint, readable boolean")
+    verdict = checks.ingest_gate(listed, rows, min_rows=10, encodings=files.file_utf8(spark, str(folder)))
     assert {r["check_name"]: (r["observed"], r["passed"]) for r in verdict.collect()} == {
         "files_present": (6, True),
         "bad_extensions": (1, False),
         "small_files": (4, False),
+        "unreadable": (1, False),
         "row_count": (5, False),
         "not_utf8": (2, False),
     }
-    with pytest.raises(checks.GateFailed, match="4 check.*bad_extensions.*not_utf8.*row_count.*small_files"):
+    with pytest.raises(checks.GateFailed, match="5 check.*bad_extensions.*not_utf8.*row_count.*small_files.*unreadable"):
         checks.require_passed(verdict)
     checks.require_passed(checks.row_gate(spark.range(10), 10))
 
@@ -74,6 +88,8 @@ def test_landing_replaces_only_its_own_month(spark, make, tmp_path):
     assert sinks.land_batch(one, zone, 2026, 4) == 1
     assert sinks.land_batch(one, zone, 2026, 5) == 1
     assert sinks.land_batch(two, zone, 2026, 4) == 2
+    assert sinks.land_batch(one, zone, 2026, 6) == 1
+    assert sinks.land_batch(one.limit(0), zone, 2026, 6) == 0  # an empty batch replaces too
     landed = tables.scan_trips(spark, zone)
     assert sorted((r["month"], r["fare_amount"]) for r in landed.collect()) == [(4, 2.0), (4, 3.0), (5, 1.0)]
     assert "PartitionFilters: [isnotnull(month" in plan_of(landed.where("month = 5"))
@@ -102,3 +118,33 @@ def test_writes_go_to_the_folder_the_session_names(spark):
     assert shared_root(spark) == root
     first, second = new_path(spark, "x"), new_path(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def verdicts(spark, path, **limits):
+    return {r["check_name"]: (r["observed"], r["passed"]) for r in landing_gate(spark, str(path), **limits).collect()}
+
+
+def test_landing_gate_judges_csv_and_parquet_and_survives_bad_folders(spark, make, tmp_path):
+    trips = make([{"fare_amount": 1.0}, {"fare_amount": 2.0}])
+    sinks.write_csv(trips, str(tmp_path / "both" / "csv"))
+    trips.write.parquet(str(tmp_path / "both" / "parquet"))
+    found = verdicts(spark, tmp_path / "both", min_rows=4, min_bytes=1)
+    assert all(passed for _, passed in found.values()) and found["row_count"] == (4, True)
+    (tmp_path / "both" / "broken.parquet").write_bytes(b"no parquet")
+    (tmp_path / "both" / "latin.csv").write_bytes(b"a\n\xe9\n")
+    found = verdicts(spark, tmp_path / "both", min_rows=4, min_bytes=1)
+    assert found["unreadable"] == (1, False) and found["not_utf8"] == (1, False) and found["row_count"] == (3, False)
+    (tmp_path / "nothing").mkdir()
+    for path in (tmp_path / "nothing", tmp_path / "nowhere"):
+        found = verdicts(spark, path)
+        assert found["files_present"] == (0, False) and found["row_count"] == (0, False)
+
+
+def test_drifted_batches_are_brought_to_the_declared_schema(spark, make, tmp_path):
+    trips = make([{"VendorID": 1, "airport_fee": 1.25, "passenger_count": 2.0}])
+    other = trips.selectExpr("CAST(VendorID AS INT) AS vendorid", "airport_fee AS Airport_fee", "'x' AS passenger_count", "1 AS more")
+    land_trips(trips, str(tmp_path), 2026, 4)
+    landed = land_trips(other, str(tmp_path), 2026, 5)
+    assert landed.schema == S.RAW_TRIPS
+    rows = tables.scan_trips(spark, str(tmp_path)).select("month", "VendorID", "airport_fee", "passenger_count").collect()
+    assert sorted(map(tuple, rows)) == [(4, 1, 1.25, 2.0), (5, 1, 1.25, None)]

@@ -74,6 +74,30 @@ def test_validation_goes_on_after_an_unreadable_table(spark, sf_dir, make):
     assert all("PATH_NOT_FOUND" in r["error"] for r in missing)
 
 
+@pytest.mark.parametrize("content", [b"no parquet at all", b"PAR1" + b"\0" * 40])
+def test_validation_goes_on_after_a_damaged_table(spark, tmp_path, make, content):
+    counts = build_warehouse(make([{"tpep_pickup_datetime": datetime(2023, 1, 1), "tpep_dropoff_datetime": datetime(2023, 1, 2)}]), str(tmp_path))
+    for file in (tmp_path / "dim_time").glob("*.parquet"):
+        whole = file.read_bytes()
+        file.write_bytes(content if content[:2] == b"no" else whole[: len(whole) // 2])
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    rows = validate_warehouse(spark, str(tmp_path), counts).collect()
+    by_table = {t: [r for r in rows if r["table_name"] == t] for t in counts}
+    assert [(r["check_name"], r["passed"]) for r in by_table["dim_time"]] == [("readable", False)]
+    assert by_table["dim_time"][0]["error"]
+    assert all(r["passed"] for t, found in by_table.items() if t != "dim_time" for r in found if r["check_name"] == "row_count")
+
+
+def test_an_empty_fact_by_year_has_its_year(spark, make, tmp_path):
+    build_warehouse(make([]), str(tmp_path), by_year=True)
+    assert "pickup_year" in scan_table(spark, str(tmp_path), "fact_trips", by_year=True).columns
+
+
+def test_fact_is_written_where_it_is_read(spark, sf_dir):
+    fact = modelling.fact_columns(prepared_trips(stage.raw_trips(spark, sf_dir)))
+    assert "Exchange" not in plan_of(fact)
+
+
 def test_job_on_empty_input(spark, make):
     row = run_warehouse_job(make([]), new_path(spark, "empty")).first()
     assert (row["raw_rows"], row["fact_rows"], row["dropped_pct"], row["rows_traced"]) == (0, 0, None, True)

@@ -423,6 +423,13 @@ _finding_rows = "\nUNION ALL ".join(
 )
 
 
+_GATE = (
+    "SELECT 'files_present' AS check_name, NULL::BIGINT AS observed, CAST(1 AS BIGINT) AS required, TRUE AS passed "
+    "UNION ALL SELECT 'bad_extensions', 0, 0, TRUE UNION ALL SELECT 'small_files', 0, 0, TRUE "
+    "UNION ALL SELECT 'not_utf8', 0, 0, TRUE UNION ALL SELECT 'row_count', COUNT(*), 500000, COUNT(*) >= 500000 FROM trips"
+)
+
+
 def oracles() -> dict[str, str]:
     """Query name -> SQL. File listings, checksums, sketches and samples have none."""
     ts = "tpep_pickup_datetime, tpep_dropoff_datetime"
@@ -434,9 +441,47 @@ def oracles() -> dict[str, str]:
         "schema_report": oracle(_schema_rows, "trips"),
         "land_raw": oracle(
             "SELECT CAST(2026 AS INTEGER) AS year, CAST(4 AS INTEGER) AS month, COUNT(*) AS row_count, "
-            "COUNT(fare_amount) AS fares FROM trips",
+            "COUNT(fare_amount) AS fares FROM trips UNION ALL SELECT 2026, 5, 0, 0",
+            "trips",
+        ),
+        "land_drifted": oracle(
+            "SELECT CAST(unnest([4, 5]) AS INTEGER) AS month, t.* FROM (SELECT COUNT(*) AS row_count, "
+            "CAST(SUM(VendorID) AS BIGINT) AS vendors, SUM(passenger_count) AS passengers, "
+            "COUNT(*) FILTER (WHERE airport_fee > 0) AS airport_fees, COUNT(fare_amount) AS fares FROM trips) t",
+            "trips",
+        ),
+        "csv_sample": oracle(
+            f"SELECT LEAST(COUNT(*), 10) AS row_count, '{RAW_LIST.replace(' ', '')}' AS header FROM trips", "trips"
+        ),
+        "landing_listing": "SELECT s_suppkey, CAST(LENGTH(s_name) + 1 AS BIGINT) AS length FROM supplier",
+        "file_gate": "SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'csv' ELSE 'txt' END AS extension, "
+        "CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, s_suppkey % 2 = 0 AS extension_ok, "
+        "LENGTH(s_name) + 1 >= 10 AS size_ok, s_suppkey % 2 = 0 AND LENGTH(s_name) + 1 >= 10 AS passed FROM supplier",
+        "file_md5": "SELECT s_suppkey, CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, md5(s_name || chr(10)) AS md5 FROM supplier",
+        "file_utf8": "SELECT s_suppkey, CAST(LENGTH(s_name) + 1 + (s_suppkey % 7 = 0)::INT AS BIGINT) AS length, "
+        "CAST((s_suppkey % 7 = 0)::INT AS BIGINT) AS bad_lines, s_suppkey % 7 <> 0 AS is_utf8 FROM supplier",
+        "q_median_approx": "SELECT unnest(['fare_median', 'distance_median', 'fare_low', 'fare_high']) AS statistic, "
+        "TRUE AS within_error",
+        "profile_sample": oracle(
+            "SELECT CAST(s AS BIGINT) AS size, LEAST(n, s) AS sampled, LEAST(n, s) AS found_in_table FROM "
+            "(SELECT COUNT(*) AS n FROM trips), (SELECT unnest([200000, 500]) AS s)",
             "trips",
         ),
+        "q3_hourly_sql": oracle("SELECT * FROM q3", "q3"),
+        "validate_wrong_count": oracle(
+            "SELECT table_name, row_count + (table_name = 'fact_trips')::INT AS expected, row_count AS observed, "
+            "table_name <> 'fact_trips' AS passed FROM table_counts",
+            "table_counts",
+        ),
+        "validate_unreadable": oracle(
+            "SELECT 'dim_time' AS table_name, 'readable' AS check_name, NULL::VARCHAR AS column_name, "
+            "NULL::BIGINT AS observed, FALSE AS passed, TRUE AS has_error UNION ALL "
+            "SELECT table_name, 'row_count', NULL, row_count, TRUE, FALSE FROM table_counts WHERE table_name <> 'dim_time' "
+            "UNION ALL SELECT table_name, 'not_null', column_name, nulls, nulls = 0, FALSE FROM null_counts "
+            "WHERE table_name <> 'dim_time'",
+            "table_counts",
+            "null_counts",
+        ),
         "row_gate": oracle(
             "SELECT 'row_count' AS check_name, COUNT(*) AS observed, CAST(500000 AS BIGINT) AS required, "
             "COUNT(*) >= 500000 AS passed FROM trips",
@@ -599,13 +644,9 @@ def oracles() -> dict[str, str]:
             "null_counts",
         ),
         "validate_all": oracle("SELECT * FROM verdict", "verdict"),
-        "ingest_gate": oracle(
-            # the files differ per run: at least one, none of them refused
-            "SELECT 'bad_extensions' AS check_name, CAST(0 AS BIGINT) AS observed, CAST(0 AS BIGINT) AS required, "
-            "TRUE AS passed UNION ALL SELECT 'small_files', 0, 0, TRUE "
-            "UNION ALL SELECT 'row_count', COUNT(*), 500000, COUNT(*) >= 500000 FROM trips",
-            "trips",
-        ),
+        # the number of files differs per run: at least one
+        "ingest_gate": oracle(f"{_GATE} UNION ALL SELECT 'unreadable', 0, 0, TRUE", "trips"),
+        "ingest_gate_csv": oracle(f"{_GATE} UNION ALL SELECT 'unreadable', 1, 0, FALSE", "trips"),
         "row_lineage": oracle("SELECT * FROM lineage", "lineage"),
         "dq_findings": oracle(_finding_rows, "std"),
         "profile_missing": oracle(_missing_rows, "trips"),

@@ -13,7 +13,7 @@ from tripmart.catalog.trips import derived_trips
 from tripmart.operators import checks, cleaning, derivation, joins, modelling, profiling, quality
 from tripmart.plans import charts, landing, reports, warehouse
 from tripmart.sources import files, sinks, tables
-from tripmart.workspace import new_path
+from tripmart.workspace import new_path, write_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,15 +60,44 @@ def schema_report(spark, sf_dir):
 
 @query
 def land_raw(spark, sf_dir):
-    """The same load date landed twice: the second load replaces the first."""
+    """One load date landed twice, another landed and then replaced by an empty batch."""
     zone = new_path(spark, "land")
     trips = derived_trips(spark, sf_dir)
-    sinks.land_batch(trips, zone, *stage.LOAD_DATE)
-    sinks.land_batch(trips, zone, *stage.LOAD_DATE)
+    landing.land_trips(trips, zone, 2026, 4)
+    landing.land_trips(trips, zone, 2026, 4)
+    landing.land_trips(trips.limit(1000), zone, 2026, 5)
+    landing.land_trips(trips.where(F.lit(False)), zone, 2026, 5)
+    months = spark.createDataFrame([(2026, 4), (2026, 5)], "year int, month int")
     return (
-        tables.scan_trips(spark, zone)
+        months.join(tables.scan_trips(spark, zone), ["year", "month"], "left")
         .groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("row_count"), F.count("fare_amount").alias("fares"))
+        .agg(F.count(_DROPOFF).alias("row_count"), F.count("fare_amount").alias("fares"))
+    )
+
+
+@query
+def land_drifted(spark, sf_dir):
+    """Two months whose publishers differ in the case of a name and in types, scanned together."""
+    zone = new_path(spark, "drift")
+    trips = derived_trips(spark, sf_dir)
+    landing.land_trips(trips, zone, 2026, 4)
+    drifted = (
+        trips.withColumnRenamed("airport_fee", "Airport_fee")
+        .withColumn("passenger_count", F.col("passenger_count").cast("bigint"))
+        .withColumn("VendorID", F.col("VendorID").cast("int"))
+        .withColumn("fare_amount", F.col("fare_amount").cast("string"))
+    )
+    landing.land_trips(drifted.select(*reversed(drifted.columns)), zone, 2026, 5)
+    return (
+        tables.scan_trips(spark, zone)
+        .groupBy("month")
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum("VendorID").alias("vendors"),
+            F.sum("passenger_count").alias("passengers"),
+            F.count_if(F.col("airport_fee") > 0).alias("airport_fees"),
+            F.count("fare_amount").alias("fares"),
+        )
     )
 
 
@@ -79,26 +108,39 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_csv(spark, path, S.RAW_TRIPS)
 
 
+@query
+def csv_sample(spark, sf_dir):
+    """How many rows the look at a CSV shows, and its header."""
+    path = new_path(spark, "csv")
+    sinks.write_csv(_raw(spark, sf_dir), path)
+    sample = tables.csv_sample(spark, path)
+    return sample.agg(F.count(F.lit(1)).alias("row_count")).withColumn("header", F.lit(",".join(sample.columns)))
+
+
+def _by_supplier(files_df: DataFrame) -> DataFrame:
+    key = F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey")
+    return files_df.select(key, *[c for c in files_df.columns if c not in ("path", "modified_at")])
+
+
 @query
 def landing_listing(spark, sf_dir):
-    return files.list_files(spark, stage.raw_folder(spark, sf_dir), "*.parquet")
+    return _by_supplier(files.list_files(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*"))
 
 
 @query
 def file_gate(spark, sf_dir):
-    return files.file_gate(landing_listing(spark, sf_dir))
+    listing = files.list_files(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*")
+    return _by_supplier(files.file_gate(listing, min_bytes=10))
 
 
 @query
 def file_md5(spark, sf_dir):
-    return files.file_md5(spark, stage.raw_folder(spark, sf_dir), "*.parquet")
+    return _by_supplier(files.file_md5(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*"))
 
 
 @query
 def file_utf8(spark, sf_dir):
-    path = new_path(spark, "csv")
-    sinks.write_csv(_raw(spark, sf_dir), path)
-    return files.file_utf8(spark, path)
+    return _by_supplier(files.file_utf8(spark, f"{stage.supplier_files(spark, sf_dir)}/marked", "part-*"))
 
 
 @query
@@ -108,10 +150,20 @@ def row_gate(spark, sf_dir):
 
 @query
 def ingest_gate(spark, sf_dir):
-    """Smallest accepted size 1 byte: the verdict must not depend on how well the columns compress. The number of
-    files, which depends on the number of tasks, is left out."""
+    """Every check of a landed folder. Smallest accepted size 1 byte: the verdict must not depend on how well the columns
+    compress. The number of files depends on the number of tasks: it is checked, but not shown."""
     verdicts = landing.landing_gate(spark, stage.raw_folder(spark, sf_dir), min_bytes=1)
-    return verdicts.where("check_name <> 'files_present'")
+    return verdicts.withColumn("observed", F.when(F.col("check_name") != "files_present", F.col("observed")))
+
+
+@query
+def ingest_gate_csv(spark, sf_dir):
+    """The same for a CSV export whose rows are there but whose folder also holds a file that claims to be Parquet."""
+    path = new_path(spark, "gate")
+    sinks.write_csv(_raw(spark, sf_dir), f"{path}/csv")
+    write_bytes(spark, f"{path}/odd.parquet", b"no parquet")
+    verdicts = landing.landing_gate(spark, path, min_bytes=1)
+    return verdicts.withColumn("observed", F.when(F.col("check_name") != "files_present", F.col("observed")))
 
 
 # ------------------------------------------------------------------ cleaning
@@ -134,7 +186,30 @@ def q_median(spark, sf_dir):
 
 @query
 def q_median_approx(spark, sf_dir):
-    return cleaning.trip_statistics(_standard(spark, sf_dir), "approximate")
+    """For every sketch quantile, whether its rank is as close to the wanted one as promised."""
+    standard, error = _standard(spark, sf_dir), 0.0001
+    found = cleaning.trip_statistics(standard, "approximate", error)
+    once = cleaning.as_scalar(found)
+    imputed = cleaning.impute_negative_fare(standard, found)
+    wanted = {
+        "fare_median": (standard, "fare_amount", 0.5),
+        "distance_median": (standard, "trip_distance", 0.5),
+        "fare_low": (imputed, "fare_amount", 0.01),
+        "fare_high": (imputed, "fare_amount", 0.99),
+    }
+    rows = []
+    for name, (trips, column, p) in wanted.items():
+        value, n = F.col(column), F.count(column)
+        rows.append(
+            trips.agg(
+                F.lit(name).alias("statistic"),
+                (
+                    (F.count_if(value < once[name]) <= F.ceil(p * n) + error * n)
+                    & (F.count_if(value <= once[name]) >= F.ceil(p * n) - error * n - 1)
+                ).alias("within_error"),
+            )
+        )
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
 
 @query
@@ -321,6 +396,21 @@ def q3_hourly_demand(spark, sf_dir):
     return reports.hourly_demand(_fact(spark, sf_dir))
 
 
+@query
+def q3_hourly_sql(spark, sf_dir):
+    """The hourly report as SQL text over the registered tables."""
+    tables.register_views({"fact_trips": _fact(spark, sf_dir)})
+    return spark.sql(
+        """
+        SELECT pickup_hour, is_weekend, COUNT(*) AS trip_count,
+               CAST(ROUND(CAST(AVG(fare_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_fare,
+               CAST(ROUND(CAST(AVG(trip_duration_min) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_duration,
+               CAST(ROUND(CAST(SUM(total_amount) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total_revenue
+        FROM fact_trips GROUP BY pickup_hour, is_weekend ORDER BY pickup_hour, is_weekend
+        """
+    )
+
+
 @query
 def q4_top_zones(spark, sf_dir):
     return reports.top_zones(_fact(spark, sf_dir))
@@ -412,6 +502,32 @@ def validate_all(spark, sf_dir):
     return quality.overall(_verdicts(spark, sf_dir))
 
 
+@query
+def validate_wrong_count(spark, sf_dir):
+    """A fact table that was expected to have one row more fails its count, and only that."""
+    built = stage.warehouse(spark, sf_dir)
+    expected = {**built.counts, "fact_trips": built.counts["fact_trips"] + 1}
+    return warehouse.validate_warehouse(spark, built.base, expected).where("check_name = 'row_count'").select(
+        "table_name", "expected", "observed", "passed"
+    )
+
+
+@query
+def validate_unreadable(spark, sf_dir):
+    """A warehouse in which ``dim_time`` holds something else than Parquet: it fails as a whole, the others are checked."""
+    base = new_path(spark, "unreadable")
+    for name in S.TABLES:
+        rows = stage.table(spark, sf_dir, name)
+        if name == "dim_time":
+            rows.select(F.lit("no parquet")).limit(1).write.text(f"{base}/{name}")
+        else:
+            rows.write.parquet(f"{base}/{name}")
+    verdicts = warehouse.validate_warehouse(spark, base, stage.warehouse(spark, sf_dir).counts)
+    return verdicts.select(
+        "table_name", "check_name", "column_name", "observed", "passed", F.col("error").isNotNull().alias("has_error")
+    )
+
+
 @query
 def row_lineage(spark, sf_dir):
     return quality.row_lineage(_raw(spark, sf_dir))
@@ -462,4 +578,18 @@ def profile_missing_matrix(spark, sf_dir):
 
 @query
 def profile_sample(spark, sf_dir):
-    return profiling.profile_sample(_raw(spark, sf_dir))
+    """For two sizes: rows drawn, and how many of these are rows of the table (a row no more often than there)."""
+    raw = _raw(spark, sf_dir)
+    mark = F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in raw.columns]).alias("mark")
+
+    def drawn(size: int) -> DataFrame:
+        sample = profiling.profile_sample(raw, size).groupBy(mark).agg(F.count(F.lit(1)).alias("drawn"))
+        # a sample is bounded by its size, so it may be broadcast to the table
+        there = raw.select(mark).join(F.broadcast(sample), "mark").groupBy("mark", "drawn").agg(F.count(F.lit(1)).alias("n"))
+        return there.agg(
+            F.lit(size).cast("bigint").alias("size"),
+            F.sum("drawn").alias("sampled"),
+            F.sum(F.least("drawn", "n")).alias("found_in_table"),
+        )
+
+    return drawn(200_000).unionByName(drawn(500))

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.catalog.trips import derived_trips
 from tripmart.plans.landing import land_trips, landed_path
@@ -17,6 +18,7 @@ LOAD_DATE = (2026, 4)
 
 _lock = RLock()
 _landed: dict[tuple[str, str], str] = {}
+_suppliers: dict[tuple[str, str], str] = {}
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
 
 
@@ -41,6 +43,24 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
         return _landed[key]
 
 
+def supplier_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one small file per supplier, its key in the path: ``csv`` for even keys, ``txt`` for odd ones; below
+    ``marked/`` another one, where every seventh file is not UTF-8."""
+    with _lock:
+        key = _key(spark, sf_dir)
+        if key not in _suppliers:
+            base = new_path(spark, "suppliers")
+            suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.col("s_name").alias("line"))
+            keyed = suppliers.repartition("s_suppkey").sortWithinPartitions("s_suppkey")
+            keyed.where("s_suppkey % 2 = 0").write.partitionBy("s_suppkey").csv(f"{base}/plain/even")
+            keyed.where("s_suppkey % 2 <> 0").write.partitionBy("s_suppkey").text(f"{base}/plain/odd")
+            broken = F.concat(F.unhex(F.lit("FF")).cast("string"), "line")
+            marked = keyed.withColumn("line", F.when(F.col("s_suppkey") % 7 == 0, broken).otherwise(F.col("line")))
+            marked.write.partitionBy("s_suppkey").text(f"{base}/marked")
+            _suppliers[key] = base
+        return _suppliers[key]
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_trips(spark, raw_folder(spark, sf_dir))
 

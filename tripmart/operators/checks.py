@@ -33,12 +33,14 @@ def ingest_gate(
     min_rows: int = S.MIN_ROWS,
     encodings: DataFrame | None = None,
 ) -> DataFrame:
-    """All landing checks as one table. ``files`` is the result of the file gate, ``encodings`` of the UTF-8 check."""
+    """All landing checks as one table. ``files`` is the result of the file gate, ``encodings`` of the UTF-8 check; ``rows``
+    has a row per format, with its number of rows ``n`` and whether it is ``readable``."""
     parts = [
         check_row(files, "files_present", F.count(F.lit(1)), 1),
         check_row(files, "bad_extensions", F.count_if(~F.col("extension_ok")), 0, at_least=False),
         check_row(files, "small_files", F.count_if(~F.col("size_ok")), 0, at_least=False),
-        row_gate(rows, min_rows),
+        check_row(rows, "unreadable", F.count_if(~F.col("readable")), 0, at_least=False),
+        check_row(rows, "row_count", F.sum("n"), min_rows),
     ]
     if encodings is not None:
         parts.append(check_row(encodings, "not_utf8", F.count_if(~F.col("is_utf8")), 0, at_least=False))

@@ -40,10 +40,10 @@ def missing_matrix(df: DataFrame, block: Column, columns: list[str]) -> DataFram
 
 
 def _quantiles(values: DataFrame, columns: list[str], probabilities: dict[str, float]) -> DataFrame:
-    """``measure`` and one column per probability. At most one row per profiled column."""
+    """``measure``, ``whole`` and one column per probability. At most one row per profiled column."""
     targets = [Target(f"{c}/{name}", c, p) for c in columns for name, p in probabilities.items()]
     found = order_statistics(values, targets).withColumn("_which", F.substring_index("target", "/", -1))
-    return found.groupBy("measure").agg(
+    return found.groupBy("measure", "whole").agg(
         *[F.max(F.when(F.col("_which") == name, F.col("value"))).alias(name) for name in probabilities]
     )
 
@@ -70,29 +70,29 @@ def numeric_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _binned(values: DataFrame, bins: int) -> DataFrame:
-    """``measure, bin, n`` plus the range and size of the measure; the ranges are one row per profiled column."""
-    ranges = values.groupBy("measure").agg(
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.count(F.lit(1)).alias("total"),
-        F.stddev_samp("value").alias("std"),
-    )
+def _ranges(values: DataFrame) -> DataFrame:
+    return values.groupBy("measure").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+def _binned(values: DataFrame, ranges: DataFrame, bins: int) -> DataFrame:
+    """``measure, bin, n`` and the columns of ``ranges``, which has one row per profiled column with at least ``low`` and
+    ``high``."""
     share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
     number = F.when(
         F.col("high") > F.col("low"), F.least(F.floor(share * F.lit(float(bins))) + 1, F.lit(bins))
     ).otherwise(F.lit(1))
     return (
         values.join(F.broadcast(ranges), "measure")
-        .groupBy("measure", number.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("low", "high", "total", "std")])
+        .groupBy(*ranges.columns, number.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     """Equal-width bins per column; empty bins are left out."""
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    return _binned(long_values(df, columns), bins).select(
+    values = long_values(df, columns)
+    return _binned(values, _ranges(values), bins).select(
         F.col("measure").alias("column_name"),
         "bin",
         rounded(F.col("low") + width * (F.col("bin") - 1), 6).alias("low_edge"),
@@ -107,20 +107,18 @@ def kernel_density(df: DataFrame, columns: list[str], bins: int = 64) -> DataFra
     The kernel sum runs over the at most ``bins`` histogram bins of its column, held in one array per column.
     """
     values = long_values(df, columns)
-    spread = _quantiles(values, columns, {"q1": 0.25, "q3": 0.75}).withColumn("iqr", F.col("q3") - F.col("q1"))
+    spread = _quantiles(values, columns, {"q1": 0.25, "q3": 0.75}).select(
+        "measure", "whole.*", (F.col("q3") - F.col("q1")).alias("iqr")
+    )
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
 
     def centre(number: Column) -> Column:
         return F.col("low") + width * (number - F.lit(0.5))
 
     per_column = (
-        _binned(values, bins)
-        .groupBy("measure")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"),
-            *[F.first(c).alias(c) for c in ("low", "high", "total", "std")],
-        )
-        .join(F.broadcast(spread), "measure")
+        _binned(values, spread, bins)
+        .groupBy(*spread.columns)
+        .agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"))
         .withColumn(
             "h",
             F.lit(0.9)
@@ -172,27 +170,57 @@ def outliers(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Groups of rows equal in ``columns`` (default: all), with their size. Copies collapse before the shuffle."""
-    return df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+def _row_hash(columns: list[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row, nulls told apart from absent values by their place."""
+    cells = [F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in columns]
+    return F.xxhash64(*cells), F.xxhash64(F.lit(1), *cells[::-1])
 
 
-def duplicate_summary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def _duplicate_groups(df: DataFrame, columns: list[str], hashes: tuple[Column, Column]) -> tuple[DataFrame, DataFrame]:
+    """(hash groups with their size, groups of equal rows within hash groups above one). Rows are grouped by hashes alone;
+    only rows whose hashes occur again are compared whole."""
+    a, b = hashes
+    hashed = df.select(*[F.col(f"`{c}`") for c in columns]).withColumns({"_a": a, "_b": b})
+    by_hash = hashed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_rows"))
+    again = by_hash.where(F.col("_rows") > 1).select("_a", "_b")
+    equal = hashed.join(again, ["_a", "_b"]).groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    return by_hash, equal
+
+
+def duplicate_rows(df: DataFrame, columns: list[str] | None = None, hashes: tuple[Column, Column] | None = None) -> DataFrame:
+    """Groups of rows equal in ``columns`` (default: all), with their size. ``hashes`` replaces the row hash; any pair of
+    expressions that equal rows share gives the same result."""
+    columns = columns or df.columns
+    _, equal = _duplicate_groups(df, columns, hashes or _row_hash(columns))
+    return equal.where(F.col("copies") > 1)
+
+
+def duplicate_summary(df: DataFrame, columns: list[str] | None = None, hashes: tuple[Column, Column] | None = None) -> DataFrame:
     """One row: rows, distinct rows, duplicated groups, and rows beyond the first of each group."""
-    groups = df.groupBy(*(columns or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
+    columns = columns or df.columns
+    by_hash, equal = _duplicate_groups(df, columns, hashes or _row_hash(columns))
     copies, nothing = F.col("copies"), F.lit(0).cast("bigint")
-    return groups.agg(
-        F.coalesce(F.sum(copies), nothing).alias("total_rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
+    alone = by_hash.agg(
+        F.coalesce(F.sum("_rows"), nothing).alias("total_rows"), F.count_if(F.col("_rows") == 1).alias("alone")
+    )
+    groups = equal.agg(
+        F.count(F.lit(1)).alias("groups"),
         F.count_if(copies > 1).alias("duplicate_groups"),
         F.coalesce(F.sum(copies - 1), nothing).alias("surplus_rows"),
     )
+    found = groups.select(F.struct(*groups.columns)).scalar()
+    return alone.select(
+        "total_rows",
+        (F.col("alone") + found["groups"]).alias("distinct_rows"),
+        found["duplicate_groups"].alias("duplicate_groups"),
+        found["surplus_rows"].alias("surplus_rows"),
+    )
 
 
 def profile_sample(df: DataFrame, rows: int = 200_000, seed: int = 42) -> DataFrame:
-    """At most ``rows`` random rows: a Bernoulli sample a little over the target size, cut to it by the lowest draws.
-    A table that is not larger than the target comes back whole."""
+    """``rows`` random rows: a Bernoulli sample over the target size by ten standard deviations and 100 rows, cut to it by
+    the lowest draws. A table that is not larger than the target comes back whole."""
     size = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    fraction = F.lit(float(rows)) * 1.05 / F.nullif(size, F.lit(0)).cast("double")
+    fraction = F.lit(rows + 10 * math.sqrt(rows) + 100) / F.nullif(size, F.lit(0)).cast("double")
     drawn = df.withColumn("_draw", F.rand(seed)).where(F.col("_draw") < F.coalesce(fraction, F.lit(1.0)))
     return drawn.orderBy("_draw").limit(rows).drop("_draw")

@@ -6,12 +6,14 @@ Exact path
 row. Here the wanted order statistics are located by narrowing:
 
 1. one narrow scan counts rows per coarse bucket (monotone, logarithmic, 0.2 % wide) -> the bucket of each rank;
-2. a second one counts the distinct values of the chosen buckets only, a small share of the rows;
-3. inside a bucket, counts per equal-width cell lead to the cell of the rank, and a running count to the value.
+2. a second one counts the distinct values of the chosen buckets only, a small share of the rows; every such count stays
+   with its task until
+3. three times over, counts per equal-width cell (of the cell chosen before) lead to the cell of the rank.
 
-All counting combines on the map side, so a hot value costs one row per task. What reaches a single task or a
-broadcast is bounded by the number of buckets, cells or targets, never by the number of rows. The scans read only the
-columns asked for; give a stored table rather than an expensive plan.
+All counting combines on the map side, so a hot value costs one row per task. A bucket holds at most 2**43 different
+doubles and each level divides by 2**15, so the last cell holds one value, however the values crowd. What reaches a single
+task or a broadcast is bounded by the number of buckets, cells or targets, never by the number of rows or values. The scans
+read only the columns asked for; give a stored table rather than an expensive plan.
 
 Approximate path
 ----------------
@@ -26,9 +28,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOG_STEPS = 512  # buckets per e-fold of 1 + |value|
-_LOG_LIMIT = 400_000.0  # above the largest finite bucket (log1p(1.8e308) * 512); holds the infinities
-_CELLS = 65_536
+_LOG_STEPS = 512  # buckets per e-fold of |value|
+_LOG_OFFSET = 382_000  # above -512 * log(5e-324): every value but zero has a bucket above 0
+_LOG_LIMIT = 365_000.0  # above 512 * log(1.8e308); holds the infinities
+_CELLS = 32_768
+_LEVELS = 3
 
 
 @dataclass(frozen=True)
@@ -53,8 +57,8 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _coarse_bucket(value: Column) -> Column:
-    steps = F.least(F.log1p(F.abs(value)) * F.lit(float(_LOG_STEPS)), F.lit(_LOG_LIMIT))
-    return (F.signum(value) * F.floor(steps)).cast("bigint")
+    steps = F.floor(F.least(F.ln(F.abs(value)) * F.lit(float(_LOG_STEPS)), F.lit(_LOG_LIMIT))) + _LOG_OFFSET
+    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * steps).cast("bigint")
 
 
 def _fine_cell(value: Column, low: Column, high: Column) -> Column:
@@ -62,12 +66,18 @@ def _fine_cell(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, F.floor(share * F.lit(float(_CELLS)))).otherwise(F.lit(0)).cast("bigint")
 
 
-def _keep_cell_of_rank(cells: DataFrame, group: str, order: str) -> DataFrame:
-    """Keep, per group, the ordered cell in which ``rank`` falls; ``rank`` becomes relative to that cell."""
-    upto = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = cells.withColumn("_upto", F.sum("n").over(upto))
-    inside = (F.col("rank") <= F.col("_upto")) & (F.col("rank") > F.col("_upto") - F.col("n"))
-    return running.where(inside).withColumn("rank", F.col("rank") - (F.col("_upto") - F.col("n"))).drop("_upto")
+def _cell_of_rank(placed: DataFrame) -> DataFrame:
+    """Per target the equal-width cell in which its rank falls: smallest and largest value, rank within the cell."""
+    cells = placed.groupBy("target", "rank", _fine_cell(F.col("value"), F.col("low"), F.col("high")).alias("cell")).agg(
+        F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    upto = Window.partitionBy("target").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.col("_upto") - F.col("n")
+    return (
+        cells.withColumn("_upto", F.sum("n").over(upto))
+        .where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > before))
+        .select("target", "low", "high", (F.col("rank") - before).alias("rank"))
+    )
 
 
 def _wanted(targets: list[Target]) -> Column:
@@ -85,18 +95,22 @@ def _wanted(targets: list[Target]) -> Column:
 
 
 def coarse_counts(values: DataFrame) -> DataFrame:
-    """Per measure and coarse bucket: rows, negatives, smallest and largest value. A few thousand rows per measure."""
+    """Per measure and coarse bucket: rows, negatives, smallest and largest value, mean and variance. A few thousand rows
+    per measure."""
     value = F.col("value")
     return values.groupBy("measure", _coarse_bucket(value).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(value < 0).alias("negatives"),
         F.min("value").alias("low"),
         F.max("value").alias("high"),
+        F.avg("value").alias("mean"),
+        F.var_pop("value").alias("variance"),
     )
 
 
 def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
-    """``(target, measure, value)``: one row per target whose measure has any value."""
+    """``(target, measure, value, whole)``: one row per target whose measure has any value. ``whole`` tells ``low``,
+    ``high``, ``total`` (rows) and ``std`` of the measure, which the first scan finds anyway."""
     names = [t.name for t in targets]
     if len(set(names)) != len(names):
         raise ValueError(f"target names must be distinct: {names}")
@@ -116,8 +130,15 @@ def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
                 "_upto": F.sum("n").over(upto),
                 "_total": F.sum("n").over(whole),
                 "_negatives": F.sum("negatives").over(whole),
+                "_low": F.min("low").over(whole),
+                "_high": F.max("high").over(whole),
+                "_mean": F.sum(F.col("mean") * F.col("n")).over(whole) / F.sum("n").over(whole),
             }
         )
+        .withColumn(
+            "_squares",
+            F.sum(F.col("n") * (F.col("variance") + F.pow(F.col("mean") - F.col("_mean"), F.lit(2.0)))).over(whole),
+        )
         .select("*", F.inline(wanted))
         .withColumn(
             "rank",
@@ -128,26 +149,46 @@ def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
         )
     )
     before = F.col("_upto") - F.col("n")
-    buckets = ranked.where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > before)).select(
-        "target", "measure", "bucket", "low", "high", (F.col("rank") - before).alias("rank")
+    std = F.when(F.col("_total") > 1, F.sqrt(F.col("_squares") / (F.col("_total") - 1)))
+    chosen = (
+        ranked.where((F.col("rank") <= F.col("_upto")) & (F.col("rank") > before))
+        .select(
+            "measure",
+            "bucket",
+            "low",
+            "high",
+            F.struct(
+                F.col("_low").alias("low"), F.col("_high").alias("high"), F.col("_total").alias("total"), std.alias("std")
+            ).alias("whole"),
+            F.struct("target", (F.col("rank") - before).alias("rank")).alias("wanted"),
+        )
+        .groupBy("measure", "bucket", "low", "high", "whole")
+        .agg(F.sort_array(F.collect_list("wanted")).alias("wanted"))
     )
 
-    # step 2: value counts of the chosen buckets only. What is broadcast has one row per target.
+    # step 2: value counts of the chosen buckets only. What is broadcast has one row per bucket with a target. Everything
+    # else known about the bucket is a grouping key too, so that all uses below share one shuffle.
+    keys = ["measure", "bucket", "low", "high", "whole", "wanted"]
     counts = (
         values.withColumn("bucket", _coarse_bucket(F.col("value")))
-        .join(F.broadcast(buckets), ["measure", "bucket"], "left_semi")
-        .groupBy("measure", "bucket", "value")
+        .join(F.broadcast(chosen), ["measure", "bucket"])
+        .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-    # step 3: inside each bucket, the equal-width cell of the rank; inside the cell, the value
-    placed = counts.join(F.broadcast(buckets), ["measure", "bucket"]).withColumn(
-        "cell", _fine_cell(F.col("value"), F.col("low"), F.col("high"))
+    # step 3: cell by cell to the value
+    placed = counts.select("measure", "whole", "low", "high", "value", "n", F.inline("wanted"))
+    for _ in range(_LEVELS):
+        cell = _cell_of_rank(placed)
+        placed = (
+            placed.drop("low", "high", "rank")
+            .join(F.broadcast(cell), "target")
+            .where((F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high")))
+        )
+    # one value is left per target; its counts may come from several tasks
+    return placed.groupBy("target", "measure", "whole").agg(F.min("value").alias("value")).select(
+        "target", "measure", "value", "whole"
     )
-    per_cell = placed.groupBy("target", "cell").agg(F.sum("n").alias("n"), F.first("rank").alias("rank"))
-    cells = _keep_cell_of_rank(per_cell, "target", "cell").select("target", "cell", "rank")
-    left = placed.drop("rank").join(F.broadcast(cells), ["target", "cell"])
-    return _keep_cell_of_rank(left, "target", "value").select("target", "measure", "value")
 
 
 def exact_quantiles(df: DataFrame, targets: list[Target]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from tripmart.sources.sinks import write_table
 from tripmart.sources.tables import scan_table
 
 
+#: What a table that is missing, truncated or no Parquet raises, depending on where Spark notices.
+_UNREADABLE = (PySparkException, Py4JJavaError)
+
+
 def prepared_trips(raw: DataFrame, statistics: DataFrame | None = None, method: str = "exact") -> DataFrame:
     """Cleaned trips with every derived column."""
     return clean_trips(raw, statistics, method).transform(derive_columns)
@@ -26,14 +31,16 @@ def build_warehouse(
     raw: DataFrame,
     base: str,
     method: str = "exact",
-    rebalance: bool = True,
+    rebalance: bool = False,
     by_year: bool = False,
 ) -> dict[str, int]:
     """Write the five tables below ``base`` and return their row counts.
 
     The raw trips are read three times, by column: fare and distance for the statistics, all used columns for the
     fact, four for ``dim_payment``. ``dim_time`` and ``dim_location`` read two columns each of the written fact.
-    ``by_year`` puts the year in front of the month as a partition level.
+    ``by_year`` puts the year in front of the month as a partition level. The fact is written where it is read: raw files
+    that follow the months give a task one month or two. ``rebalance`` shuffles it by month first, for raw files that
+    do not (every task would write every month).
     """
     spark = raw.sparkSession
     fact = M.fact_columns(prepared_trips(raw, method=method))
@@ -76,13 +83,13 @@ def validate_warehouse(
     def rows_or_reason(name: str) -> list[tuple]:
         try:
             return rows_of(checked(name))
-        except PySparkException as problem:
+        except _UNREADABLE as problem:
             reason = (str(problem).splitlines() or [type(problem).__name__])[0]
             return [(name, "readable", None, expected.get(name), None, "error", False, reason)]
 
     try:
         rows = rows_of(reduce(DataFrame.unionByName, [checked(name) for name in S.TABLES]))
-    except PySparkException:
+    except _UNREADABLE:
         rows = [row for name in S.TABLES for row in rows_or_reason(name)]
     return spark.createDataFrame(rows, VERDICTS)
 

@@ -1,23 +1,17 @@
 """File-level checks of a landing folder, on Spark's file listing.
 
 The listing reads names, sizes and times only. Content checks run where the data is: text files are split into lines
-over all tasks, checksums are taken one file per row.
+over all tasks, checksums are taken one file per row, always by Spark's own reader: a file above
+``spark.sql.sources.binaryFile.maxLength`` (2 GB, the most a value can hold) is an error.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 
-_CHUNK = 8 * 1024 * 1024
-_WHOLE_FILE_LIMIT = 256 * 1024 * 1024
-
 
 def _binary_files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -31,19 +25,20 @@ def _uri() -> Column:
     return F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("path")
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``path, length, modified_at`` of every file, paths as URIs; contents are not read.
+def _with_empty_files(files: DataFrame, scanned: DataFrame) -> DataFrame:
+    """A scan leaves out files of zero bytes. Their names come from the file index, the list of names Spark's driver holds
+    for any scan; they get length 0."""
+    names = files.sparkSession.createDataFrame([(name,) for name in files.inputFiles()], "path string")
+    length = F.coalesce(F.col("length"), F.lit(0).cast("bigint"))
+    return names.join(scanned, "path", "left").withColumn("length", length)
 
-    A scan leaves out files of zero bytes. Their names come from the file index, the list of names Spark's driver holds
-    for any scan; they have length 0 and no time.
-    """
+
+def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``path, length, modified_at`` of every file, paths as URIs; contents are not read. A file of zero bytes has no
+    time."""
     files = _binary_files(spark, path, pattern)
-    scanned = files.select(
-        _uri(), "length", F.col("modificationTime").alias("modified_at")
-    )
-    names = spark.createDataFrame([(name,) for name in files.inputFiles()], "path string")
-    length = F.coalesce(F.col("length"), F.lit(0).cast("bigint"))
-    return names.join(scanned, "path", "left").select("path", length.alias("length"), "modified_at")
+    scanned = files.select(_uri(), "length", F.col("modificationTime").alias("modified_at"))
+    return _with_empty_files(files, scanned).select("path", "length", "modified_at")
 
 
 def file_gate(
@@ -62,37 +57,13 @@ def file_gate(
     ).withColumn("passed", F.col("extension_ok") & F.col("size_ok"))
 
 
-def _digest_in_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for frame in frames:
-        digests = []
-        for path in frame["path"]:
-            system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            digest = hashlib.md5()
-            with system.open_input_stream(name, compression=None) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield frame.assign(md5=digests)
-
-
-def file_md5(
-    spark: SparkSession, path: str, pattern: str | None = None, whole_file_limit: int = _WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """``path, length, md5``. Files up to the limit are hashed in the JVM; larger ones, which must not sit in memory
-    as one value, are read in chunks by the task that owns the row."""
+def file_md5(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """``path, length, md5`` of every file."""
     files = _binary_files(spark, path, pattern)
-    small = files.where(F.col("length") <= whole_file_limit).select(
-        _uri(), F.md5("content").alias("md5")
-    )
-    large = list_files(spark, path, pattern).where(F.col("length") > whole_file_limit).select("path")
-    digests = small.unionByName(large.mapInPandas(_digest_in_chunks, "path string, md5 string"))
+    scanned = files.select(_uri(), "length", F.md5("content").alias("md5"))
     of_nothing = F.md5(F.lit("").cast("binary"))
-    return (
-        list_files(spark, path, pattern)
-        .join(digests, "path", "left")
-        .select("path", "length", F.when(F.col("length") == 0, of_nothing).otherwise(F.col("md5")).alias("md5"))
+    return _with_empty_files(files, scanned).select(
+        "path", "length", F.when(F.col("length") == 0, of_nothing).otherwise(F.col("md5")).alias("md5")
     )
 
 

@@ -52,15 +52,13 @@ def write_csv(df: DataFrame, path: str) -> int:
 
 
 def land_batch(df: DataFrame, path: str, year: int, month: int) -> int:
-    """Write a batch below ``year=/month=`` of its load date, replacing an earlier load of that month only."""
+    """Write a batch below ``year=/month=`` of its load date, replacing an earlier load of that month only. The month's
+    own folder is overwritten, so an empty batch replaces too (it leaves a file without rows)."""
     landed = Observation()
     (
-        df.withColumns({"year": F.lit(year), "month": F.lit(month)})
-        .observe(landed, F.count(F.lit(1)).alias("rows"))
+        df.observe(landed, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy("year", "month")
-        .parquet(path)
+        .parquet(f"{path}/year={year}/month={month}")
     )
     return landed.get["rows"]

@@ -10,21 +10,36 @@ from pyspark.sql import types as T
 from tripmart import schemas as S
 
 
+def conform_trips(df: DataFrame) -> DataFrame:
+    """A batch in the declared raw schema: columns found by name in any case, values converted where they can be (else
+    null), absent columns null, others left out. Publishers change names and types from month to month."""
+    found = {name.lower(): name for name in df.columns}
+    return df.select(
+        *[
+            (F.col(f"`{found[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in found else F.lit(None).cast(f.dataType))
+            .alias(f.name)
+            for f in S.RAW_TRIPS.fields
+        ]
+    )
+
+
 def scan_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw trips from Parquet. Types stay as stored; the cleaning step brings them to the working types."""
-    return spark.read.parquet(*paths)
+    """Landed raw trips, in the declared schema (no inference, and nothing to infer from is no error); partition columns
+    of the path follow."""
+    return spark.read.schema(S.RAW_TRIPS).parquet(*paths)
 
 
-def scan_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def scan_table(spark: SparkSession, base: str, name: str, by_year: bool = False) -> DataFrame:
     """A warehouse table. A partitioned write of no rows leaves no file to take the schema from: the fact table then
-    has its declared one."""
+    has its declared one, with the year if it was written ``by_year``."""
     path = f"{base}/{name}"
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
         if name != "fact_trips" or problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.read.schema(S.FACT_TRIPS).parquet(path)
+        schema = T.StructType(S.FACT_TRIPS.fields)
+        return spark.read.schema(schema.add("pickup_year", "int") if by_year else schema).parquet(path)
 
 
 def scan_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:

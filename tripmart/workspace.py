@@ -41,3 +41,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file, through Spark's own file systems, so that any shared folder will do."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
