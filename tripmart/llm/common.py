@@ -26,7 +26,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str)
     hot = groups.where(F.col(size) * HOT_SHARE > F.lit(total))
     cold = groups.where(F.col(size) * HOT_SHARE <= F.lit(total))
     near = rows.join(F.broadcast(hot), keys, "inner")
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, "left")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold.hint("merge"), keys, "left")
     return near.unionByName(rest)
 
 

@@ -5,7 +5,8 @@ at its first occurrence, by (id, position); a line is removed if any later occur
 covered stretches merge, so a repeated passage of n lines goes as a whole. Windows of three blank lines do not count.
 
 Only hashes and positions are shuffled to find repeats; they combine per task first, and windows that a large share of
-the corpus has are joined without a shuffle of their rows. Texts are shuffled once, to meet the positions. Rebuilding a text
+the corpus has are joined without a shuffle of their rows. Texts are shuffled once, to meet the positions, in a
+sort-merge join at every size: the positions grow with the corpus. Rebuilding a text
 slices its lines between covered stretches, in time linear in the text.
 
 Null texts stay null; texts of fewer than three lines stay. Ids that are null come first. Documents of one id with different
@@ -91,7 +92,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = [c for c in docs.columns if c != "lines_removed"]
     rows = docs.select(*names).alias("d").withColumn("_hash", F.xxhash64(text_col))
     joined = rows.join(
-        later.alias("l"),
+        later.alias("l").hint("merge"),
         F.col(f"d.{id_col}").eqNullSafe(F.col("l.id")) & (F.col("_hash") == F.col("l.text_hash")),
         "left",
     )
