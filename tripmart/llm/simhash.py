@@ -142,7 +142,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> Dat
     shared = materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     parts = F.ceil(F.col("n") / F.lit(cell)).cast("int")
     dealt = (
-        rows.join(shared, "key")
+        rows.join(shared.hint("merge"), "key")
         .withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
