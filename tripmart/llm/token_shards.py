@@ -220,8 +220,9 @@ def read_shards(spark: SparkSession, path: str, as_bytes: bool = False) -> DataF
 
     kind = "binary" if as_bytes else "array<int>"
     rows = files.mapInArrow(run, f"shard bigint, id bigint, start bigint, n_tokens bigint, ids {kind}")
-    bases = shard_bases(spark, path)
-    return rows.join(bases, "shard").select(
+    # one row of two numbers per shard file: a millionth of the data, and no more than the list of files that any scan
+    # holds on the driver
+    return rows.join(F.broadcast(shard_bases(spark, path)), "shard").select(
         "id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids"
     )
 
