@@ -51,7 +51,7 @@ def test_likeness():
     half = a[:2_000] + b[:2_000]
     shifted = b"xyz" + a
     one, two, mixed, moved = P.chains([a, b, half, shifted])
-    assert one.likeness(one) == 1.0 and one.likeness(two) < 0.05
+    assert one.likeness(one) == 1.0 and one.likeness(two) < 0.1
     assert 0.3 < one.likeness(mixed) < 0.7
     assert one.likeness(moved) > 0.9
     empty, other = P.chains([b"", b"x"])

@@ -132,7 +132,7 @@ class Chain:
             common = np.bitwise_count(theirs & row).sum(axis=1, dtype=np.int64)
             chance = own * ones / FILTER_BITS
             total += count * float(np.max((common - chance) / np.maximum(own - chance, 1e-9)))
-        return min(1.0, max(0.0, total / int(few.counts.sum())))
+        return float(min(1.0, max(0.0, total / int(few.counts.sum()))))
 
 
 def chains(texts: list[bytes]) -> list[Chain]:

@@ -36,8 +36,8 @@ SAMPLE_TEXTS = 5_000
 STEMS = 5_000
 STEM_SIZES = (4, 5, 6, 7)
 #: Least log-likelihood ratio of a learned stem, and least share of toxic texts among those that have it.
-EVIDENCE = 14.0
-PURITY = 0.7
+EVIDENCE = 9.0
+PURITY = 0.85
 
 PLAIN, INSULT, THREAT, TARGET, NEGATION, REPORT, FILLER, BREAK, QUOTE = range(9)
 SEEDS = {

@@ -227,6 +227,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     the full payload, the payload (null for a revisit, which has none), and where it lies. A payload that does not have its
     header's digest is an error."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    if "kind" not in files.columns:  # no archives, hence no folders to name
+        return spark.createDataFrame([], READ)
     warc = files.where("kind = 'warc'").select("archive", F.col("content").alias("warc"))
     index = files.where("kind = 'index'").select("archive", F.col("content").alias("index"))
 
