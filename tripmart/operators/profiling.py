@@ -83,8 +83,8 @@ def _binned(values: DataFrame, ranges: DataFrame, bins: int) -> DataFrame:
     ).otherwise(F.lit(1))
     return (
         values.join(F.broadcast(ranges), "measure")
-        .groupBy(*ranges.columns, number.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("measure", number.cast("int").alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ranges.columns if c != "measure"])
     )
 
 
@@ -117,8 +117,11 @@ def kernel_density(df: DataFrame, columns: list[str], bins: int = 64) -> DataFra
 
     per_column = (
         _binned(values, spread, bins)
-        .groupBy(*spread.columns)
-        .agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"))
+        .groupBy("measure")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("bins"),
+            *[F.first(c).alias(c) for c in spread.columns if c != "measure"],
+        )
         .withColumn(
             "h",
             F.lit(0.9)
