@@ -86,3 +86,12 @@ def test_tricky(tricky, nothing, content, library):
     assert all(r.decoded == library.decode(r.ids, skip_special_tokens=False) for r in rows)
     assert set(out.columns) == (set(tricky.columns) - {"text"}) | {"decoded"}
     assert bpe.decode(bpe.encode(nothing, content), content).count() == 0
+
+
+def test_frequent_words(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1 + 1000 // (i + 1)) for i in range(300)], "word string, n bigint")
+    for room in (0, 1, 10, 100, 1_000):
+        found = set(bpe.frequent_words(counts, room))
+        assert len(found) <= room and found == {f"w{i}" for i in range(len(found))}
+    assert len(bpe.frequent_words(counts, 1_000)) == 300 and len(bpe.frequent_words(counts, 100)) > 60
+    assert bpe.frequent_words(counts.limit(0)) == []

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import pieces, schema_with, with_columns
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
 from tripmart.llm.word_bpe import Speller, Vocabulary
-from tripmart.workspace import session_root, write_bytes
+from tripmart.workspace import materialise, session_root, write_bytes
 
 LEXICON_WORDS = 65_536
 #: A task hands on its word counts when it holds so many distinct words.
@@ -73,12 +73,26 @@ def _words_only(seen: Counter, out) -> pa.RecordBatch:
     return out()
 
 
+def frequent_words(counts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
+    """The words from some number of occurrences on, as many as fit into ``words``. The number is found on a logarithmic
+    scale of some hundred steps, so what reaches the driver is that histogram and the words."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()
+    room, least = words, None
+    for row in sorted(sizes, reverse=True):
+        room -= row.words
+        if room < 0:
+            break
+        least = row.step
+    return [r.word for r in counts.where(step >= least).select("word").collect()] if least is not None else []
+
+
 def build_lexicon(docs: DataFrame, content: bytes, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
-    """Compile the most frequent words (ties by code point) and return the name under which executors find the file."""
+    """Compile the most frequent words and return the name under which executors find the file."""
     spark = docs.sparkSession
-    top = word_counts(docs, content, text_col).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    top = frequent_words(materialise(word_counts(docs, content, text_col), "word-counts"), words)
     vocabulary = _vocabulary(content)
-    compiled = compile_lexicon((row.word.encode(), vocabulary.merge(row.word)) for row in top)
+    compiled = compile_lexicon((word.encode(), vocabulary.merge(word)) for word in top)
     name = f"lexicon-{uuid.uuid4().hex[:12]}.bin"
     path = f"{session_root(spark)}/{name}"
     write_bytes(spark, path, compiled)
