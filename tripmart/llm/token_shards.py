@@ -12,8 +12,7 @@ documents in ascending id order, each compressed by itself with the shared dicti
 
 The NUL after each part is the record separator of Spark's text writer, which writes the files: so a lost task is written
 again and only whole shards appear. Readers open a shard from its end and refuse another dictionary. The dictionary is
-trained on the serialized ids of a bounded number of documents (the first by a hash of id and text); it changes sizes, not
-contents.
+trained on the serialized ids of about SAMPLE_DOCUMENTS documents, chosen by a hash; it changes sizes, not contents.
 
 Texts are not shuffled. Compressed documents are, once, by ranges of id. A null text has no ids but what ``end_id`` adds. Null
 ids come first; rows of one id lie next to each other, ordered by their bytes. Extra columns are ignored. An empty table
@@ -76,10 +75,13 @@ def _serialized(content: bytes, text_col: str, end_id: int | None, width: int, i
 
 
 def train_dictionary(docs, content, id_col="doc_id", text_col="text", end_id=None, width=2, sample=SAMPLE_DOCUMENTS, size=DICTIONARY_BYTES) -> bytes:
-    """From at most ``sample`` documents. Too few or too small ones give no dictionary, which is also a valid one."""
+    """From about ``sample`` documents, chosen by a hash of id and text; of each the first 32 KB count. Too few or too small
+    ones give no dictionary, which is also a valid one."""
     import zstandard
 
-    chosen = docs.select(id_col, text_col).orderBy(F.xxhash64(id_col, text_col)).limit(sample)
+    step = 1 << 40
+    part = min(step, -(-sample * step // max(1, docs.select(id_col).count())))
+    chosen = docs.select(id_col, text_col).where(F.pmod(F.xxhash64(id_col, text_col), F.lit(step)) < part)
     rows = chosen.mapInArrow(
         _serialized(content, text_col, end_id, width, id_col, lambda: lambda raw: raw[: 1 << 15]),
         "id bigint, tokens bigint, frame binary",
