@@ -89,6 +89,35 @@ def test_no_pairs_are_spelled_out(spark):
     assert simhash.near_links(crowd).count() <= 31 * 60
 
 
+def test_similar_links(spark):
+    """Copies, near copies by changed words, texts that share half, and short texts."""
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    texts = {}
+    for group in range(30):
+        base = [word() for _ in range(300)]
+        for member in range(4):
+            changed = list(base)
+            for _ in range(member * 2):
+                changed[draw.randrange(300)] = word()
+            texts[group * 10 + member] = " ".join(changed)
+        texts[group * 10 + 4] = texts[group * 10]
+        texts[group * 10 + 5] = " ".join(base[:150] + [word() for _ in range(150)])
+    texts |= {1000: "", 1001: None, 1002: "a", 1003: "A", 1004: "b"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    expected = brute_components(close, sets)
+    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], sets)
+    assert all(expected[i] == expected[found[i]] for i in sets)  # no false link
+    pairs = [(a, b) for a, b in close]
+    assert sum(found[a] == found[b] for a, b in pairs) > 0.8 * len(pairs)
+    assert found[4] == 0 and found[1003] == 1002 and found[1004] == 1004
+
+
 def test_tricky(tricky, nothing):
     rows = simhash.link(simhash.fingerprints(tricky.select("doc_id", "text")).withColumnRenamed("doc_id", "id")).collect()
     assert len(rows) == len(ROWS)
@@ -102,3 +131,9 @@ def test_tricky(tricky, nothing):
     out = simhash.fingerprints(tricky)
     assert set(out.columns) == set(tricky.columns) - {"text"} and dict(out.dtypes)["fingerprint"] == "bigint" and out.count() == len(ROWS)
     assert simhash.link(simhash.fingerprints(nothing.select("doc_id", "text")).withColumnRenamed("doc_id", "id")).count() == 0
+
+
+def test_similar_links_tricky(tricky, nothing):
+    found = brute_components([tuple(r) for r in simhash.similar_links(tricky).collect()], {i for i, *_ in ROWS if i is not None})
+    assert found[8] == found[7] == 7
+    assert simhash.similar_links(nothing).count() == 0

@@ -37,14 +37,14 @@ SEED = 42
 CELL = 512
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """Of the UTF-8 of a text: lower-case A-Z, words between ASCII white space, shingles with repeats, majority of the
-    XXH64 (seed 42) bits, ties to 0."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles, repeats included, of the UTF-8 of a text: A-Z in lower case, words between ASCII
+    white space."""
     from xxhash import xxh64_intdigest
 
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     line = b" ".join(words)
     if len(words) < shingle:
         hashes = [xxh64_intdigest(line, SEED)]
@@ -53,7 +53,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         starts = np.concatenate(([0], ends[:-1] + 1))
         cuts = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
         hashes = list(map(xxh64_intdigest, [line[a:b] for a, b in cuts], repeat(SEED)))
-    array = np.array(hashes, dtype="<u8")
+    return np.array(hashes, dtype="<u8")
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, distinct: bool = False) -> int:
+    """The majority of each bit over the hashes of the shingles, ties to 0; ``distinct`` counts a shingle once."""
+    array = shingle_hashes(text, shingle)
+    if not len(array):
+        return 0
+    if distinct:
+        array = np.unique(array)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(array), 1 << 16):  # a very long text takes no more memory than 4 MB here
         part = array[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -61,12 +70,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(array), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE, distinct: bool = False
+) -> DataFrame:
     """The documents with their fingerprint as a signed 64-bit number in place of the text."""
 
     def run(batches):
         for batch in pieces(batches, text_col):
-            prints = np.array([fingerprint(t, shingle) for t in text_bytes(batch, text_col)], dtype=np.uint64)
+            prints = np.array([fingerprint(t, shingle, distinct) for t in text_bytes(batch, text_col)], dtype=np.uint64)
             rest = batch.select([n for n in batch.schema.names if n != text_col])
             yield with_columns(rest, **{out: pa.array(prints.view(np.int64))})
 
@@ -137,8 +148,10 @@ def _links(radius: int):
 def near_links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     """``prints`` is a table of distinct values in column fingerprint. Returns links a, b that connect exactly the
     fingerprints that links of at most ``radius`` bits connect."""
-    keys = [F.xxhash64(F.lit(t), F.col("fingerprint").bitwiseAND(F.lit(m))) for t, m in enumerate(covering_masks(radius))]
-    rows = prints.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
+    masks = F.array(*[F.lit(m) for m in covering_masks(radius)])
+    rows = prints.select("fingerprint", F.posexplode(masks).alias("table", "mask")).select(
+        "fingerprint", F.xxhash64("table", F.col("fingerprint").bitwiseAND(F.col("mask"))).alias("key")
+    )
     shared = materialise(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     parts = F.ceil(F.col("n") / F.lit(cell)).cast("int")
     dealt = (
@@ -173,3 +186,52 @@ def link(docs: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     return join_groups(docs, materialise(by_print, "by_print"), ["fingerprint"], "copies").select(
         "id", "fingerprint", "component_id", "component_size"
     )
+
+
+def similar_links(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 5,
+    similarity: float = 0.8,
+    search_shingle: int = 2,
+    radius: int = 6,
+) -> DataFrame:
+    """Links a, b of ids of documents whose sets of word shingles have a Jaccard similarity of at least ``similarity``.
+
+    Candidates are near fingerprints, of shorter shingles counted once: one changed word changes five shingles of five
+    words, but only two of two. Each candidate is then compared exactly. Equal texts link to the first of them without
+    that; of equal fingerprints of different texts each is compared with the first. Rows without id are left out.
+    """
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+    )
+    prints = materialise(fingerprints(rows, "text", shingle=search_shingle, distinct=True), "fingerprints")
+    texts = materialise(
+        prints.groupBy("fingerprint", "text_hash").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")),
+        "texts",
+    )
+    equal = join_groups(prints, texts, ["fingerprint", "text_hash"], "copies").where("id <> first_id")
+    heads = materialise(texts.groupBy("fingerprint").agg(F.min("first_id").alias("head")), "heads")
+    same = texts.join(heads.hint("merge"), "fingerprint").where("first_id <> head")
+    near = near_links(heads.select("fingerprint"), radius)
+    near = near.join(heads.toDF("a", "a_id").hint("merge"), "a").join(heads.toDF("b", "b_id").hint("merge"), "b")
+    pairs = same.select(F.col("first_id").alias("a"), F.col("head").alias("b")).union(near.select("a_id", "b_id"))
+    pairs = materialise(pairs.distinct(), "pairs")
+
+    def hashed(batches):
+        for batch in pieces(batches, "text"):
+            sets = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in text_bytes(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    known = materialise(
+        rows.select("id", "text").join(wanted.hint("merge"), "id", "left_semi").mapInArrow(
+            hashed, f"id {dict(docs.dtypes)[id_col]}, shingles array<bigint>"
+        ),
+        "shingles",
+    )
+    sides = pairs.join(known.toDF("a", "in_a").hint("merge"), "a").join(known.toDF("b", "in_b").hint("merge"), "b")
+    common = F.size(F.array_intersect("in_a", "in_b"))
+    close = sides.where(common >= similarity * (F.size("in_a") + F.size("in_b") - common))
+    return equal.select(F.col("id").alias("a"), F.col("first_id").alias("b")).union(close.select("a", "b"))
