@@ -5,9 +5,9 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import ROWS
-from tripmart.llm import bpe
+from tripmart.llm import bpe, word_bpe
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
-from tripmart.llm.word_bpe import Speller, Vocabulary, library_resolver
+from tripmart.llm.word_bpe import Speller, Vocabulary
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -38,10 +38,20 @@ def test_spelling_equals_the_library(content, library):
     texts = TEXTS + odd
     own = Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell(texts).to_pylist()
     assert own == expected(library, texts)
-    assert Speller(vocabulary, library_resolver(content)).spell(texts).to_pylist() == own
+    again = Speller(vocabulary, lambda words: map(vocabulary.merge, words))
+    assert [again.spell([t]).to_pylist()[0] for t in reversed(texts)] == own[::-1]
     assert Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell([None, ""]).to_pylist() == [[], []]
 
 
+def test_forgetting_changes_nothing(content, library, monkeypatch):
+    monkeypatch.setattr(word_bpe, "MEMO_WORDS", 6)
+    monkeypatch.setattr(word_bpe, "KEPT", 3)
+    vocabulary = Vocabulary(content)
+    speller = Speller(vocabulary, lambda words: map(vocabulary.merge, words))
+    for text, ids in zip(TEXTS * 2, expected(library, TEXTS * 2), strict=True):
+        assert speller.spell([text]).to_pylist() == [ids]
+
+
 def test_another_kind_of_vocabulary_is_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         Vocabulary(bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")))

@@ -49,30 +49,29 @@ def word_counts(docs: DataFrame, content: bytes, text_col: str = "text") -> Data
     """Every word of the corpus, as the tokenizer cuts and normalises it, with its number of occurrences."""
 
     def run(batches):
-        split, seen = _vocabulary(content).split, Counter()
+        vocabulary, seen = _vocabulary(content), Counter()
 
         def out():
-            names = ["word", "n"]
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names)
+            words = Counter()
+            for chunk, n in seen.items():
+                for word in vocabulary.words(chunk) if isinstance(chunk, str) else ():
+                    words[word] += n
+            seen.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"]
+            )
 
         for batch in pieces(batches, text_col):
             for text in batch.column(text_col).to_pylist():
                 if text:
-                    seen.update(split(text))
+                    seen.update(vocabulary.chunks(text))
             if len(seen) > COUNTED_WORDS:
-                yield _words_only(seen, out)
-                seen.clear()
-        yield _words_only(seen, out)
+                yield out()
+        yield out()
 
     return docs.select(text_col).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _words_only(seen: Counter, out) -> pa.RecordBatch:
-    for special in [w for w in seen if isinstance(w, int)]:
-        del seen[special]
-    return out()
-
-
 def frequent_words(counts: DataFrame, words: int = LEXICON_WORDS) -> list[str]:
     """The words from some number of occurrences on, as many as fit into ``words``. The number is found on a logarithmic
     scale of some hundred steps, so what reaches the driver is that histogram and the words."""

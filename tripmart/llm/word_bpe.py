@@ -2,7 +2,8 @@
 
 A text is cut at literal special tokens; the rest is normalised (NFC, white space to one blank, lower case), words are found
 by the file's pattern, and the bytes of a word are merged by rank, its last symbol carrying the word-end mark. Words are
-independent of one another, so a task resolves each distinct word once and spells texts with table look-ups.
+independent of one another and never reach over white space, so a task resolves each distinct chunk between white space once
+and spells texts with table look-ups.
 """
 
 from __future__ import annotations
@@ -10,14 +11,16 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Callable, Iterable
-from itertools import repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-#: A worker forgets its words beyond so many; results do not depend on it.
-MEMO_WORDS = 500_000
+#: Beyond so many chunks a worker forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
+MEMO_WORDS, KEPT = 400_000, 240_000
+#: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_alphabet() -> list[str]:
@@ -66,9 +69,16 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma: letters lower one by one
         return text.lower()
 
+    def chunks(self, text: str) -> list[str | int]:
+        """The text cut at white space, in normal form: no word reaches over it, so ``words`` of each chunk in turn are
+        the words of the text. A special token comes as its id."""
+        if any(c in text for c in _SEPARATORS) or (self.cut is not None and self.cut.search(text)):
+            return self.split(text)
+        return self._normal(text).split()
+
     def split(self, text: str) -> list[str | int]:
         """The words of a text, in order; a special token comes as its id."""
-        if self.cut is None or not self.cut.search(text):
+        if self.cut is None:
             return self.words(self._normal(text))
         out, at = [], 0
         for m in self.cut.finditer(text):
@@ -97,49 +107,58 @@ class Vocabulary:
         return [self.ids[s] for s in symbols]
 
 
+class _Codes(dict):
+    """Numbers chunks as they are met."""
+
+    def __missing__(self, chunk):
+        self[chunk] = code = len(self)
+        return code
+
+
 class Speller:
     """Turns texts into ids. ``resolve`` gives the ids of words not met before."""
 
     def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[str]], Iterable[list[int]]]):
         self.vocabulary, self.resolve = vocabulary, resolve
-        self._clear()
-
-    def _clear(self) -> None:
-        self.codes: dict[str | int, int] = {}
-        self.flat, self.lengths = np.empty(0, np.int32), np.empty(0, np.int64)
-
-    def _learn(self, fresh: list[str | int]) -> None:
-        self.codes.update(zip(fresh, range(len(self.codes), len(self.codes) + len(fresh)), strict=True))
-        words = [w for w in fresh if isinstance(w, str)]
-        found = iter(self.resolve(words))
-        lists = [next(found) if isinstance(w, str) else [w] for w in fresh]
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, lists), np.int64, len(lists))])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in lists for i in x), np.int32)])
+        self.codes = _Codes()
+        self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _forget(self) -> None:
+        self.codes = _Codes(islice(self.codes.items(), KEPT))
+        self.ends = self.ends[: KEPT + 1]
+        self.flat = self.flat[: self.ends[-1]]
+
+    def _learn(self, known: int) -> None:
+        """The ids of the chunks numbered from ``known`` on, from the ids of their words."""
+        fresh = list(islice(self.codes, known, None))
+        parts = [[c] if isinstance(c, int) else self.vocabulary.words(c) for c in fresh]
+        words = list({w for part, c in zip(parts, fresh, strict=True) if isinstance(c, str) for w in part})
+        ids: dict[str | int, list[int]] = {c: [c] for c in fresh if isinstance(c, int)}
+        unknown = []
+        for w in words:  # a word may have been met as a chunk of its own
+            code = self.codes.get(w)
+            if code is not None and code < known:
+                ids[w] = self.flat[self.ends[code] : self.ends[code + 1]].tolist()
+            else:
+                unknown.append(w)
+        ids.update(zip(unknown, self.resolve(unknown), strict=True))
+        lists = [[i for w in part for i in ids[w]] for part in parts]
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32)])
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
 
     def spell(self, texts: list[str | None]) -> pa.ListArray:
         """Ids of each text; null and empty have none."""
         if len(self.codes) > MEMO_WORDS:
-            self._clear()
-        split = [self.vocabulary.split(t) if t else [] for t in texts]
-        fresh = set().union(*split).difference(self.codes)
-        if fresh:
-            self._learn(list(fresh))
+            self._forget()
+        split = [self.vocabulary.chunks(t) if t else [] for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        get = self.codes.__getitem__
-        codes = np.fromiter((c for words in split for c in map(get, words)), np.int32, int(counts.sum()))
-        starts = np.cumsum(self.lengths) - self.lengths
-        lengths = self.lengths[codes]
+        known = len(self.codes)
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if len(self.codes) > known:
+            self._learn(known)
+        lengths = self.ends[codes + 1] - self.ends[codes]
         ends = np.cumsum(lengths)
-        at = np.repeat(starts[codes] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        at = np.repeat(self.ends[codes] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(self.flat[at], pa.int32()))
-
-
-def library_resolver(content: bytes) -> Callable[[list[str]], Iterable[list[int]]]:
-    """Words spelled by the tokenizers library."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(content.decode())
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda words: (e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False))
