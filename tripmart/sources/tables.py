@@ -39,7 +39,7 @@ def scan_table(spark: SparkSession, base: str, name: str, by_year: bool = False)
         if name != "fact_trips" or problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         schema = T.StructType(S.FACT_TRIPS.fields)
-        return spark.read.schema(schema.add("pickup_year", "int") if by_year else schema).parquet(path)
+        return spark.read.schema(schema.add("pickup_year", T.IntegerType()) if by_year else schema).parquet(path)
 
 
 def scan_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
