@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 def rounded(value: Column, places: int = 2) -> Column:
     """Round half-up through DECIMAL(38,8), so that another engine rounds the same number to the same result.
 
-    30 integer digits leave room for sums over very large tables; a value that does not fit (or is not finite) falls
-    back to rounding the double itself.
+    30 integer digits leave room for sums over very large tables. A number beyond is its own rounding: a double of that size
+    has no fraction. Infinities and NaN stay, too.
     """
     exact = F.round(value.try_cast("decimal(38,8)"), places).try_cast("double")
-    return F.coalesce(exact, F.round(value, places))
+    return F.coalesce(exact, value.try_cast("double"))
 
 
 def pct_change(value: Column, previous: Column) -> Column:
