@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ def read_vocabulary(path: str) -> bytes:
         return f.read()
 
 
-@cache
+@lru_cache(maxsize=1)
 def _vocabulary(content: bytes) -> Vocabulary:
     return Vocabulary(content)
 
@@ -99,8 +99,8 @@ def build_lexicon(docs: DataFrame, content: bytes, text_col: str = "text", words
     return name
 
 
-@cache
 def _speller(content: bytes, name: str) -> Speller:
+    """A task has its own, so what it remembers goes with it."""
     vocabulary, lexicon = _vocabulary(content), Lexicon(SparkFiles.get(name))
 
     def resolve(words: list[str]):
@@ -126,17 +126,14 @@ def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "
     return docs.mapInArrow(run, schema_with(docs.drop(text_col), **{out: "array<int>"}))
 
 
-@cache
-def _tokens(content: bytes) -> pa.Array:
-    return pa.array(_vocabulary(content).tokens, pa.string())
-
-
 def decode(encoded: DataFrame, content: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """The rows with the text of each id list: the tokens, word-end marks included, joined by a blank, as a file without
     a decoder prescribes. A null list decodes to empty text."""
 
+    spelling = _vocabulary(content).tokens  # all that decoding needs of the file, sent along
+
     def run(batches):
-        tokens = _tokens(content)
+        tokens = pa.array(spelling, pa.string())
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)

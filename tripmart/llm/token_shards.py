@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,6 @@ SHARD_BYTES = 16 << 20
 LEVEL = 3
 
 
-@cache
 def _speller(content: bytes) -> Speller:
     vocabulary = _vocabulary(content)
     return Speller(vocabulary, lambda words: map(vocabulary.merge, words))
@@ -163,7 +162,7 @@ def write_shards(
     _write_rows(ordered.mapInArrow(shards, "part binary"), f"{path}/shards")
 
 
-@cache
+@lru_cache(maxsize=1)
 def _unpacker(dictionary: bytes):
     import zstandard
 

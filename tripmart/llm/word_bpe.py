@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-#: Beyond so many chunks a worker forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 400_000, 240_000
+#: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
+MEMO_WORDS, KEPT = 200_000, 120_000
 #: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
