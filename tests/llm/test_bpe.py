@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 from tests.llm.conftest import ROWS
 from tripmart.llm import bpe, word_bpe
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
-from tripmart.llm.word_bpe import Speller, Vocabulary
+from tripmart.llm.word_bpe import Speller, Vocabulary, library_resolver
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -38,6 +38,7 @@ def test_spelling_equals_the_library(content, library):
     texts = TEXTS + odd
     own = Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell(texts).to_pylist()
     assert own == expected(library, texts)
+    assert Speller(vocabulary, library_resolver(content, vocabulary)).spell(texts).to_pylist() == own
     again = Speller(vocabulary, lambda words: map(vocabulary.merge, words))
     assert [again.spell([t]).to_pylist()[0] for t in reversed(texts)] == own[::-1]
     assert Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell([None, ""]).to_pylist() == [[], []]

@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 
 #: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 200_000, 120_000
+MEMO_WORDS, KEPT = 500_000, 300_000
 #: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -162,3 +162,26 @@ class Speller:
         at = np.repeat(self.ends[codes] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
         bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(self.flat[at], pa.int32()))
+
+
+def library_resolver(content: bytes, vocabulary: Vocabulary) -> Callable[[list[str]], Iterable[list[int]]]:
+    """Words spelled by the tokenizers library, many in one call: a word's last id is the one that carries the word-end
+    mark. Should that not tell the words apart, each is merged by itself."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(content.decode())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    last = np.array([bool(vocabulary.end) and t.endswith(vocabulary.end) for t in vocabulary.tokens])
+
+    def resolve(words: list[str]) -> Iterable[list[int]]:
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            ids = tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+            ends = (np.flatnonzero(last[np.array(ids, np.int64)]) + 1).tolist()
+            if len(ends) == len(part):
+                yield from (ids[a:b] for a, b in zip([0, *ends], ends, strict=False))
+            else:
+                yield from map(vocabulary.merge, part)
+
+    return resolve
