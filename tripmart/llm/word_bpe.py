@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 
 #: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 500_000, 300_000
+MEMO_WORDS, KEPT = 250_000, 150_000
 #: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
@@ -175,8 +175,8 @@ def library_resolver(content: bytes, vocabulary: Vocabulary) -> Callable[[list[s
     last = np.array([bool(vocabulary.end) and t.endswith(vocabulary.end) for t in vocabulary.tokens])
 
     def resolve(words: list[str]) -> Iterable[list[int]]:
-        for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
+        for at in range(0, len(words), 2_000):
+            part = words[at : at + 2_000]
             ids = tokenizer.encode(" ".join(part), add_special_tokens=False).ids
             ends = (np.flatnonzero(last[np.array(ids, np.int64)]) + 1).tolist()
             if len(ends) == len(part):
