@@ -137,3 +137,39 @@ def test_similar_links_tricky(tricky, nothing):
     found = brute_components([tuple(r) for r in simhash.similar_links(tricky).collect()], {i for i, *_ in ROWS if i is not None})
     assert found[8] == found[7] == 7
     assert simhash.similar_links(nothing).count() == 0
+
+
+def changed_copies(seed, words, copies, changes):
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(7))
+    base = [word() for _ in range(words)]
+    texts = []
+    for _ in range(copies):
+        text = list(base)
+        for at in draw.sample(range(5, words - 5), changes):
+            text[at] = word()
+        texts.append(" ".join(text))
+    return " ".join(base), texts
+
+
+def shingle_set(text):
+    w = text.lower().split()
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+
+
+def expected_groups(texts):
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return brute_components(close, sets)
+
+
+@pytest.mark.parametrize("cell", [512, 40])
+def test_similar_links_around_a_hub(spark, cell):
+    """All copies are similar to the original, which has the largest id, and hardly any to each other."""
+    base, copies = changed_copies(3, 400, 150, 7)
+    texts = dict(enumerate(copies)) | {len(copies): base}
+    expected = expected_groups(texts)
+    assert set(expected.values()) == {0}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = brute_components([tuple(r) for r in simhash.similar_links(df, cell=cell).collect()], texts)
+    assert found == expected
