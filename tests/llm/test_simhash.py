@@ -173,3 +173,26 @@ def test_similar_links_around_a_hub(spark, cell):
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     found = brute_components([tuple(r) for r in simhash.similar_links(df, cell=cell).collect()], texts)
     assert found == expected
+
+
+def test_similar_links_find_nearly_all_pairs(spark):
+    """Pairs of 0.8 to 0.9, most of them close to 0.8."""
+    texts = {}
+    for group in range(120):
+        base, copies = changed_copies(100 + group, 200, 1, 2 + group % 3)
+        texts |= {10 * group: base, 10 * group + 1: copies[0]}
+    expected = expected_groups(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], texts)
+    assert sum(i != r for i, r in expected.items()) > 100 and found == expected
+
+
+def test_band_keys_miss_as_many_as_they_should():
+    draw = np.random.default_rng(5)
+    missed = 0
+    for _ in range(2000):
+        values = draw.integers(0, 1 << 64, 480, np.uint64)
+        missed += not (simhash.band_keys(values[:432]) == simhash.band_keys(values[48:])).any()  # 384 of 480: 0.8
+    assert missed <= 1
+    assert not (simhash.band_keys(values[:200]) == simhash.band_keys(values[200:])).any()
+    assert (simhash.band_keys(np.empty(0, np.uint64)) == simhash.band_keys(np.empty(0, np.uint64))).all()
