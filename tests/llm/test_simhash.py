@@ -196,3 +196,14 @@ def test_band_keys_miss_as_many_as_they_should():
     assert missed <= 1
     assert not (simhash.band_keys(values[:200]) == simhash.band_keys(values[200:])).any()
     assert (simhash.band_keys(np.empty(0, np.uint64)) == simhash.band_keys(np.empty(0, np.uint64))).all()
+
+
+def test_similar_links_behind_one_fingerprint(spark):
+    """Copies similar to the original alone, many of which have one fingerprint of word pairs; the original comes last."""
+    base, copies = changed_copies(7, 400, 300, 5)
+    texts = dict(enumerate(copies)) | {len(copies): base}
+    prints = [simhash.fingerprint(t.encode(), 2, distinct=True) for t in texts.values()]
+    assert len(set(prints)) < len(texts) - 10
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], texts)
+    assert found == expected_groups(texts) and set(found.values()) == {0}
