@@ -62,3 +62,15 @@ def test_tricky(spark, tricky, nothing, model):
     assert few.languages == ("de", "fr")
     single = spark.createDataFrame([(1, "q"), (2, "漢字")], "doc_id int, text string")
     assert all(r.lang_pred in ("de", "fr") and 0 <= r.score <= 1 for r in language_id.identify(single, few).collect())
+
+
+def test_copies_of_a_text_do_not_crowd_out_the_others(spark):
+    """One text given 20,000 times, and 40 others: all of them are learned, and the copies once."""
+    other = [("".join(chr(0x3B1 + (7 * i + k * k) % 24) for k in range(60)), "el") for i in range(40)]
+    rows = spark.createDataFrame(other * 2, "text string, lang string").union(
+        spark.range(20_000).selectExpr("'spread the same line again' AS text", "'el' AS lang")
+    )
+    model = language_id.learn(rows.union(spark.createDataFrame([("hello you there", "en")], rows.schema)), sample=1000)
+    el = model.languages.index("el")
+    known = [model.masks(language_id.ngrams([t])[0]) >> np.uint8(el) & 1 for t, _ in other]
+    assert np.mean(np.concatenate(known)) > 0.8

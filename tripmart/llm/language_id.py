@@ -125,18 +125,20 @@ class LanguageFilter:
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_TEXTS) -> LanguageFilter:
-    """From about ``sample`` texts per language, chosen by a hash of the text; all if there are fewer."""
+    """From about ``sample`` different texts per language, chosen by a hash of the text; all if there are fewer."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    different = rows.select("lang", "hash").distinct()
+    sizes = {r.lang: r.n for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes or len(sizes) > LANGUAGES:
         raise ValueError(f"between 1 and {LANGUAGES} labelled languages are needed, not {len(sizes)}")
     step = 1 << 20
     part = F.lit(0)
     for lang, n in sizes.items():
         part = F.when(F.col("lang") == lang, F.lit(min(step, -(-sample * step // n)))).otherwise(part)
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(step)) < part)
+    chosen = rows.where(F.pmod("hash", F.lit(step)) < part).dropDuplicates(["lang", "hash"]).select("text", "lang")
 
     def run(batches):
         for batch in pieces(batches, "text"):
