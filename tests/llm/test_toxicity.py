@@ -53,3 +53,16 @@ def test_tricky(tricky, nothing):
     assert set(out.columns) == (set(tricky.columns) - {"text"}) | {"score", "matched_clauses", "heaviest", "total"}
     assert toxicity.score(nothing, grammar).count() == 0
     assert not toxicity.learn(tricky.selectExpr("text", "1 AS toxic")).stems  # one label only
+
+
+def test_texts_of_one_sketch_stay_under_both_labels(spark, monkeypatch):
+    """A clean text and its toxic edit share a sketch; neither goes, and the order of the rows decides nothing."""
+    monkeypatch.setattr(toxicity, "_sketch", lambda tokens: 1)
+    kept = []
+    write = toxicity.materialise
+    monkeypatch.setattr(toxicity, "materialise", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    rows = [("a b c d clean", 0), ("a b c d toxic", 1), ("a b c d also clean", 0), ("a b c d too", 1)]
+    for order in (rows, rows[::-1]):
+        toxicity.learn(spark.createDataFrame(order, "text string, toxic int").coalesce(1))
+    first, again = ({(r.text, r.label) for r in df.collect()} for df in kept)
+    assert first == again and {label for _, label in first} == {0, 1}

@@ -196,8 +196,9 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
             yield with_columns(batch, sketch=pa.array(found, pa.int64()))
 
     # the sample is bounded, so its texts may be shuffled and read twice
-    kept = chosen.mapInArrow(sketched, "text string, label int, sketch bigint").dropDuplicates(["sketch"])
-    kept = materialise(kept.drop("sketch"), "labelled")
+    kept = chosen.mapInArrow(sketched, "text string, label int, sketch bigint").groupBy("label", "sketch")
+    kept = kept.agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("kept"))
+    kept = materialise(kept.select("kept.text", "label"), "labelled")
 
     def counted(batches):
         seen = (Counter(), Counter())
