@@ -11,7 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmart.llm import bpe, curriculum, exact_dedup, fingerprints, language_id, line_dedup, simhash, token_shards, toxicity, warc
+from tripmart.llm import (
+    bpe,
+    curriculum,
+    exact_dedup,
+    fingerprints,
+    language_id,
+    licenses,
+    line_dedup,
+    repetitions,
+    simhash,
+    token_shards,
+    toxicity,
+    warc,
+    whitening,
+)
 from tripmart.llm.oracles import ORACLES  # noqa: F401
 from tripmart.workspace import new_path
 
@@ -142,6 +156,66 @@ def op10_curriculum_mix(spark, sf_dir):
     )
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, in about a tenth of which words from one on repeat the few before, by a rule of the id's crc32."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        period = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, a + (i - a) % period))
+        return F.array_join(F.concat(F.slice(words, 1, a), tail), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # in an array of one, so that the words are made once
+    changed = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise("")), 0)
+    return docs.withColumn("text", F.when(h % 10 == 0, changed).otherwise(F.col("text")))
+
+
+@query
+def op11_word_runs(spark, sf_dir):
+    found = repetitions.find_runs(with_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    greatest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("short")))
+    )
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select("*", greatest.alias("top")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("top.before")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.short")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.short")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+@query
+def op12_whitened(spark, sf_dir):
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed(
+        "id", "vec_id"
+    )
+
+
+@query
+def op13_license_blocks(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -1,5 +1,7 @@
 """SQL (DuckDB) for the corpus queries that SQL can express."""
 
+from tripmart.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_warc_normaliser"] = """
@@ -79,3 +81,52 @@ n AS (
 )
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies FROM n
 """
+
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _words(text: str) -> str:
+    return _WORDS.format(text)
+
+
+def _phrase(phrase: str, label: str) -> str:
+    parts = phrase.split()
+    here = " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(parts))
+    return f"SELECT r, '{label}' AS label, list_filter(range(1, len(words) + 1), lambda i: {here}) AS places FROM w"
+
+
+ORACLES["op13_license_blocks"] = f"""
+WITH t AS (
+  SELECT label, unit, list_distinct({_words("notice")}) AS own
+  FROM (VALUES {", ".join(f"('{label}', '{unit}', '{text}')" for label, unit, text in TEMPLATES)}) AS v(label, unit, notice)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS text FROM documents
+), w AS (
+  SELECT r, {_words("text")} AS words FROM d
+), places AS (
+  {" UNION ALL ".join(_phrase(p, label) for p, label in PHRASES.items())}
+), base AS (
+  SELECT r, SUM(len(places)) AS n_base, MIN(list_min(places)) - 1 AS first_word, MAX(list_max(places)) - 1 AS last_word,
+    list(label) FILTER (WHERE len(places) > 0) AS found
+  FROM places GROUP BY r
+), block AS (
+  SELECT r, 'line' AS unit, unnest(string_split(text, chr(10))) AS part FROM d
+  UNION ALL
+  SELECT r, 'paragraph', unnest(regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n')) FROM d
+), numbered AS (
+  SELECT row_number() OVER () AS b, r, unit, list_distinct({_words("part")}) AS held FROM block
+), shared AS (
+  SELECT b, r, label, len(list_intersect(own, held)) AS common, len(own) AS size FROM numbered JOIN t USING (unit)
+), hits AS (
+  SELECT b, r, label, common, CAST(common AS DOUBLE) / size AS share FROM shared WHERE common >= {THRESHOLD} * size
+), best AS (
+  SELECT r, label, share FROM hits QUALIFY rank() OVER (PARTITION BY b ORDER BY share DESC, common DESC) = 1
+), own_labels AS (
+  SELECT r, list(label) AS labels, MAX(share) AS share FROM best GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_base AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, COALESCE(list_aggregate(list_sort(found), 'string_agg', ','), '') AS base_labels,
+  COALESCE(list_aggregate(list_sort(list_distinct(list_concat(found, labels))), 'string_agg', ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN CAST(1 AS DOUBLE) ELSE COALESCE(share, CAST(0 AS DOUBLE)) END AS score
+FROM d JOIN w USING (r) JOIN base USING (r) LEFT JOIN own_labels USING (r)
+"""
