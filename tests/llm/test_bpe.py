@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 from tests.llm.conftest import ROWS
 from tripmart.llm import bpe, word_bpe
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
-from tripmart.llm.word_bpe import Speller, Vocabulary, library_resolver
+from tripmart.llm.word_bpe import PROVEN, Speller, Vocabulary, by_library, by_words
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
@@ -27,6 +27,10 @@ def library():
     return Tokenizer.from_file(PATH)
 
 
+def merging(vocabulary):
+    return by_words(vocabulary, lambda words: map(vocabulary.merge, words))
+
+
 def expected(library, texts):
     return [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
@@ -36,19 +40,37 @@ def test_spelling_equals_the_library(content, library):
     draw = random.Random(2)
     odd = ["".join(chr(draw.choice([draw.randrange(32, 127), draw.randrange(160, 0x250), draw.randrange(0x370, 0x530), 32])) for _ in range(80)) for _ in range(300)]
     texts = TEXTS + odd
-    own = Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell(texts).to_pylist()
+    own = Speller(vocabulary, merging(vocabulary)).spell(texts).to_pylist()
     assert own == expected(library, texts)
-    assert Speller(vocabulary, library_resolver(content, vocabulary)).spell(texts).to_pylist() == own
-    again = Speller(vocabulary, lambda words: map(vocabulary.merge, words))
+    assert Speller(vocabulary, by_library(vocabulary)).spell(texts).to_pylist() == own
+    again = Speller(vocabulary, merging(vocabulary))
     assert [again.spell([t]).to_pylist()[0] for t in reversed(texts)] == own[::-1]
-    assert Speller(vocabulary, lambda words: map(vocabulary.merge, words)).spell([None, ""]).to_pylist() == [[], []]
+    assert Speller(vocabulary, merging(vocabulary)).spell([None, ""]).to_pylist() == [[], []]
+
+
+def test_every_code_point(content, library):
+    vocabulary = Vocabulary(content)
+    spellers = Speller(vocabulary, by_library(vocabulary)), Speller(vocabulary, merging(vocabulary))
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x20000 or not c % 97)]
+    for at in range(0, len(points), 20_000):
+        texts = [t for c in map(chr, points[at : at + 20_000]) for t in (f"a{c}b 1{c}", f"{c}É x{c}. {c}{c}'s")]
+        want = expected(library, texts)
+        for speller in spellers:
+            assert [(t, g) for t, w, g in zip(texts, want, speller.spell(texts).to_pylist(), strict=True) if w != g] == []
+
+
+def test_pairs_of_proven_characters(content, library):
+    vocabulary = Vocabulary(content)
+    low = list(map(chr, range(1, PROVEN)))
+    texts = [a + b for a in low for b in low] + [f"a{m}{c}b{m}{c} 1{m}" for m in ".,;:!?" for c in low]
+    assert Speller(vocabulary, by_library(vocabulary)).spell(texts).to_pylist() == expected(library, texts)
 
 
 def test_forgetting_changes_nothing(content, library, monkeypatch):
     monkeypatch.setattr(word_bpe, "MEMO_WORDS", 6)
     monkeypatch.setattr(word_bpe, "KEPT", 3)
     vocabulary = Vocabulary(content)
-    speller = Speller(vocabulary, lambda words: map(vocabulary.merge, words))
+    speller = Speller(vocabulary, merging(vocabulary))
     for text, ids in zip(TEXTS * 2, expected(library, TEXTS * 2), strict=True):
         assert speller.spell([text]).to_pylist() == [ids]
 

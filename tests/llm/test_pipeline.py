@@ -4,7 +4,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.test_line_dedup import brute as without_repeats
-from tests.llm.test_simhash import brute_components
+from tests.llm.test_simhash import brute_components, brute_print
 from tripmart.llm import curriculum
 
 
@@ -31,14 +31,10 @@ def test_each_stage_takes_effect(steps):
     expected = {i: t for i, t in without_repeats([(r.doc_id, r.text) for r in after]).items() if t.strip() or not dict((r.doc_id, r.text) for r in after)[i].strip()}
     assert {r.doc_id: r.text for r in shortened} == expected
     assert all(r.n_chars == len(r.text) for r in shortened)
-    words = {r.doc_id: r.text.lower().split() for r in shortened}
-    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)} for i, w in words.items()}
-    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    roots = brute_components(close, sets)
-    assert set(roots.values()) <= ids(apart)  # nothing goes that is not a near copy of a smaller id
-    gone = ids(shortened) - ids(apart)
-    assert len(apart) == len(ids(apart)) and gone <= set(sets) - set(roots.values())
-    assert len(gone) >= 0.5 * len(set(sets) - set(roots.values()))
+    prints = {r.doc_id: brute_print(r.text) for r in shortened}
+    close = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    assert sorted(r.doc_id for r in apart) == sorted(set(brute_components(close, prints).values()))
+    assert len(apart) < len(shortened)
     assert ids(mixed) <= ids(apart) and len(mixed) > len(ids(mixed))
     size = lambda rows: sum(len(r.text.split()) for r in rows)
     assert abs(size(mixed) - curriculum.SHARE * size(apart)) < 0.2 * size(apart)
@@ -52,3 +48,10 @@ def test_each_stage_takes_effect(steps):
 def test_run(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() > 0 and {"doc_id", "ids", "n_tokens"} <= set(rows.columns)
+
+
+def test_no_rows(docs, spark, sf_dir):
+    rows = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.count() == 0

@@ -89,35 +89,6 @@ def test_no_pairs_are_spelled_out(spark):
     assert simhash.near_links(crowd).count() <= 31 * 60
 
 
-def test_similar_links(spark):
-    """Copies, near copies by changed words, texts that share half, and short texts."""
-    draw = random.Random(9)
-    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
-    texts = {}
-    for group in range(30):
-        base = [word() for _ in range(300)]
-        for member in range(4):
-            changed = list(base)
-            for _ in range(member * 2):
-                changed[draw.randrange(300)] = word()
-            texts[group * 10 + member] = " ".join(changed)
-        texts[group * 10 + 4] = texts[group * 10]
-        texts[group * 10 + 5] = " ".join(base[:150] + [word() for _ in range(150)])
-    texts |= {1000: "", 1001: None, 1002: "a", 1003: "A", 1004: "b"}
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    sets = {}
-    for i, t in texts.items():
-        w = (t or "").lower().split()
-        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
-    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    expected = brute_components(close, sets)
-    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], sets)
-    assert all(expected[i] == expected[found[i]] for i in sets)  # no false link
-    pairs = [(a, b) for a, b in close]
-    assert sum(found[a] == found[b] for a, b in pairs) > 0.8 * len(pairs)
-    assert found[4] == 0 and found[1003] == 1002 and found[1004] == 1004
-
-
 def test_tricky(tricky, nothing):
     rows = simhash.link(simhash.fingerprints(tricky.select("doc_id", "text")).withColumnRenamed("doc_id", "id")).collect()
     assert len(rows) == len(ROWS)
@@ -133,77 +104,35 @@ def test_tricky(tricky, nothing):
     assert simhash.link(simhash.fingerprints(nothing.select("doc_id", "text")).withColumnRenamed("doc_id", "id")).count() == 0
 
 
-def test_similar_links_tricky(tricky, nothing):
-    found = brute_components([tuple(r) for r in simhash.similar_links(tricky).collect()], {i for i, *_ in ROWS if i is not None})
-    assert found[8] == found[7] == 7
-    assert simhash.similar_links(nothing).count() == 0
-
+def kept(docs):
+    return sorted(((r.doc_id, r.text) for r in simhash.one_of_each_group(docs).collect()), key=str)
 
-def changed_copies(seed, words, copies, changes):
-    draw = random.Random(seed)
-    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(7))
-    base = [word() for _ in range(words)]
-    texts = []
-    for _ in range(copies):
-        text = list(base)
-        for at in draw.sample(range(5, words - 5), changes):
-            text[at] = word()
-        texts.append(" ".join(text))
-    return " ".join(base), texts
 
+def test_no_text_goes_for_its_ids_sake(spark):
+    a, b, c = ("".join(f"{x}{i} " for i in range(40)) for x in "abc")
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, c), (9, c), (None, c), (None, b + "z")], "doc_id bigint, text string")
+    assert kept(docs.repartition(4)) == sorted([(3, a), (5, b), (9, c)], key=str)
 
-def shingle_set(text):
-    w = text.lower().split()
-    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
 
+def test_rows_without_id(spark):
+    a, b = ("".join(f"{x}{i} " for i in range(40)) for x in "ab")
+    docs = spark.createDataFrame([(None, a), (None, a), (None, b), (2, b), (None, None), (None, "")], "doc_id bigint, text string")
+    out = kept(docs)
+    assert len(out) == 3 and (2, b) in out and (None, a) in out
 
-def expected_groups(texts):
-    sets = {i: shingle_set(t) for i, t in texts.items()}
-    close = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    return brute_components(close, sets)
 
-
-@pytest.mark.parametrize("cell", [512, 40])
-def test_similar_links_around_a_hub(spark, cell):
-    """All copies are similar to the original, which has the largest id, and hardly any to each other."""
-    base, copies = changed_copies(3, 400, 150, 7)
-    texts = dict(enumerate(copies)) | {len(copies): base}
-    expected = expected_groups(texts)
-    assert set(expected.values()) == {0}
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = brute_components([tuple(r) for r in simhash.similar_links(df, cell=cell).collect()], texts)
-    assert found == expected
+def test_one_of_each_group(spark, docs):
+    rows = docs.select("doc_id", "text").collect()
+    prints = {i: brute_print(t) for i, t in rows}
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    roots = brute_components(near, prints)
+    out = simhash.one_of_each_group(docs)
+    assert out.columns == docs.columns and out.schema == docs.schema
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(roots.values()))
 
 
-def test_similar_links_find_nearly_all_pairs(spark):
-    """Pairs of 0.8 to 0.9, most of them close to 0.8."""
-    texts = {}
-    for group in range(120):
-        base, copies = changed_copies(100 + group, 200, 1, 2 + group % 3)
-        texts |= {10 * group: base, 10 * group + 1: copies[0]}
-    expected = expected_groups(texts)
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], texts)
-    assert sum(i != r for i, r in expected.items()) > 100 and found == expected
-
-
-def test_band_keys_miss_as_many_as_they_should():
-    draw = np.random.default_rng(5)
-    missed = 0
-    for _ in range(2000):
-        values = draw.integers(0, 1 << 64, 480, np.uint64)
-        missed += not (simhash.band_keys(values[:432]) == simhash.band_keys(values[48:])).any()  # 384 of 480: 0.8
-    assert missed <= 1
-    assert not (simhash.band_keys(values[:200]) == simhash.band_keys(values[200:])).any()
-    assert (simhash.band_keys(np.empty(0, np.uint64)) == simhash.band_keys(np.empty(0, np.uint64))).all()
-
-
-def test_similar_links_behind_one_fingerprint(spark):
-    """Copies similar to the original alone, many of which have one fingerprint of word pairs; the original comes last."""
-    base, copies = changed_copies(7, 400, 300, 5)
-    texts = dict(enumerate(copies)) | {len(copies): base}
-    prints = [simhash.fingerprint(t.encode(), 2, distinct=True) for t in texts.values()]
-    assert len(set(prints)) < len(texts) - 10
-    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = brute_components([tuple(r) for r in simhash.similar_links(df).collect()], texts)
-    assert found == expected_groups(texts) and set(found.values()) == {0}
+def test_one_of_each_group_tricky(tricky, nothing):
+    out = simhash.one_of_each_group(tricky)
+    assert out.columns == tricky.columns
+    assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 7, 10]
+    assert simhash.one_of_each_group(nothing).count() == 0

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import pieces, schema_with, with_columns
 from tripmart.llm.lexicon import Lexicon, compile_lexicon
-from tripmart.llm.word_bpe import Speller, Vocabulary
+from tripmart.llm.word_bpe import Speller, Vocabulary, by_words
 from tripmart.workspace import materialise, session_root, write_bytes
 
 LEXICON_WORDS = 65_536
@@ -54,7 +54,7 @@ def word_counts(docs: DataFrame, content: bytes, text_col: str = "text") -> Data
         def out():
             words = Counter()
             for chunk, n in seen.items():
-                for word in vocabulary.words(chunk) if isinstance(chunk, str) else ():
+                for word in () if isinstance(chunk, int) else vocabulary.words(chunk):
                     words[word] += n
             seen.clear()
             return pa.RecordBatch.from_arrays(
@@ -110,7 +110,7 @@ def _speller(content: bytes, name: str) -> Speller:
             for word, ids in zip(words, lexicon.look_up([w.encode() for w in words]), strict=True)
         )
 
-    return Speller(vocabulary, resolve)
+    return Speller(vocabulary, by_words(vocabulary, resolve))
 
 
 def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "ids", lexicon: str | None = None) -> DataFrame:

@@ -9,7 +9,8 @@ votes is corrected by the language's false-positive rate, its share of set bits
 An n-gram is a run of letters of one word, with the word's border as a letter. Whole texts are read, in bounded pieces.
 Null texts, and texts without a letter, are ``und`` with score 0. A text whose n-grams are in no language gets the first
 learned language with score 1 / languages. Repeated rows get equal results; an empty table an empty one. Extra columns stay,
-new ones replace those of their name. Without a labelled text nothing can be learned: an error.
+new ones replace those of their name. Without a labelled text there is no language to tell: every text is ``und`` with score 0. The
+masks take as many 64-bit words as the languages need.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import pieces, schema_with, with_columns
+from tripmart.workspace import materialise
 
 SIZES = (3, 4)
 CELLS_LOG2 = 20
@@ -31,7 +33,6 @@ HASHES = 3
 MIN_RATE = 2e-5
 #: Labelled texts that learning reads per language, about.
 SAMPLE_TEXTS = 3_000
-LANGUAGES = 64
 UNKNOWN = "und"
 
 
@@ -80,19 +81,18 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 @dataclass(frozen=True)
 class LanguageFilter:
     languages: tuple[str, ...]
-    cells: np.ndarray
+    cells: np.ndarray  # words of a mask x cells
 
     @classmethod
     def of(cls, grams: dict[str, np.ndarray]) -> LanguageFilter:
         """From the n-gram hashes of each language."""
         names = tuple(sorted(grams))
-        if not names or len(names) > LANGUAGES:
-            raise ValueError(f"between 1 and {LANGUAGES} labelled languages are needed, not {len(names)}")
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(names) <= np.iinfo(k).bits)
-        cells = np.zeros(1 << CELLS_LOG2, kind)
-        for bit, name in enumerate(names):
+        kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(names) <= np.iinfo(k).bits), np.uint64)
+        cells = np.zeros((-(-len(names) // np.iinfo(kind).bits), 1 << CELLS_LOG2), kind)
+        for number, name in enumerate(names):
+            word, bit = divmod(number, np.iinfo(kind).bits)
             for at in cls._cells(grams[name].astype(np.uint64)):
-                cells[at] |= kind(1 << bit)
+                cells[word][at] |= kind(1 << bit)
         return cls(names, cells)
 
     @staticmethod
@@ -100,15 +100,20 @@ class LanguageFilter:
         last = np.uint64((1 << CELLS_LOG2) - 1)
         return [((hashes >> np.uint64(20 * i)) & last).astype(np.int64) for i in range(HASHES)]
 
+    def _bit(self, masks: np.ndarray, number: int) -> np.ndarray:
+        """The bit of a language in masks (words x n)."""
+        word, bit = divmod(number, np.iinfo(self.cells.dtype).bits)
+        return (masks[word] >> np.asarray(bit, masks.dtype)) & masks.dtype.type(1)
+
     def false_rates(self) -> np.ndarray:
-        bits = [float(((self.cells >> np.asarray(b, self.cells.dtype)) & 1).mean()) for b in range(len(self.languages))]
-        return np.array(bits) ** HASHES
+        return np.array([float(self._bit(self.cells, b).mean()) for b in range(len(self.languages))]) ** HASHES
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
+        """The languages that have each n-gram (words x n)."""
         first, *rest = self._cells(hashes)
-        out = self.cells[first]
+        out = self.cells[:, first]
         for at in rest:
-            out = out & self.cells[at]
+            out = out & self.cells[:, at]
         return out
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +123,7 @@ class LanguageFilter:
         total = (bounds[:, :, 1] - bounds[:, :, 0]).sum(axis=1)
         out = np.zeros((len(texts), len(self.languages)))
         for bit, wrong in enumerate(self.false_rates()):
-            votes = np.concatenate(([0], np.cumsum((masks >> np.asarray(bit, masks.dtype)) & 1, dtype=np.int64)))
+            votes = np.concatenate(([0], np.cumsum(self._bit(masks, bit), dtype=np.int64)))
             share = (votes[bounds[:, :, 1]] - votes[bounds[:, :, 0]]).sum(axis=1) / np.maximum(total, 1)
             out[:, bit] = np.maximum(0, (share - wrong) / max(1 - wrong, 1e-9))
         return out, has_letter
@@ -132,8 +137,6 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     rows = rows.withColumn("hash", F.xxhash64("text"))
     different = rows.select("lang", "hash").distinct()
     sizes = {r.lang: r.n for r in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes or len(sizes) > LANGUAGES:
-        raise ValueError(f"between 1 and {LANGUAGES} labelled languages are needed, not {len(sizes)}")
     step = 1 << 20
     part = F.lit(0)
     for lang, n in sizes.items():
@@ -153,32 +156,33 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
                 )
 
     counted = chosen.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counted = counted.persist()
+    counted = materialise(counted, "gram-counts")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
     common = counted.join(F.broadcast(totals), "lang").where(F.col("n") >= F.greatest(F.lit(2), F.col("total") * MIN_RATE))
     found: dict[str, list[int]] = {lang: [] for lang in sizes}
     for row in common.groupBy("lang").agg(F.collect_list("gram").alias("grams")).collect():
         found[row.lang] = row.grams
-    counted.unpersist()
     return LanguageFilter.of({lang: np.array(g, np.int64).view(np.uint64) for lang, g in found.items()})
 
 
 def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """The rows with ``lang_pred``, ``score`` (how far the winner leads the next: 0.5 to 1) and ``lang_share`` (the share of
     n-grams the winner has); without the text unless ``keep_text``."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.cells))  # 8 MB at most
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.cells))  # 8 MB for each 64 languages
 
     def run(batches):
         languages, cells = shared.value
         known = LanguageFilter(languages, cells)
         for batch in pieces(batches, text_col):
             shares, has_letter = known.shares(batch.column(text_col).to_pylist())
+            if not languages:
+                shares, has_letter = np.zeros((len(shares), 1)), np.zeros(len(shares), bool)
             rows = np.arange(len(shares))
             best = shares.argmax(axis=1)
             top = shares[rows, best]
             rest = shares.copy()
             rest[rows, best] = 0
-            score = np.where(top > 0, top / np.maximum(top + rest.max(axis=1), 1e-12), 1 / len(languages))
+            score = np.where(top > 0, top / np.maximum(top + rest.max(axis=1), 1e-12), 1 / max(1, len(languages)))
             pred = [languages[b] if ok else UNKNOWN for b, ok in zip(best, has_letter, strict=True)]
             keep = [n for n in batch.schema.names if keep_text or n != text_col]
             yield with_columns(

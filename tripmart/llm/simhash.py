@@ -23,7 +23,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import join_groups, pieces, schema_with, text_bytes, with_columns
@@ -35,12 +35,6 @@ RADIUS = 4
 BITS = 64
 SEED = 42
 CELL = 512
-#: Search for similar texts: tables, and minima per key. A pair of similarity 0.8 has no key in common in 3 of a million cases.
-BANDS, MINIMA = 24, 4
-#: Shingles in a part of a cell, about.
-CELL_SHINGLES = 1 << 18
-_SALTS, _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * MINIMA, 1), np.uint64)
-_FACTORS |= np.uint64(1)
 
 
 def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
@@ -62,13 +56,11 @@ def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     return np.array(hashes, dtype="<u8")
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE, distinct: bool = False) -> int:
-    """The majority of each bit over the hashes of the shingles, ties to 0; ``distinct`` counts a shingle once."""
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The majority of each bit over the hashes of the shingles, ties to 0."""
     array = shingle_hashes(text, shingle)
     if not len(array):
         return 0
-    if distinct:
-        array = np.unique(array)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(array), 1 << 16):  # a very long text takes no more memory than 4 MB here
         part = array[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -76,14 +68,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, distinct: bool = False) ->
     return int(np.packbits(2 * ones > len(array), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(
-    docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE, distinct: bool = False
-) -> DataFrame:
+def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE) -> DataFrame:
     """The documents with their fingerprint as a signed 64-bit number in place of the text."""
 
     def run(batches):
         for batch in pieces(batches, text_col):
-            prints = np.array([fingerprint(t, shingle, distinct) for t in text_bytes(batch, text_col)], dtype=np.uint64)
+            prints = np.array([fingerprint(t, shingle) for t in text_bytes(batch, text_col)], dtype=np.uint64)
             rest = batch.select([n for n in batch.schema.names if n != text_col])
             yield with_columns(rest, **{out: pa.array(prints.view(np.int64))})
 
@@ -194,188 +184,16 @@ def link(docs: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     )
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key per table, as signed 64-bit numbers: of MINIMA least values of a set of hashes under as many permutations."""
-    least = np.full(BANDS * MINIMA, ~np.uint64(0))
-    for at in range(0, len(hashes), 1 << 12):  # 3 MB at a time, however long the text
-        part = (hashes[at : at + (1 << 12)] ^ _SALTS) * _FACTORS
-        np.minimum(least, part.min(axis=1), out=least)
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for minimum in least.reshape(BANDS, MINIMA).T:
-        keys = (keys ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(32)
-    return keys.view(np.int64)
-
-
-def _similar(sizes: np.ndarray, values: np.ndarray, label: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows a and b of pairs that pass, enough to connect all rows that pairs which pass and equal labels connect.
-    ``values`` has the sets one after the other, ``sizes`` how many values each has."""
-    n = len(sizes)
-    _, value = np.unique(values, return_inverse=True)
-    holders = np.repeat(np.arange(n), sizes)[np.argsort(value, kind="stable")]
-    counts = np.bincount(value) if len(value) else np.empty(0, np.int64)
-    first, ends = np.cumsum(counts) - counts, np.cumsum(sizes)
-    _, label = np.unique(label, return_inverse=True)
-    left, found_a, found_b = np.ones(n, bool), [], []
-    for start in np.argsort(np.bincount(label), kind="stable"):  # the largest group waits to be reached
-        queue = np.flatnonzero(left & (label == start)).tolist()
-        left[queue] = False
-        while queue and left.any():
-            i = queue.pop()
-            own = value[ends[i] - sizes[i] : ends[i]]
-            at = np.repeat(first[own] - np.cumsum(counts[own]) + counts[own], counts[own])
-            common = np.bincount(holders[at + np.arange(len(at))], minlength=n)
-            near = np.flatnonzero(left & (common >= similarity * (sizes + sizes[i] - common)))
-            if len(near):
-                found_a.append(np.full(len(near), i))
-                found_b.append(near)
-                reached = np.flatnonzero(left & np.isin(label, label[near]))
-                left[reached] = False
-                queue += reached.tolist()
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
-
-
-def _similar_in_cells(similarity: float):
-    def close(held):
-        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        sets, ids = batch.column("shingles"), batch.column("id")
-        sizes = sets.value_lengths().to_numpy().astype(np.int64)
-        a, b = _similar(sizes, sets.flatten().to_numpy(), batch.column("label").to_numpy(), similarity)
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], ["a", "b"])
-
-    def run(batches):
-        held, last = [], None
-        for batch in batches:
-            cell = batch.column("cell").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
-            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-                if end > begin:
-                    if held and cell[begin] != last:
-                        yield close(held)
-                        held = []
-                    held.append(batch.slice(begin, end - begin))
-                    last = cell[begin]
-        if held:
-            yield close(held)
-
-    return run
-
-
-def similar_links(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 5,
-    similarity: float = 0.8,
-    cell: int = CELL,
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
-    """Links a, b of ids that connect the documents whose sets of word shingles have a Jaccard similarity of at least
-    ``similarity``, and no others.
-
-    Equal texts link to the first of them. Different texts are candidates if a key of BANDS tables agrees; every pair of
-    candidates that is not connected yet is compared exactly. First each text of a bucket with its first one, which
-    settles most groups with as many comparisons as texts. What that leaves apart (the rest) meets all others of its
-    bucket in cells, one for each pair of parts of the bucket with the rest in one of them, so that no task holds more
-    than two parts; a cell returns the links of a forest of the pairs that passed. Rows without id are left out.
-    """
-    kind = dict(docs.dtypes)[id_col]
-    rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"),
-        F.xxhash64(text_col).alias("hash_a"),
-        F.xxhash64(F.lit(1), text_col).alias("hash_b"),
-        F.col(text_col).alias("text"),
-    )
-    node = F.struct("id", "hash_a")  # an id may have several texts
-
-    def keyed(batches):
-        for batch in pieces(batches, "text"):
-            hashes = [shingle_hashes(t, shingle) for t in text_bytes(batch, "text")]
-            yield with_columns(
-                batch.select(["id", "hash_a", "hash_b"]),
-                size=pa.array([len(h) for h in hashes], pa.int64()),
-                keys=pa.array([band_keys(h) for h in hashes], pa.list_(pa.int64())),
-            )
-
-    def hashed(batches):
-        for batch in pieces(batches, "text"):
-            sets = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in text_bytes(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    prints = rows.mapInArrow(keyed, f"id {kind}, hash_a bigint, hash_b bigint, size bigint, keys array<bigint>")
-    prints = materialise(prints, "band-keys")
-    texts = materialise(
-        prints.groupBy("hash_a", "hash_b").agg(
-            F.min("id").alias("first_id"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("size").alias("size"),
-            F.first("keys").alias("keys"),
-        ),
-        "texts",
-    )
-    equal = join_groups(
-        prints.select("id", "hash_a", "hash_b"), texts.drop("size", "keys"), ["hash_a", "hash_b"], "copies"
-    ).where("id <> first_id")
-
-    spread = texts.select(
-        F.struct(F.col("first_id").alias("id"), "hash_a").alias("node"), "size", F.explode("keys").alias("key")
-    )
-    buckets = spread.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialise(buckets, "buckets")
-    members = materialise(join_groups(spread, buckets, ["key"], "n").where("n IS NOT NULL"), "members")
-    wanted = members.select("node").distinct()
-    known = rows.select(node.alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    known = materialise(
-        known.mapInArrow(hashed, f"node struct<id: {kind}, hash_a: bigint>, shingles array<bigint>"), "shingles"
-    )
-    pairs = materialise(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
-    sides = pairs.join(known.toDF("a", "in_a").hint("merge"), "a").join(known.toDF("b", "in_b").hint("merge"), "b")
-    common = F.size(F.array_intersect("in_a", "in_b"))
-    led = materialise(
-        sides.where(common >= similarity * (F.size("in_a") + F.size("in_b") - common)).select("a", "b"), "led"
-    )
-
-    roots = materialise(components(led), "roots")
-    labelled = members.where("node <> leader").join(roots.hint("merge"), "node", "left").withColumnRenamed("root", "of_node")
-    labelled = labelled.join(roots.toDF("leader", "of_leader").hint("merge"), "leader", "left").select(
-        "key",
-        "node",
-        "size",
-        F.coalesce("of_node", "node").alias("root"),
-        (F.coalesce("of_node", "node") != F.coalesce("of_leader", "leader")).alias("is_rest"),
-    )
-    labelled = materialise(labelled, "labelled")
-
-    def parts(of: Column) -> Column:
-        full = F.greatest(F.count_if(of) / F.lit(cell), F.sum(F.when(of, F.col("size"))) / F.lit(CELL_SHINGLES))
-        return F.coalesce(F.ceil(full), F.lit(0)).cast("int")
-
-    apart = labelled.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.min("root") != F.max("root")).alias("open"),
-        F.greatest(parts(F.col("is_rest")), F.max(F.col("is_rest").cast("int"))).alias("rest"),
-        F.greatest(parts(~F.col("is_rest")), F.max((~F.col("is_rest")).cast("int"))).alias("core"),
-    )
-    apart = materialise(apart.where("open AND rest > 0"), "apart")
-    all_parts = F.col("rest") + F.col("core")
-    own = F.pmod(F.xxhash64("node"), F.when(F.col("is_rest"), F.col("rest")).otherwise(F.col("core"))).cast("int")
-    dealt = (
-        join_groups(labelled, apart, ["key"], "n")
-        .where("n IS NOT NULL")
-        .withColumn("own", F.when(F.col("is_rest"), own).otherwise(own + F.col("rest")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("is_rest"), all_parts).otherwise(F.col("rest")) - 1)))
-        .where((F.col("own") != F.col("other")) | (all_parts == 1))
-        .select(
-            "node",
-            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-            F.xxhash64("root").alias("label"),
-        )
-    )
-    met = dealt.join(known.hint("merge"), "node").select("cell", F.col("node.id").alias("id"), "label", "shingles")
-    met = met.repartition("cell").sortWithinPartitions("cell").mapInArrow(_similar_in_cells(similarity), f"a {kind}, b {kind}")
-    return (
-        equal.select(F.col("id").alias("a"), F.col("first_id").alias("b"))
-        .union(led.select("a.id", "b.id"))
-        .union(met)
-    )
+    """The documents less all but one row of each group that links connect. The row with the smallest id stays; rows without id
+    come after all others, and rows of one id are ordered by a hash of the whole row. Of rows equal in every column one stays.
+    Rows of one id with different texts are nodes of their own, so no text goes for its id's sake. All columns stay."""
+    every = [x for name in docs.columns for x in (F.col(f"`{name}`").isNull(), F.col(f"`{name}`"))]
+    row = [F.xxhash64(*every).alias("row_a"), F.xxhash64(F.lit(1), *every).alias("row_b")]
+    node = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), *row)
+    prints = fingerprints(docs.select(node.alias("id"), F.col(text_col).alias("text")), "text", "fingerprint", shingle)
+    heads = link(prints, radius).where("id = component_id").select("id.row_a", "id.row_b").distinct()
+    whole = docs.select(*row, F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    return whole.dropDuplicates(["row_a", "row_b"]).join(heads.hint("merge"), ["row_a", "row_b"], "left_semi").select("row.*")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.bpe import _vocabulary
 from tripmart.llm.common import pieces
-from tripmart.llm.word_bpe import Speller, library_resolver
+from tripmart.llm.word_bpe import Speller, by_library
 from tripmart.workspace import materialise
 
 MAGIC = b"TMTOK001"
@@ -48,7 +48,7 @@ LEVEL = 3
 
 def _speller(content: bytes) -> Speller:
     vocabulary = _vocabulary(content)
-    return Speller(vocabulary, library_resolver(content, vocabulary))
+    return Speller(vocabulary, by_library(vocabulary))
 
 
 def _serialized(content: bytes, text_col: str, end_id: int | None, width: int, id_col: str, pack):

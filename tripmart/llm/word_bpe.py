@@ -4,13 +4,19 @@ A text is cut at literal special tokens; the rest is normalised (NFC, white spac
 by the file's pattern, and the bytes of a word are merged by rank, its last symbol carrying the word-end mark. Words are
 independent of one another and never reach over white space, so a task resolves each distinct chunk between white space once
 and spells texts with table look-ups.
+
+Which characters are letters, digits and marks, and their lower case, depends on the version of Unicode a program knows. Chunks of
+characters below ``PROVEN`` (a test compares each of them) are normalised and cut here; others are handed to the tokenizers library
+as they are, which applies its own tables.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Callable, Iterable
+from functools import cached_property
 from itertools import chain, islice, repeat
 
 import numpy as np
@@ -18,9 +24,20 @@ import pyarrow as pa
 import regex
 
 #: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 250_000, 150_000
+MEMO_WORDS, KEPT = 150_000, 90_000
+#: Below this code point the library and the modules used here agree on every character.
+PROVEN = 0x250
+#: Chunks that the library spells in one call.
+SPELLED = 4_096
 #: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: White space of the file's pattern, spelled out for texts that have separators.
+_SPACES = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_BEYOND = regex.compile(f"[^\0-{chr(PROVEN - 1)}]").search
+#: A mark between a letter or digit and white space is a word of its own: cut off, words with and without it are one chunk.
+_STOP = re.compile("(?<=[0-9a-z])([.,;:!?])(?=[\t-\r \x85\xa0]|$)")
+
+Chunk = str | bytes | int
 
 
 def byte_alphabet() -> list[str]:
@@ -36,6 +53,7 @@ class Vocabulary:
 
     def __init__(self, content: bytes):
         spec = json.loads(content)
+        self.content = content
         model, steps = spec["model"], spec["normalizer"]["normalizers"]
         split, byte_level = spec["pre_tokenizer"]["pretokenizers"]
         known = (
@@ -51,12 +69,10 @@ class Vocabulary:
             raise ValueError("not a word-level BPE vocabulary of the supported kind")
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"] or ""
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(a, b): rank for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.words = regex.compile(split["pattern"]["Regex"]).findall
+        self.pattern = regex.compile(split["pattern"]["Regex"]).findall
         # white space becomes a blank in the file's own steps; no word has any, so the words are the same without
-        if self.words("a \t\x85\u2003b") != ["a", "b"] or steps[1]["content"] != " ":
+        if self.pattern("a \t\x85\u2003b") != ["a", "b"] or steps[1]["content"] != " ":
             raise ValueError("words with white space in them are not supported")
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.bytes = byte_alphabet()
@@ -69,23 +85,50 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final sigma: letters lower one by one
         return text.lower()
 
-    def chunks(self, text: str) -> list[str | int]:
-        """The text cut at white space, in normal form: no word reaches over it, so ``words`` of each chunk in turn are
-        the words of the text. A special token comes as its id."""
-        if any(c in text for c in _SEPARATORS) or (self.cut is not None and self.cut.search(text)):
-            return self.split(text)
-        return self._normal(text).split()
-
-    def split(self, text: str) -> list[str | int]:
-        """The words of a text, in order; a special token comes as its id."""
-        if self.cut is None:
-            return self.words(self._normal(text))
+    def _plain(self, text: str) -> list[Chunk]:
+        """Chunks of a text without special tokens."""
+        cut = _SPACES.split if any(c in text for c in _SEPARATORS) else str.split
+        if text.isascii() or not _BEYOND(text):
+            return [c for c in cut(_STOP.sub(r" \1", self._normal(text))) if c]
+        return [c.encode() if _BEYOND(c) else self._normal(c) for c in cut(text) if c]
+
+    def chunks(self, text: str) -> list[Chunk]:
+        """The text cut at white space: no word reaches over it, so ``words`` of each chunk in turn are the words of the text. A
+        chunk comes in normal form; one with characters beyond the proven ones as it is, in bytes; a special token as its id."""
+        if self.cut is None or not self.cut.search(text):
+            return self._plain(text)
         out, at = [], 0
         for m in self.cut.finditer(text):
-            out += self.words(self._normal(text[at : m.start()]))
+            out += self._plain(text[at : m.start()])
             out.append(self.special[m.group()])
             at = m.end()
-        return out + self.words(self._normal(text[at:]))
+        return out + self._plain(text[at:])
+
+    @cached_property
+    def library(self):
+        """The file's tokenizer, without truncation and padding."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(self.content.decode())
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    @cached_property
+    def _byte_of(self) -> dict[str, int]:
+        return {c: b for b, c in enumerate(self.bytes)}
+
+    def words(self, chunk: str | bytes) -> list[str]:
+        """The words of a chunk, in order."""
+        if isinstance(chunk, str):
+            return self.pattern(chunk)
+        whole = self.library.normalizer.normalize_str(chunk.decode())
+        return [bytes(map(self._byte_of.__getitem__, w)).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(whole)]
+
+    @cached_property
+    def ranks(self) -> dict[tuple[str, str], int]:
+        pairs = (m if isinstance(m, list) else m.split(" ") for m in json.loads(self.content)["model"]["merges"])
+        return {(a, b): rank for rank, (a, b) in enumerate(pairs)}
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word: the adjacent pair of lowest rank, the leftmost of equals, merges until none is left."""
@@ -115,10 +158,14 @@ class _Codes(dict):
         return code
 
 
+#: Chunks to the ids of all of them, one after the other, and the number of ids of each.
+Resolve = Callable[[list[str | bytes]], tuple[np.ndarray, np.ndarray]]
+
+
 class Speller:
-    """Turns texts into ids. ``resolve`` gives the ids of words not met before."""
+    """Turns texts into ids. ``resolve`` gives the ids of chunks not met before."""
 
-    def __init__(self, vocabulary: Vocabulary, resolve: Callable[[list[str]], Iterable[list[int]]]):
+    def __init__(self, vocabulary: Vocabulary, resolve: Resolve):
         self.vocabulary, self.resolve = vocabulary, resolve
         self.codes = _Codes()
         self.flat, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
@@ -129,22 +176,14 @@ class Speller:
         self.flat = self.flat[: self.ends[-1]]
 
     def _learn(self, known: int) -> None:
-        """The ids of the chunks numbered from ``known`` on, from the ids of their words."""
+        """The ids of the chunks numbered from ``known`` on."""
         fresh = list(islice(self.codes, known, None))
-        parts = [[c] if isinstance(c, int) else self.vocabulary.words(c) for c in fresh]
-        words = list({w for part, c in zip(parts, fresh, strict=True) if isinstance(c, str) for w in part})
-        ids: dict[str | int, list[int]] = {c: [c] for c in fresh if isinstance(c, int)}
-        unknown = []
-        for w in words:  # a word may have been met as a chunk of its own
-            code = self.codes.get(w)
-            if code is not None and code < known:
-                ids[w] = self.flat[self.ends[code] : self.ends[code + 1]].tolist()
-            else:
-                unknown.append(w)
-        ids.update(zip(unknown, self.resolve(unknown), strict=True))
-        lists = [[i for w in part for i in ids[w]] for part in parts]
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.int32)])
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        special = [(i, c) for i, c in enumerate(fresh) if isinstance(c, int)]
+        flat, lengths = self.resolve([c for c in fresh if not isinstance(c, int)] if special else fresh)
+        for i, c in special:  # a handful in a vocabulary
+            at = int(lengths[:i].sum())
+            flat, lengths = np.insert(flat, at, c), np.insert(lengths, i, 1)
+        self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
 
     def spell(self, texts: list[str | None]) -> pa.ListArray:
@@ -164,24 +203,44 @@ class Speller:
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(self.flat[at], pa.int32()))
 
 
-def library_resolver(content: bytes, vocabulary: Vocabulary) -> Callable[[list[str]], Iterable[list[int]]]:
-    """Words spelled by the tokenizers library, many in one call: a word's last id is the one that carries the word-end
-    mark. Should that not tell the words apart, each is merged by itself."""
-    from tokenizers import Tokenizer
+def by_words(vocabulary: Vocabulary, resolve: Callable[[list[str]], Iterable[list[int]]]) -> Resolve:
+    """Chunks resolved by the ids of their distinct words."""
+
+    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [vocabulary.words(c) for c in chunks]
+        words = list({w for part in parts for w in part})
+        ids = dict(zip(words, resolve(words), strict=True))
+        lists = [[i for w in part for i in ids[w]] for part in parts]
+        return np.fromiter(chain.from_iterable(lists), np.int32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    return run
+
 
-    tokenizer = Tokenizer.from_str(content.decode())
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+def by_library(vocabulary: Vocabulary) -> Resolve:
+    """Chunks spelled by the tokenizers library, many in one call. A word's last id carries the word-end mark, so ids are told
+    apart by counting words; should the numbers differ (no mark), each chunk is spelled by itself."""
+    encode = vocabulary.library.encode
     last = np.array([bool(vocabulary.end) and t.endswith(vocabulary.end) for t in vocabulary.tokens])
 
-    def resolve(words: list[str]) -> Iterable[list[int]]:
-        for at in range(0, len(words), 2_000):
-            part = words[at : at + 2_000]
-            ids = tokenizer.encode(" ".join(part), add_special_tokens=False).ids
-            ends = (np.flatnonzero(last[np.array(ids, np.int64)]) + 1).tolist()
-            if len(ends) == len(part):
-                yield from (ids[a:b] for a, b in zip([0, *ends], ends, strict=False))
+    def one(text: str) -> list[int]:
+        return encode(text, add_special_tokens=False).ids
+
+    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for at in range(0, len(chunks), SPELLED):
+            part = chunks[at : at + SPELLED]
+            found = np.array(one(" ".join([c if isinstance(c, str) else c.decode() for c in part])), np.int64)
+            # a chunk of letters is one word, as long as they are proven ones
+            counts = [1 if isinstance(c, str) and c.isalpha() else len(vocabulary.words(c)) for c in part]
+            ends = np.concatenate(([0], np.flatnonzero(last[found]) + 1))
+            bounds = np.concatenate(([0], np.cumsum(counts)))
+            if bounds[-1] == len(ends) - 1:
+                ids.append(found)
+                lengths.append(np.diff(ends[bounds]))
             else:
-                yield from map(vocabulary.merge, part)
+                lists = [one(c if isinstance(c, str) else c.decode()) for c in part]
+                ids.append(np.fromiter(chain.from_iterable(lists), np.int64))
+                lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        return np.concatenate(ids), np.concatenate(lengths)
 
-    return resolve
+    return run
