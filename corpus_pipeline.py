@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import bpe, curriculum, language_id, line_dedup, simhash
-from tripmart.llm.components import components
 from tripmart.workspace import materialise
 
 #: Least share of a text's n-grams that its language must have.
 MIN_LANGUAGE_SHARE = 0.3
-#: Near copies share this much of their sets of five-word shingles.
-SHINGLE, SIMILARITY = 5, 0.8
+#: Near copies are documents whose fingerprints of shingles of so many words differ in so many bits at most.
+SHINGLE, RADIUS = 4, 4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, and texts hardly like any learned language, go."""
+    """Texts without a letter (null and empty ones too), and texts hardly like any learned language, go. An empty table, and one without
+    labels to learn from, gives an empty one."""
     known = docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 2)
     found = language_id.identify(docs, language_id.learn(known), keep_text=True)
     kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_share") >= MIN_LANGUAGE_SHARE)
@@ -29,26 +29,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages go; documents that were nothing else go with them."""
+    """Repeated passages go; documents that were nothing else go with them. Null and empty texts stay as they are; of repeated rows the
+    first occurrence keeps its lines. An empty table stays empty."""
     left = line_dedup.dedup_lines(docs).where((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays, once. Documents without id stay."""
-    groups = components(simhash.similar_links(docs, shingle=SHINGLE, similarity=SIMILARITY))
-    gone = groups.where("node <> root").select(F.col("node").alias("doc_id"))
-    left = docs.join(materialise(gone, "near-copies").hint("merge"), "doc_id", "left_anti")
-    return left.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """Of each group that fingerprints link (operator 7: words by fours, at most four bits) the document with the smallest id stays,
+    once. Documents without id come last; rows of one id with different texts are documents of their own. Null and empty texts
+    are one group. An empty table stays empty."""
+    return simhash.one_of_each_group(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per copy that the mix takes, in the order of training."""
+    """A row per copy that the mix takes, in the order of training. A text without words has size 0 and is taken with its
+    neighbours; rows without id are ordered by a hash of their text. An empty table stays empty."""
     return curriculum.arranged(docs).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text, and the digest of the text they decode to."""
+    """Ids of every text, and the digest of the text they decode to; null and empty texts have no ids. Repeated rows are encoded one by
+    one. An empty table gives an empty one."""
     content = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     decoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), content), content)
     return decoded.select(
