@@ -2,7 +2,9 @@ import pytest
 
 #: Names that the operators use inside, as extra columns of the input.
 CLASHES = {"id": "x", "n": "x", "score": "x", "ids": "x", "starts": "x", "digest": "x", "root": "x", "key": "x", "size": "x", "copies": "x",
-           "training_position": "x", "lines_removed": "x", "fingerprint": "x", "lang_pred": "x", "task": "x", "edge": "x"}
+           "training_position": "x", "lines_removed": "x", "fingerprint": "x", "lang_pred": "x", "task": "x", "edge": "x",
+           "_hash": "x", "_lines": "x", "_kept": "x", "_a": "x", "_b": "x", "_places": "x", "_positions": "x", "starts_at": "x", "d": "x", "l": "x",
+           "no_id": "x", "row": "x", "row_a": "x", "lang_share": "x", "blocks": "x", "hash_a": "x", "of": "x", "n_words": "x"}
 LONG = "wort und noch ein wort\n" * 30_000
 ROWS = [
     (1, "a b c d e f\nzwei\ndrei\nvier", "de", "s0"),

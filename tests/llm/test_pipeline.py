@@ -1,6 +1,7 @@
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_line_dedup import brute as without_repeats
@@ -55,3 +56,12 @@ def test_no_rows(docs, spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         rows = stage(spark, rows, sf_dir)
         assert rows.count() == 0
+
+
+def test_clashing_columns_stay(docs, spark, sf_dir):
+    names = ["lines_removed", "lang_share", "score", "lang_pred", "training_position", "_hash", "_a", "row", "id", "ids"]
+    rows = docs.where("doc_id < 60").select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, sf_dir)
+        assert rows.columns == [*docs.columns, *names], name
+    assert all(r[n] == f"own {n}" for r in rows.collect() for n in names)

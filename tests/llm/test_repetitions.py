@@ -101,7 +101,7 @@ def test_tricky_rows(tricky, nothing):
     assert all(r.collapsed == "" and r.runs == [] for r in rows if r.doc_id in (2, 3, 9))
     long = [r for r in rows if r.doc_id in (7, 8)]
     assert all([tuple(x) for x in r.runs] == [(0, 150_000, 5)] and r.collapsed == "wort und noch ein wort" for r in long)
-    assert all(r[name] == "x" for r in rows for name in CLASHES)
+    assert all(r[name] == "x" for r in rows for name in CLASHES if name != "n_words")
     assert find_runs(nothing).count() == 0
 
 

@@ -90,7 +90,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents with shortened texts, and ``lines_removed``."""
     later = materialise(later_occurrences(docs, id_col, text_col), "later")
     names = [c for c in docs.columns if c != "lines_removed"]
-    rows = docs.select(*names).alias("d").withColumn("_hash", F.xxhash64(text_col))
+    # the user's columns in one struct: none can have the name of a working column
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"), F.xxhash64(text_col).alias("_hash"))
     joined = rows.join(
         later.alias("l").hint("merge"),
         F.col(f"d.{id_col}").eqNullSafe(F.col("l.id")) & (F.col("_hash") == F.col("l.text_hash")),
@@ -101,5 +102,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.when(F.col("l.starts").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join("_kept", "\n"))
     removed = F.when(F.col("l.starts").isNull(), F.lit(0)).otherwise(F.size("_lines") - F.size("_kept"))
     return kept.select(
-        *[text.alias(c) if c == text_col else F.col(f"d.{c}") for c in names], removed.alias("lines_removed")
+        *[text.alias(c) if c == text_col else F.col("d").getField(c).alias(c) for c in names], removed.alias("lines_removed")
     )
