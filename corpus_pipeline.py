@@ -19,20 +19,32 @@ MIN_LANGUAGE_SHARE = 0.3
 SHINGLE, RADIUS = 4, 4
 
 
+#: Columns that stages read or write; others of the user's are named out of the way of what operators add.
+_OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    return docs.toDF(*[c if c in _OWN else f"extra {i}" for i, c in enumerate(docs.columns)])
+
+
+def _as_before(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.select(*[F.col(f"`{a}`").alias(c) for a, c in zip(_apart(docs).columns, docs.columns, strict=True)])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter (null and empty ones too), and texts hardly like any learned language, go. An empty table, and one without
     labels to learn from, gives an empty one."""
     known = docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4 != 2)
-    found = language_id.identify(docs, language_id.learn(known), keep_text=True)
+    found = language_id.identify(_apart(docs), language_id.learn(known), keep_text=True)
     kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("lang_share") >= MIN_LANGUAGE_SHARE)
-    return found.where(kept).select(*docs.columns)
+    return _as_before(found.where(kept), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go; documents that were nothing else go with them. Null and empty texts stay as they are; of repeated rows the
     first occurrence keeps its lines. An empty table stays empty."""
-    left = line_dedup.dedup_lines(docs).where((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    left = line_dedup.dedup_lines(_apart(docs)).where((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return _as_before(left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +57,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per copy that the mix takes, in the order of training. A text without words has size 0 and is taken with its
     neighbours; rows without id are ordered by a hash of their text. An empty table stays empty."""
-    return curriculum.arranged(docs).select(*docs.columns)
+    return _as_before(curriculum.arranged(_apart(docs)), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
