@@ -46,7 +46,9 @@ SHARD_BYTES = 16 << 20
 LEVEL = 3
 
 
+@lru_cache(maxsize=1)
 def _speller(content: bytes) -> Speller:
+    """One for all tasks of a worker: frequent words are spelled once."""
     vocabulary = _vocabulary(content)
     return Speller(vocabulary, by_library(vocabulary))
 

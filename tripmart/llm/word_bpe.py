@@ -24,11 +24,11 @@ import pyarrow as pa
 import regex
 
 #: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 150_000, 90_000
+MEMO_WORDS, KEPT = 120_000, 80_000
 #: Below this code point the library and the modules used here agree on every character.
 PROVEN = 0x250
-#: Chunks that the library spells in one call.
-SPELLED = 4_096
+#: Words that the library spells in one call.
+SPELLED = 1_000
 #: What Python takes for white space but the pattern does not: texts with it are split by the pattern alone.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: White space of the file's pattern, spelled out for texts that have separators.
@@ -217,30 +217,38 @@ def by_words(vocabulary: Vocabulary, resolve: Callable[[list[str]], Iterable[lis
 
 
 def by_library(vocabulary: Vocabulary) -> Resolve:
-    """Chunks spelled by the tokenizers library, many in one call. A word's last id carries the word-end mark, so ids are told
-    apart by counting words; should the numbers differ (no mark), each chunk is spelled by itself."""
-    encode = vocabulary.library.encode
+    """Chunks spelled by the merges of the tokenizers library, many words in one call: their bytes as the file writes them, one blank
+    between words. A word's last id carries the word-end mark, which tells words apart; should the numbers differ (no mark), each
+    word is merged by itself."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(vocabulary.library.model)
+    bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
     last = np.array([bool(vocabulary.end) and t.endswith(vocabulary.end) for t in vocabulary.tokens])
+    plain = dict(enumerate(vocabulary.bytes))
 
-    def one(text: str) -> list[int]:
-        return encode(text, add_special_tokens=False).ids
+    def spelled(word: str) -> str:
+        # ASCII letters stand for themselves; other bytes have a character of their own
+        return word if word.isalpha() and word.isascii() else word.encode().decode("latin-1").translate(plain)
 
     def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # a chunk of letters is one word, as long as they are proven ones
+        parts = [[c] if isinstance(c, str) and c.isalpha() else vocabulary.words(c) for c in chunks]
+        words = [w for part in parts for w in part]
         ids, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for at in range(0, len(chunks), SPELLED):
-            part = chunks[at : at + SPELLED]
-            found = np.array(one(" ".join([c if isinstance(c, str) else c.decode() for c in part])), np.int64)
-            # a chunk of letters is one word, as long as they are proven ones
-            counts = [1 if isinstance(c, str) and c.isalpha() else len(vocabulary.words(c)) for c in part]
-            ends = np.concatenate(([0], np.flatnonzero(last[found]) + 1))
-            bounds = np.concatenate(([0], np.cumsum(counts)))
-            if bounds[-1] == len(ends) - 1:
+        for at in range(0, len(words), SPELLED):
+            some = words[at : at + SPELLED]
+            found = np.array(bare.encode(" ".join(map(spelled, some)), add_special_tokens=False).ids, np.int64)
+            ends = np.flatnonzero(last[found])
+            if len(ends) == len(some):
                 ids.append(found)
-                lengths.append(np.diff(ends[bounds]))
+                lengths.append(np.diff(ends, prepend=-1))
             else:
-                lists = [one(c if isinstance(c, str) else c.decode()) for c in part]
+                lists = list(map(vocabulary.merge, some))
                 ids.append(np.fromiter(chain.from_iterable(lists), np.int64))
                 lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-        return np.concatenate(ids), np.concatenate(lengths)
+        before = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+        bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
+        return np.concatenate(ids), np.diff(before[bounds])
 
     return run
