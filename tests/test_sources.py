@@ -1,4 +1,5 @@
 import hashlib
+import random
 from urllib.parse import unquote
 
 import pytest
@@ -7,7 +8,7 @@ from tests.conftest import plan_of
 from tripmart import schemas as S
 from tripmart.operators import checks
 from tripmart.plans.landing import land_trips, landing_gate
-from tripmart.sources import files, sinks, tables
+from tripmart.sources import encodings, files, sinks, tables
 from tripmart.workspace import new_path, shared_root
 
 
@@ -45,17 +46,100 @@ def test_md5_of_every_file_in_one_way(spark, folder):
     assert {n: r["md5"] for n, r in by_name(sums).items()} == {
         p.name: hashlib.md5(p.read_bytes()).hexdigest() for p in folder.iterdir()
     }
-    assert "Python" not in plan_of(sums) and "Pandas" not in plan_of(sums)
 
 
-def test_a_file_too_large_for_a_value_is_an_error(spark, folder):
+def tree(content, block, fan):
+    level = [hashlib.sha256(content[i : i + block]).digest() for i in range(0, len(content), block)] or [hashlib.sha256(b"").digest()]
+    while len(level) > 1:
+        level = [hashlib.sha256(b"".join(level[i : i + fan])).digest() for i in range(0, len(level), fan)]
+    return level[0].hex()
+
+
+@pytest.mark.parametrize(("block", "fan"), [(1 << 20, 256), (100, 3), (7, 2)])
+def test_tree_digests_of_files_larger_than_a_value_may_be(spark, folder, block, fan):
+    (folder / "large.tsv").write_bytes(random.Random(1).randbytes(12_345))
     before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
     spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
     try:
-        with pytest.raises(Exception, match="1000"):
-            files.file_md5(spark, str(folder)).collect()
+        rows = by_name(files.file_tree_digest(spark, str(folder), block=block, fan=fan))
+        sums = by_name(files.file_md5(spark, str(folder)))
     finally:
         spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    assert {n: r["tree_digest"] for n, r in rows.items()} == {p.name: tree(p.read_bytes(), block, fan) for p in folder.iterdir()}
+    assert {n: r["blocks"] for n, r in rows.items()} == {p.name: max(1, -(-p.stat().st_size // block)) for p in folder.iterdir()}
+    assert sums["large.tsv"]["md5"] == hashlib.md5((folder / "large.tsv").read_bytes()).hexdigest()
+
+
+def test_listing_of_a_deep_tree(spark, tmp_path):
+    wanted = {}
+    for name in ("a/b/c/1.csv", "a/b/2.csv", "a/x=1/3.txt", "_temporary/4.csv", ".hidden/5.csv", "_k=2/6.csv", "a/_7.csv", "8 +%20é.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(name.encode() if "2" in name else b"")
+        if name not in ("_temporary/4.csv", ".hidden/5.csv", "a/_7.csv"):
+            wanted[f"file://{tmp_path}/{name}"] = (tmp_path / name).stat().st_size
+    (tmp_path / "empty" / "folder").mkdir(parents=True)
+    rows = files.list_files(spark, str(tmp_path)).collect()
+    assert {r.path: r.length for r in rows} == wanted and all(r.modified_at for r in rows)
+    assert {r.path for r in files.list_files(spark, str(tmp_path), "[!1].{csv,txt}").collect()} == {p for p in wanted if p[-5:] in ("2.csv", "3.txt", "6.csv")}
+    assert [r.length for r in files.list_files(spark, str(tmp_path / "a/b/2.csv")).collect()] == [9]
+    with pytest.raises(FileNotFoundError):
+        files.list_files(spark, str(tmp_path / "no such"))
+
+
+def test_no_list_of_names_on_the_driver(spark, folder, monkeypatch):
+    """Of the whole listing only numbers and schemas pass the driver."""
+    for method in ("collect", "toPandas", "inputFiles", "toLocalIterator"):
+        monkeypatch.setattr(type(spark.range(1)), method, lambda *_: pytest.fail("rows on the driver"))
+    files.file_gate(files.list_files(spark, str(folder)))
+
+
+def sample(language):
+    return {
+        "fr": "Les élèves français étaient là où la forêt brûlée s'étend, à côté du château. " * 3,
+        "cs": "Příliš žluťoučký kůň úpěl ďábelské ódy a řeka tekla dál. " * 3,
+        "ru": "Поездка по городу оплачена наличными в пятницу, без чаевых. " * 3,
+        "el": "Η διαδρομή στην πόλη πληρώθηκε με μετρητά την Παρασκευή. " * 3,
+        "en": "plain words and numbers 12.50 " * 3,
+        "zh": "城市里的行程用现金支付。\n" * 3,
+    }[language]
+
+
+ENCODED = [
+    ("fr", "utf-8", "utf-8"), ("zh", "utf-8", "utf-8"), ("en", "ascii", "ascii"), ("fr", "utf-8-sig", "utf-8"), ("fr", "utf-16-le", "utf-16-le"),
+    ("fr", "utf-16-be", "utf-16-be"), ("ru", "utf-16", "utf-16-le"), ("en", "utf-32-le", "utf-32-le"), ("ru", "utf-32-be", "utf-32-be"),
+    ("fr", "windows-1252", "windows-1252"), ("cs", "windows-1250", "windows-1250"), ("ru", "windows-1251", "windows-1251"), ("ru", "koi8-r", "koi8-r"),
+    ("ru", "iso-8859-5", "iso-8859-5"), ("el", "windows-1253", "windows-1253"), ("fr", "cp850", "cp850"),
+]
+
+
+@pytest.mark.parametrize("size", [16, 1 << 20])
+def test_encodings_of_files_however_they_are_cut(spark, tmp_path, size):
+    for i, (language, encoding, _) in enumerate(ENCODED):
+        (tmp_path / f"{i}.txt").write_bytes(sample(language).encode(encoding))
+    (tmp_path / f"{len(ENCODED)}.txt").write_bytes(b"")
+    learned = encodings.learn_pairs(spark.createDataFrame([(sample("fr") + " été où çà",), (sample("cs"),)], "text string"))
+    found = encodings.detect_encodings(files.list_files(spark, str(tmp_path)), encodings.likelihoods(spark, learned), size)
+    rows = {int(n[:-4]): r for n, r in by_name(found).items()}
+    assert [rows[i]["encoding"] for i in range(len(ENCODED))] == [name for *_, name in ENCODED]
+    assert all(0.5 < r["confidence"] <= 1 for r in rows.values())
+    assert rows[len(ENCODED)]["encoding"] == "ascii"
+
+
+def test_utf8_states_are_those_of_a_decoder(spark, tmp_path):
+    """Is a file valid? Random bytes of all kinds, cut into ranges of four."""
+    draw = random.Random(4)
+    parts = [b"a", "é".encode(), "日".encode(), "😀".encode(), b"\x80", b"\xe9", b"\xed\xa0\x80", b"\xf0\x8f", b"\xc0\xaf", b"\xf4\x90\x80\x80", b"\xe2\x82"]
+    wanted = []
+    for i in range(150):
+        content = b"".join(draw.choices(parts[: 4 if i % 2 else None], k=draw.randrange(1, 9)))
+        (tmp_path / f"{i}.txt").write_bytes(content)
+        try:
+            wanted.append(bool(content.decode()))
+        except UnicodeDecodeError:
+            wanted.append(False)
+    found = encodings.detect_encodings(files.list_files(spark, str(tmp_path)), encodings.likelihoods(spark), 4)
+    rows = {int(n[:-4]): r["encoding"] in ("utf-8", "ascii") for n, r in by_name(found).items()}
+    assert [rows[i] for i in range(150)] == wanted and 20 < sum(wanted) < 130
 
 
 def test_utf8_check_covers_whole_files(spark, folder):

@@ -457,6 +457,27 @@ def oracles() -> dict[str, str]:
         "file_gate": "SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'csv' ELSE 'txt' END AS extension, "
         "CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, s_suppkey % 2 = 0 AS extension_ok, "
         "LENGTH(s_name) + 1 >= 10 AS size_ok, s_suppkey % 2 = 0 AND LENGTH(s_name) + 1 >= 10 AS passed FROM supplier",
+        "stable_ids": oracle(
+            f"SELECT row_number() OVER (ORDER BY {', '.join(c.strip() + ' NULLS FIRST' for c in RAW_LIST.split(','))}) AS trip_number, "
+            "tpep_dropoff_datetime, PULocationID, fare_amount, total_amount FROM trips",
+            "trips",
+        ),
+        "rank_trips": oracle(
+            "SELECT RANK() OVER (ORDER BY total_amount DESC NULLS LAST) AS total_rank, total_amount, PULocationID FROM trips", "trips"
+        ),
+        "publish_snapshot": oracle(
+            "SELECT CAST(v AS INTEGER) AS version, table_name, CASE WHEN v = 2 AND table_name = 'fact_trips' "
+            "THEN (SELECT COUNT(*) FROM fact WHERE NOT is_invalid_total) ELSE row_count END AS row_count, TRUE AS as_published "
+            "FROM table_counts, (SELECT unnest([1, 2]) AS v)",
+            "table_counts",
+            "fact",
+        ),
+        "file_tree_digest": """SELECT s_suppkey, CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, CAST(3 AS BIGINT) AS blocks,
+  sha256(unhex(sha256(unhex(sha256(substr(text, 1, 8))) || unhex(sha256(substr(text, 9, 8)))))
+      || unhex(sha256(unhex(sha256(substr(text, 17, 8)))))) AS tree_digest
+FROM (SELECT *, s_name || chr(10) AS text FROM supplier)""",
+        "file_encoding": """SELECT s_suppkey, ['utf-8', 'utf-16-le', 'utf-16-be', 'windows-1252', 'koi8-r', 'windows-1251',
+    'ascii'][s_suppkey % 7 + 1] AS encoding, TRUE AS confident FROM supplier""",
         "file_md5": "SELECT s_suppkey, CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, md5(s_name || chr(10)) AS md5 FROM supplier",
         "file_utf8": "SELECT s_suppkey, CAST(LENGTH(s_name) + 1 + (s_suppkey % 7 = 0)::INT AS BIGINT) AS length, "
         "CAST((s_suppkey % 7 = 0)::INT AS BIGINT) AS bad_lines, s_suppkey % 7 <> 0 AS is_utf8 FROM supplier",

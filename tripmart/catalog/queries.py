@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 from tripmart.catalog import stage
 from tripmart.catalog.trips import derived_trips
-from tripmart.operators import checks, cleaning, derivation, joins, modelling, profiling, quality
-from tripmart.plans import charts, landing, reports, warehouse
-from tripmart.sources import files, sinks, tables
+from tripmart.operators import checks, cleaning, derivation, joins, modelling, ordering, profiling, quality
+from tripmart.plans import charts, landing, publish, reports, warehouse
+from tripmart.sources import encodings, files, sinks, tables
 from tripmart.workspace import new_path, write_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,24 @@ def file_utf8(spark, sf_dir):
     return _by_supplier(files.file_utf8(spark, f"{stage.supplier_files(spark, sf_dir)}/marked", "part-*"))
 
 
+@query
+def file_tree_digest(spark, sf_dir):
+    """Blocks of 8 bytes and nodes of two children, so that small files have trees of several levels."""
+    folder = f"{stage.supplier_files(spark, sf_dir)}/plain"
+    return _by_supplier(files.file_tree_digest(spark, folder, "part-*", block=8, fan=2))
+
+
+@query
+def file_encoding(spark, sf_dir):
+    """Files in seven encodings, told apart with pairs of characters learned from the documents; ranges of 16 bytes, so that most
+    files are cut. Is the name more likely than not?"""
+    folder = f"{stage.supplier_files(spark, sf_dir)}/encoded"
+    listing = files.list_files(spark, folder, "part-*").select("path", "length")
+    pairs = encodings.learn_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = encodings.detect_encodings(listing, encodings.likelihoods(spark, pairs), size=16)
+    return _by_supplier(found).select("s_suppkey", "encoding", (F.col("confidence") > 0.5).alias("confident"))
+
+
 @query
 def row_gate(spark, sf_dir):
     return checks.row_gate(_raw(spark, sf_dir))
@@ -313,6 +332,55 @@ def surrogate_id(spark, sf_dir):
     )
 
 
+@query
+def stable_ids(spark, sf_dir):
+    """Every raw trip with its number in the order of all columns."""
+    raw = _raw(spark, sf_dir)
+    return ordering.numbered(raw, [ordering.ascending(c) for c in raw.columns], "trip_number").select(
+        "trip_number", _DROPOFF, "PULocationID", "fare_amount", "total_amount"
+    )
+
+
+@query
+def rank_trips(spark, sf_dir):
+    """Every raw trip with its rank by total amount."""
+    return ordering.ranked(_raw(spark, sf_dir), [ordering.descending("total_amount")], "total_rank").select(
+        "total_rank", "total_amount", "PULocationID"
+    )
+
+
+@query
+def publish_snapshot(spark, sf_dir):
+    """A published warehouse: a version, one that replaces the fact by its valid trips, a job that dies before it publishes, and one
+    that began before the second version and is refused. Rows of the tables of both versions, as read."""
+    whole = publish.Published(spark, new_path(spark, "published"))
+    raw = _raw(spark, sf_dir)
+    first = whole.update(lambda folder: warehouse.build_warehouse(raw, folder))
+
+    def valid(folder):
+        trips = whole.read("fact_trips").where("NOT is_invalid_total")
+        return {"fact_trips": sinks.write_table(trips, f"{folder}/fact_trips", ["pickup_month"])}
+
+    second = whole.update(valid)
+    vendors = _vendors(spark, sf_dir).limit(1)
+    sinks.write_table(vendors, f"{whole.begin()}/dim_vendor")
+    late = whole.begin()
+    try:
+        whole.publish(late, {"dim_vendor": sinks.write_table(vendors, f"{late}/dim_vendor")}, after=first.number)
+        refused = False
+    except publish.Conflict:
+        refused = True
+    counted = [
+        whole.read(name, v.number).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(v.number).alias("version"), F.lit(name).alias("table_name"), "row_count",
+            F.lit(whole.version().number == second.number and refused).alias("as_published"),
+        )
+        for v in (first, second)
+        for name in S.TABLES
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # ------------------------------------------------------------------ star schema
 @query
 def fact_trips(spark, sf_dir):
@@ -378,12 +446,12 @@ def join_location_roles(spark, sf_dir):
 
 @query
 def q1_revenue_by_period(spark, sf_dir):
-    return reports.revenue_by_period(_fact(spark, sf_dir))
+    return reports.revenue_by_period(stage.rollup(spark, sf_dir, "time_of_day", "is_invalid_total"))
 
 
 @query
 def q2_tip_by_distance(spark, sf_dir):
-    return reports.tip_by_distance(_fact(spark, sf_dir), _payments(spark, sf_dir))
+    return reports.tip_by_distance(stage.rollup(spark, sf_dir, "distance_bucket", "payment_key"), _payments(spark, sf_dir))
 
 
 @query
@@ -393,7 +461,7 @@ def q2_top_band(spark, sf_dir):
 
 @query
 def q3_hourly_demand(spark, sf_dir):
-    return reports.hourly_demand(_fact(spark, sf_dir))
+    return reports.hourly_demand(stage.rollup(spark, sf_dir, "pickup_hour", "is_weekend"))
 
 
 @query
@@ -413,22 +481,22 @@ def q3_hourly_sql(spark, sf_dir):
 
 @query
 def q4_top_zones(spark, sf_dir):
-    return reports.top_zones(_fact(spark, sf_dir))
+    return reports.top_zones(stage.rollup(spark, sf_dir, "pickup_location_id", "date_key", "is_invalid_total"))
 
 
 @query
 def q5_airport_trend(spark, sf_dir):
-    return reports.airport_trend(_fact(spark, sf_dir))
+    return reports.airport_trend(stage.rollup(spark, sf_dir, "pickup_month", "pickup_dow", "is_airport_trip", "is_invalid_total"))
 
 
 @query
 def q5_iso_week(spark, sf_dir):
-    return reports.airport_iso_weeks(_fact(spark, sf_dir), _times(spark, sf_dir))
+    return reports.airport_iso_weeks(stage.rollup(spark, sf_dir, "date_key", "is_airport_trip", "is_invalid_total"), _times(spark, sf_dir))
 
 
 @query
 def vendor_revenue(spark, sf_dir):
-    return reports.vendor_revenue(_fact(spark, sf_dir), _vendors(spark, sf_dir))
+    return reports.vendor_revenue(stage.rollup(spark, sf_dir, "vendor_id"), _vendors(spark, sf_dir))
 
 
 @query

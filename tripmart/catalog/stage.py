@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from threading import RLock
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.catalog.trips import derived_trips
 from tripmart.plans.landing import land_trips, landed_path
+from tripmart.plans.rollups import build_rollups, scan_rollup
 from tripmart.plans.warehouse import build_warehouse
 from tripmart.sources.tables import scan_table, scan_trips
 from tripmart.workspace import new_path
@@ -19,6 +21,7 @@ LOAD_DATE = (2026, 4)
 _lock = RLock()
 _landed: dict[tuple[str, str], str] = {}
 _suppliers: dict[tuple[str, str], str] = {}
+_rollups: dict[tuple[str, str], str] = {}
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
 
 
@@ -43,6 +46,36 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
         return _landed[key]
 
 
+#: The encoding of a supplier's file below ``encoded/``, by key, and a sentence in it: fixed values.
+ENCODED = (
+    ("utf-8", "Façade à Besançon, garçon là-bas"),
+    ("utf-16-le", "Straße über Öl"),
+    ("utf-16-be", "Mañana señor"),
+    ("windows-1252", "Les élèves français étaient là où la forêt était brûlée"),
+    ("koi8-r", "Поездка по городу оплачена наличными в пятницу"),
+    ("windows-1251", "Поездка по городу оплачена наличными в пятницу"),
+    ("ascii", "plain words"),
+)
+
+
+def _encoded(keyed: DataFrame) -> DataFrame:
+    """Lines of bytes in the encoding of their key; a text file holds them as they are."""
+    text = F.array(*[F.lit(sentence) for _, sentence in ENCODED])
+    kind = F.array(*[F.lit(name) for name, _ in ENCODED])
+    nth = (F.col("s_suppkey") % len(ENCODED)).cast("int")
+
+    def run(batches):
+        for batch in batches:
+            names, lines = batch.column("kind").to_pylist(), batch.column("line").to_pylist()
+            # the writer ends a line with one byte: it gets another one in front, where units have two
+            half = {"utf-16-le": b" ", "utf-16-be": b"\0"}
+            raw = [line.encode(name) + half.get(name, b"") for name, line in zip(names, lines, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("s_suppkey"), pa.array(raw, pa.binary())], ["s_suppkey", "line"])
+
+    lines = keyed.select("s_suppkey", F.get(kind, nth).alias("kind"), F.concat_ws(" ", F.get(text, nth), "line").alias("line"))
+    return lines.mapInArrow(run, "s_suppkey bigint, line binary").withColumn("line", F.col("line").cast("string"))
+
+
 def supplier_files(spark: SparkSession, sf_dir: str) -> str:
     """A folder with one small file per supplier, its key in the path: ``csv`` for even keys, ``txt`` for odd ones; below
     ``marked/`` another one, where every seventh file is not UTF-8."""
@@ -57,6 +90,7 @@ def supplier_files(spark: SparkSession, sf_dir: str) -> str:
             broken = F.concat(F.unhex(F.lit("FF")).cast("string"), "line")
             marked = keyed.withColumn("line", F.when(F.col("s_suppkey") % 7 == 0, broken).otherwise(F.col("line")))
             marked.write.partitionBy("s_suppkey").text(f"{base}/marked")
+            _encoded(keyed).write.partitionBy("s_suppkey").text(f"{base}/encoded")
             _suppliers[key] = base
         return _suppliers[key]
 
@@ -74,5 +108,16 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         return _warehouses[key]
 
 
+def rollup(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Partial aggregates of the fact that have these columns."""
+    with _lock:
+        key = _key(spark, sf_dir)
+        if key not in _rollups:
+            path = new_path(spark, "rollups")
+            build_rollups(table(spark, sf_dir, "fact_trips"), path)
+            _rollups[key] = path
+    return scan_rollup(spark, _rollups[key], *columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan_table(spark, warehouse(spark, sf_dir).base, name)

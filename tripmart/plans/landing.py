@@ -50,7 +50,7 @@ def landing_gate(
     try:
         listing = list_files(spark, path, "[!_.]*")
         encodings = file_utf8(spark, path)
-    except PySparkException:  # no such folder
+    except (FileNotFoundError, PySparkException):  # no such folder
         listing, encodings = spark.createDataFrame([], _FILES), spark.createDataFrame([], _ENCODINGS)
     return ingest_gate(file_gate(listing, extensions, min_bytes), _row_counts(spark, path), min_rows, encodings)
 

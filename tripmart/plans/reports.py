@@ -1,6 +1,7 @@
 """Business reports over the warehouse. Each takes tables and returns a sorted DataFrame; collecting is up to the caller.
 
-Where a report needs a dimension, trips are aggregated by the join key first: the join then sees one row per key, not
+A report reads trips or partial aggregates of them (``rollups``), whichever it is given: sums of sums and of counts are
+those of the trips. Where a report needs a dimension, trips are aggregated by the join key first: the join then sees one row per key, not
 one per trip, whatever the size or skew of the fact table.
 """
 
@@ -20,22 +21,34 @@ def _valid(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("is_invalid_total") == F.lit(False))
 
 
-def _trips() -> Column:
-    return F.count(F.lit(1)).alias("trip_count")
+def _is_partial(rows: DataFrame) -> bool:
+    return "trips" in rows.columns
 
 
-def _mean(column: str, alias: str) -> Column:
-    return rounded(F.avg(column)).alias(alias)
+def _count(rows: DataFrame) -> Column:
+    return F.sum("trips") if _is_partial(rows) else F.count(F.lit(1))
+
+
+def _sum(rows: DataFrame, column: str) -> Column:
+    return F.sum(f"{column}_sum") if _is_partial(rows) else F.sum(column)
+
+
+def _known(rows: DataFrame, column: str) -> Column:
+    return F.sum(f"{column}_known") if _is_partial(rows) else F.count(column)
+
+
+def _mean(rows: DataFrame, column: str, alias: str) -> Column:
+    return rounded(_sum(rows, column) / F.nullif(_known(rows, column), F.lit(0))).alias(alias)
 
 
 def revenue_by_period(fact: DataFrame) -> DataFrame:
     """Revenue, fare, tip and duration by part of the day, ranked by revenue."""
     per_period = _valid(fact).groupBy("time_of_day").agg(
-        _trips(),
-        F.sum("total_amount").alias("_revenue"),
-        _mean("fare_amount", "avg_fare"),
-        _mean("tip_pct", "avg_tip_pct"),
-        _mean("trip_duration_min", "avg_duration_min"),
+        _count(fact).alias("trip_count"),
+        _sum(fact, "total_amount").alias("_revenue"),
+        _mean(fact, "fare_amount", "avg_fare"),
+        _mean(fact, "tip_pct", "avg_tip_pct"),
+        _mean(fact, "trip_duration_min", "avg_duration_min"),
     )
     ranked = per_period.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("_revenue"))))
     return ranked.select(
@@ -52,11 +65,11 @@ def revenue_by_period(fact: DataFrame) -> DataFrame:
 def tip_by_distance(fact: DataFrame, payments: DataFrame) -> DataFrame:
     """Average tip by distance and payment type (card and cash), numbered within the payment type."""
     per_key = fact.groupBy("distance_bucket", "payment_key").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("tip_pct").alias("tips"),
-        F.count("tip_pct").alias("tips_known"),
-        F.sum("fare_amount").alias("fares"),
-        F.count("fare_amount").alias("fares_known"),
+        _count(fact).alias("trips"),
+        _sum(fact, "tip_pct").alias("tips"),
+        _known(fact, "tip_pct").alias("tips_known"),
+        _sum(fact, "fare_amount").alias("fares"),
+        _known(fact, "fare_amount").alias("fares_known"),
     )
     per_label = (
         per_key.join(reported_payment_labels(payments), "payment_key")
@@ -92,10 +105,10 @@ def hourly_demand(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("pickup_hour", "is_weekend")
         .agg(
-            _trips(),
-            _mean("fare_amount", "avg_fare"),
-            _mean("trip_duration_min", "avg_duration"),
-            rounded(F.sum("total_amount")).alias("total_revenue"),
+            _count(fact).alias("trip_count"),
+            _mean(fact, "fare_amount", "avg_fare"),
+            _mean(fact, "trip_duration_min", "avg_duration"),
+            rounded(_sum(fact, "total_amount")).alias("total_revenue"),
         )
         .orderBy("pickup_hour", "is_weekend")
     )
@@ -103,7 +116,7 @@ def hourly_demand(fact: DataFrame) -> DataFrame:
 
 def top_zones(fact: DataFrame, limit: int = TOP_ZONES) -> DataFrame:
     """Pickup zones by average daily revenue. Ties share a rank, so there can be more than ``limit`` rows."""
-    per_day = _valid(fact).groupBy("pickup_location_id", "date_key").agg(F.sum("total_amount").alias("day_revenue"))
+    per_day = _valid(fact).groupBy("pickup_location_id", "date_key").agg(_sum(fact, "total_amount").alias("day_revenue"))
     # (zone, day) is unique here, so counting days needs no DISTINCT
     per_zone = per_day.groupBy("pickup_location_id").agg(
         F.avg("day_revenue").alias("_daily"),
@@ -135,11 +148,11 @@ def _with_previous(per_period: DataFrame, period: list[str]) -> DataFrame:
 def airport_trend(fact: DataFrame) -> DataFrame:
     """Airport against city trips by month and day of week; trips of unknown kind form a third group."""
     per_day = _valid(fact).groupBy("pickup_month", F.col("pickup_dow").alias("day_of_week"), "is_airport_trip").agg(
-        _trips(),
-        _mean("fare_amount", "avg_fare"),
-        _mean("trip_distance", "avg_distance"),
-        _mean("tip_pct", "avg_tip_pct"),
-        rounded(F.sum("total_amount")).alias("total_revenue"),
+        _count(fact).alias("trip_count"),
+        _mean(fact, "fare_amount", "avg_fare"),
+        _mean(fact, "trip_distance", "avg_distance"),
+        _mean(fact, "tip_pct", "avg_tip_pct"),
+        rounded(_sum(fact, "total_amount")).alias("total_revenue"),
     )
     return _with_previous(per_day, ["pickup_month", "day_of_week"]).orderBy(
         F.desc("is_airport_trip"), "pickup_month", "day_of_week"
@@ -149,19 +162,21 @@ def airport_trend(fact: DataFrame) -> DataFrame:
 def airport_iso_weeks(fact: DataFrame, times: DataFrame) -> DataFrame:
     """The same trend on true ISO weeks, taken from ``dim_time`` on its real grain."""
     measures = ("fare_amount", "trip_distance", "tip_pct")
-    per_hour = _valid(fact).groupBy("date_key", "pickup_hour", "is_airport_trip").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("total_amount").alias("revenue"),
-        *[F.sum(c).alias(f"{c}_sum") for c in measures],
-        *[F.count(c).alias(f"{c}_known") for c in measures],
+    hour = [] if _is_partial(fact) else ["pickup_hour"]  # partial aggregates by day: a day lies in one week
+    per_hour = _valid(fact).groupBy("date_key", *hour, "is_airport_trip").agg(
+        _count(fact).alias("trips"),
+        _sum(fact, "total_amount").alias("revenue"),
+        *[_sum(fact, c).alias(f"{c}_sum") for c in measures],
+        *[_known(fact, c).alias(f"{c}_known") for c in measures],
     )
+    weeks = times.select("date_key", "week_of_year").distinct()
     iso_year = F.expr("extract(YEAROFWEEK FROM date_key)")
 
     def mean(column: str, alias: str) -> Column:
         return rounded(F.sum(f"{column}_sum") / F.nullif(F.sum(f"{column}_known"), F.lit(0))).alias(alias)
 
     per_week = (
-        with_time(per_hour, times, ["week_of_year"])
+        (with_time(per_hour, times, ["week_of_year"]) if hour else per_hour.join(weeks, "date_key", "left"))
         .groupBy(iso_year.alias("iso_year"), "week_of_year", "is_airport_trip")
         .agg(
             F.sum("trips").alias("trip_count"),
@@ -178,7 +193,7 @@ def airport_iso_weeks(fact: DataFrame, times: DataFrame) -> DataFrame:
 
 def vendor_revenue(fact: DataFrame, vendors: DataFrame) -> DataFrame:
     """Revenue by vendor name; trips of vendors without a name share a null group."""
-    per_id = fact.groupBy("vendor_id").agg(F.sum("total_amount").alias("revenue"))
+    per_id = fact.groupBy("vendor_id").agg(_sum(fact, "total_amount").alias("revenue"))
     return (
         with_vendor(per_id, vendors)
         .groupBy("vendor_name")

@@ -1,44 +1,31 @@
-"""File-level checks of a landing folder, on Spark's file listing.
+"""File-level checks of a landing folder.
 
-The listing reads names, sizes and times only. Content checks run where the data is: text files are split into lines
-over all tasks, checksums are taken one file per row, always by Spark's own reader: a file above
-``spark.sql.sources.binaryFile.maxLength`` (2 GB, the most a value can hold) is an error.
+Names, sizes and times come from a listing that tasks make (``listing.walk``): no list of names is on the driver, and files of zero
+bytes are part of it. Contents are read where the data is, in ranges or in steps, so a file may be of any size.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
+from tripmart.sources.encodings import detect_encodings, likelihoods
+from tripmart.sources.listing import matches, pieces_of, ranges, read_ranges, spread, walk
+from tripmart.workspace import materialise
 
-
-def _binary_files(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path)
-
-
-def _uri() -> Column:
-    """The file of a row, in the form the file index uses (``file:///x``, not ``file:/x``)."""
-    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("path")
-
-
-def _with_empty_files(files: DataFrame, scanned: DataFrame) -> DataFrame:
-    """A scan leaves out files of zero bytes. Their names come from the file index, the list of names Spark's driver holds
-    for any scan; they get length 0."""
-    names = files.sparkSession.createDataFrame([(name,) for name in files.inputFiles()], "path string")
-    length = F.coalesce(F.col("length"), F.lit(0).cast("bigint"))
-    return names.join(scanned, "path", "left").withColumn("length", length)
+#: Bytes of a block in a file's tree of digests, and children of a node.
+TREE_BLOCK, TREE_FAN = 16 << 20, 256
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``path, length, modified_at`` of every file, paths as URIs; contents are not read. A file of zero bytes has no
-    time."""
-    files = _binary_files(spark, path, pattern)
-    scanned = files.select(_uri(), "length", F.col("modificationTime").alias("modified_at"))
-    return _with_empty_files(files, scanned).select("path", "length", "modified_at")
+    """``path, length, modified_at`` of every file whose name fits the pattern, paths with their scheme; contents are not
+    read."""
+    files = walk(spark, path)
+    return files.where(matches(F.col("path"), pattern)) if pattern else files
 
 
 def file_gate(
@@ -57,14 +44,75 @@ def file_gate(
     ).withColumn("passed", F.col("extension_ok") & F.col("size_ok"))
 
 
+def _md5(file, row) -> str:
+    digest = hashlib.md5()
+    for piece in pieces_of(file, 0, row["length"]):
+        digest.update(piece)
+    return digest.hexdigest()
+
+
 def file_md5(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``path, length, md5`` of every file."""
-    files = _binary_files(spark, path, pattern)
-    scanned = files.select(_uri(), "length", F.md5("content").alias("md5"))
-    of_nothing = F.md5(F.lit("").cast("binary"))
-    return _with_empty_files(files, scanned).select(
-        "path", "length", F.when(F.col("length") == 0, of_nothing).otherwise(F.col("md5")).alias("md5")
-    )
+    """``path, length, md5`` of every file, streamed by one task each: MD5 cannot be shared out. For very large files
+    see ``file_tree_digest``."""
+    files = list_files(spark, path, pattern).select("path", "length")
+    return read_ranges(spread(files, files), _md5, "md5", "string")
+
+
+def _leaf(block: int):
+    def run(file, row) -> bytes:
+        start = row["number"] * block
+        digest = hashlib.sha256()
+        for piece in pieces_of(file, start, min(start + block, row["length"])):
+            digest.update(piece)
+        return digest.digest()
+
+    return run
+
+
+def file_tree_digest(
+    spark: SparkSession, path: str, pattern: str | None = None, block: int = TREE_BLOCK, fan: int = TREE_FAN
+) -> DataFrame:
+    """``path, length, blocks, tree_digest``: a SHA-256 tree of every file, whatever its size.
+
+    Leaves are the digests of fixed blocks, each hashed where it is read, so the blocks of one file go to many tasks. A node is the
+    digest of the digests of up to ``fan`` neighbours, level by level, until one is left; a file of one block has that
+    block's digest. Equal contents have equal trees for the same ``block`` and ``fan``.
+    """
+    files = list_files(spark, path, pattern).select("path", "length")
+    rows = ranges(files, block)
+    level = materialise(read_ranges(spread(files, rows), _leaf(block), "digest", "binary"), "file-blocks")
+    most = level.agg(F.max("ranges")).first()[0] or 1
+    level = level.select("path", "length", "ranges", F.col("ranges").alias("nodes"), "number", "digest")
+    for _ in range(math.ceil(round(math.log(most, fan), 9)) if most > 1 else 0):
+        children = F.array_sort(F.collect_list(F.struct("number", "digest")))  # ``fan`` at most
+        joined = F.aggregate("children", F.lit(b""), lambda whole, child: F.concat(whole, child["digest"]))
+        level = (
+            level.groupBy("path", "length", "ranges", "nodes", F.floor(F.col("number") / fan).alias("parent"))
+            .agg(children.alias("children"))
+            .select(
+                "path",
+                "length",
+                "ranges",
+                F.ceil(F.col("nodes") / fan).cast("bigint").alias("nodes"),
+                F.col("parent").alias("number"),
+                F.when(F.col("nodes") == 1, F.col("children")[0]["digest"]).otherwise(F.unhex(F.sha2(joined, 256))).alias("digest"),
+            )
+        )
+    return level.select("path", "length", F.col("ranges").alias("blocks"), F.lower(F.hex("digest")).alias("tree_digest"))
+
+
+def file_encoding(
+    spark: SparkSession, path: str, pattern: str | None = None, pairs: DataFrame | None = None
+) -> DataFrame:
+    """``path, length, encoding, confidence`` of whole files; ``pairs`` are learned pairs of characters
+    (``encodings.learn_pairs``)."""
+    return detect_encodings(list_files(spark, path, pattern).select("path", "length"), likelihoods(spark, pairs))
+
+
+def _uri() -> Column:
+    """The file of a row as the listing names it."""
+    plain = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
+    return F.url_decode(F.regexp_replace(plain, "^file:/+", "file:///")).alias("path")
 
 
 def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") -> DataFrame:
@@ -73,6 +121,7 @@ def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") ->
     A line break is never part of a multi-byte sequence, so a file is valid exactly if its lines are; large files are
     therefore split over tasks. Empty files are valid.
     """
+    listing = list_files(spark, path, pattern).select("path", "length")
     lines = spark.read.option("recursiveFileLookup", True)
     if pattern:
         lines = lines.option("pathGlobFilter", pattern)
@@ -82,7 +131,6 @@ def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") ->
         .groupBy(_uri())
         .agg(F.count(F.lit(1)).alias("bad_lines"))
     )
-    listing = list_files(spark, path, pattern).select("path", "length")
     bad_lines = F.coalesce(F.col("bad_lines"), F.lit(0).cast("bigint"))
     return listing.join(bad, "path", "left").select(
         "path", "length", bad_lines.alias("bad_lines"), (bad_lines == 0).alias("is_utf8")
