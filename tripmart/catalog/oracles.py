@@ -457,6 +457,25 @@ def oracles() -> dict[str, str]:
         "file_gate": "SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'csv' ELSE 'txt' END AS extension, "
         "CAST(LENGTH(s_name) + 1 AS BIGINT) AS length, s_suppkey % 2 = 0 AS extension_ok, "
         "LENGTH(s_name) + 1 >= 10 AS size_ok, s_suppkey % 2 = 0 AND LENGTH(s_name) + 1 >= 10 AS passed FROM supplier",
+        "active_days": oracle(
+            "SELECT CAST(k.by AS VARCHAR) AS \"by\", CAST(k.key AS BIGINT) AS key, COUNT(DISTINCT date_key) AS active_days "
+            "FROM (SELECT date_key, unnest([{'by': 'zone', 'key': pickup_location_id}, {'by': 'group', 'key': pickup_location_id // 10}, "
+            "{'by': 'year', 'key': CAST(EXTRACT(year FROM date_key) AS BIGINT)}]) AS k FROM fact WHERE is_invalid_total = FALSE) "
+            "GROUP BY k.by, k.key",
+            "fact",
+        ),
+        "profile_bottom_sample": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem "
+        "ORDER BY md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)) LIMIT 500",
+        "profile_missing_together": oracle(
+            "\nUNION ALL ".join(
+                f"SELECT '{a}' AS column_a, '{b}' AS column_b, COUNT(*) FILTER (WHERE {a} IS NULL AND {b} IS NULL) AS both_missing, "
+                + r(f"CAST(COUNT(*) FILTER (WHERE {a} IS NULL AND {b} IS NULL) AS DOUBLE) / COUNT(*) * 100")
+                + " AS share FROM trips"
+                for a, _ in RAW_COLUMNS
+                for b, _ in RAW_COLUMNS
+            ),
+            "trips",
+        ),
         "stable_ids": oracle(
             f"SELECT row_number() OVER (ORDER BY {', '.join(c.strip() + ' NULLS FIRST' for c in RAW_LIST.split(','))}) AS trip_number, "
             "tpep_dropoff_datetime, PULocationID, fare_amount, total_amount FROM trips",

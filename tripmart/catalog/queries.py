@@ -12,9 +12,9 @@ from tripmart import schemas as S
 from tripmart.catalog import stage
 from tripmart.catalog.trips import derived_trips
 from tripmart.operators import checks, cleaning, derivation, joins, modelling, ordering, profiling, quality
-from tripmart.plans import charts, landing, publish, reports, warehouse
+from tripmart.plans import charts, landing, publish, reports, rollups, warehouse
 from tripmart.sources import encodings, files, sinks, tables
-from tripmart.workspace import new_path, write_bytes
+from tripmart.workspace import materialise, new_path, write_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -200,7 +200,7 @@ def clean_parse_ts(spark, sf_dir):
 
 @query
 def q_median(spark, sf_dir):
-    return cleaning.trip_statistics(_standard(spark, sf_dir))
+    return stage.statistics(spark, sf_dir)
 
 
 @query
@@ -426,7 +426,7 @@ def wh_partitioned(spark, sf_dir):
 @query
 def etl_end_to_end(spark, sf_dir):
     """The whole job, into a new warehouse every time."""
-    return warehouse.run_warehouse_job(_raw(spark, sf_dir), new_path(spark, "job"))
+    return warehouse.run_warehouse_job(_raw(spark, sf_dir), new_path(spark, "job"), statistics=stage.statistics(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ joins and reports
@@ -504,6 +504,18 @@ def preview(spark, sf_dir):
     return reports.preview(q5_airport_trend(spark, sf_dir))
 
 
+@query
+def active_days(spark, sf_dir):
+    """Days with valid trips by zone, by groups of ten zones and by year, all from one table of bits."""
+    bits = materialise(rollups.day_bitmaps(_fact(spark, sf_dir)), "day-bitmaps")
+    zone, group, year = F.col("pickup_location_id"), F.floor(F.col("pickup_location_id") / 10), F.col("pickup_year")
+    parts = [
+        rollups.active_days(bits, key.cast("bigint").alias("key")).select(F.lit(name).alias("by"), "key", "active_days")
+        for name, key in (("zone", zone), ("group", group), ("year", year))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------------------ chart feeds
 @query
 def chart_hourly(spark, sf_dir):
@@ -644,6 +656,19 @@ def profile_missing_matrix(spark, sf_dir):
     return profiling.missing_matrix(raw, F.trunc(_DROPOFF, "month"), raw.columns)
 
 
+@query
+def profile_bottom_sample(spark, sf_dir):
+    """The 500 order lines with the smallest hash of their keys."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*keys)
+    return profiling.bottom_sample(lines, 500, F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys])))
+
+
+@query
+def profile_missing_together(spark, sf_dir):
+    return profiling.missing_together(_raw(spark, sf_dir))
+
+
 @query
 def profile_sample(spark, sf_dir):
     """For two sizes: rows drawn, and how many of these are rows of the table (a row no more often than there)."""

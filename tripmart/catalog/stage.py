@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.catalog.trips import derived_trips
-from tripmart.plans.landing import land_trips, landed_path
+from tripmart.operators.cleaning import standardise, trip_statistics
+from tripmart.plans.landing import keep_state, land_trips, landed_path, state_path, zone_state
 from tripmart.plans.rollups import build_rollups, scan_rollup
 from tripmart.plans.warehouse import build_warehouse
 from tripmart.sources.tables import scan_table, scan_trips
@@ -42,6 +43,7 @@ def raw_folder(spark: SparkSession, sf_dir: str) -> str:
         if key not in _landed:
             zone = new_path(spark, "raw")
             land_trips(derived_trips(spark, sf_dir), zone, *LOAD_DATE)
+            keep_state(spark, zone, *LOAD_DATE)
             _landed[key] = landed_path(zone, *LOAD_DATE)
         return _landed[key]
 
@@ -95,6 +97,14 @@ def supplier_files(spark: SparkSession, sf_dir: str) -> str:
         return _suppliers[key]
 
 
+def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians and bounds of the landed trips, from the state kept when they landed."""
+    folder = raw_folder(spark, sf_dir)
+    zone = folder.removesuffix(landed_path("", *LOAD_DATE))
+    state = zone_state(spark, landed_path(state_path(zone), *LOAD_DATE))
+    return trip_statistics(standardise(scan_trips(spark, folder)), state=state)
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_trips(spark, raw_folder(spark, sf_dir))
 

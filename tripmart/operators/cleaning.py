@@ -15,7 +15,9 @@ from tripmart.functions.trips import duration_minutes
 from tripmart.operators.quantiles import (
     Target,
     approximate_quantiles,
+    coarse_counts,
     exact_quantiles,
+    long_values,
     require_resolvable,
 )
 
@@ -70,11 +72,19 @@ def _bound_after_imputation(median: Column, plain: Column, past_negatives: Colum
     return F.when(median >= 0, moved_up).otherwise(in_front)
 
 
-def trip_statistics(standard: DataFrame, method: str = "exact", relative_error: float = 0.0001) -> DataFrame:
+def statistics_state(standard: DataFrame) -> DataFrame:
+    """What a batch contributes to the statistics: coarse counts of fares and distances, a few hundred rows whatever its size, which
+    add up over batches (``quantiles.merged_counts``)."""
+    return coarse_counts(long_values(standard, [_FARE, _DISTANCE]))
+
+
+def trip_statistics(
+    standard: DataFrame, method: str = "exact", relative_error: float = 0.0001, state: DataFrame | None = None
+) -> DataFrame:
     """One row ``fare_median, distance_median, fare_low, fare_high``; all null on empty input.
 
-    ``exact`` reads the two columns once: the fare bounds after imputation follow from order statistics of the raw
-    fare. ``approximate`` runs two passes of constant-size sketches when called.
+    ``exact`` takes the fare bounds after imputation from order statistics of the raw fare, so both columns are read together;
+    with the merged ``state`` of all batches only once, and of that only the buckets that hold a wanted rank count. ``approximate`` runs two passes of constant-size sketches when called.
     """
     if method == "exact":
         targets = [
@@ -86,7 +96,7 @@ def trip_statistics(standard: DataFrame, method: str = "exact", relative_error:
             Target("distance_median", _DISTANCE, 0.5),
         ]
         median = F.col("fare_median")
-        return exact_quantiles(standard, targets).select(
+        return exact_quantiles(standard, targets, state).select(
             "fare_median",
             "distance_median",
             _bound_after_imputation(median, F.col("low_plain"), F.col("low_past")).alias("fare_low"),

@@ -7,6 +7,8 @@ outliers beyond 1.5 interquartile ranges; Gaussian kernel density with Silverman
 
 from __future__ import annotations
 
+from functools import reduce
+
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -227,3 +229,57 @@ def profile_sample(df: DataFrame, rows: int = 200_000, seed: int = 42) -> DataFr
     fraction = F.lit(rows + 10 * math.sqrt(rows) + 100) / F.nullif(size, F.lit(0)).cast("double")
     drawn = df.withColumn("_draw", F.rand(seed)).where(F.col("_draw") < F.coalesce(fraction, F.lit(1.0)))
     return drawn.orderBy("_draw").limit(rows).drop("_draw")
+
+
+#: Steps of the scale on which a sample finds its threshold.
+_STEPS = 1 << 16
+
+
+def bottom_sample(df: DataFrame, rows: int, key: Column | None = None) -> DataFrame:
+    """The ``rows`` rows with the smallest hash (of the whole row, or a ``key`` of hexadecimal digits): the same rows however the table
+    is partitioned, and samples of parts merge into the sample of the whole by taking the smallest again. Fewer if there are
+    fewer. Of equal keys any rows count.
+
+    Hashes are counted on a scale of 65,536 steps first. Rows below the step that the sample ends in are taken where they are; only
+    those of that step are sorted.
+    """
+    every = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    digits = F.lower(F.lpad(F.hex(F.xxhash64(*every)), 16, "0")) if key is None else key
+    names = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]
+    hashed = df.select(*names, digits.alias("hash")).withColumn("step", F.conv(F.substring("hash", 1, 4), 16, 10).cast("int"))
+    steps = sorted(hashed.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect())  # 65,536 numbers at most
+    taken, last = 0, _STEPS
+    for row in steps:
+        if taken + row.n > rows:
+            last = row.step
+            break
+        taken += row.n
+    below = hashed.where(F.col("step") < last)
+    rest = hashed.where(F.col("step") == last).orderBy("hash").limit(rows - taken)
+    return below.unionByName(rest).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
+def missing_together(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``column_a, column_b, both_missing, share``: for every pair of columns (and each with itself) how many rows lack both. Rows are
+    counted by the set of columns they lack, as bits; pairs are read off these sets, of which there are few, so the table is
+    scanned once and nothing grows with the square of the columns times the rows."""
+    columns = df.columns if columns is None else columns
+    if len(columns) > 63:
+        raise ValueError("at most 63 columns at a time")
+    bits = reduce(
+        lambda mask, item: mask.bitwiseOR(F.when(F.col(f"`{item[1]}`").isNull(), F.lit(1 << item[0])).otherwise(F.lit(0)).cast("bigint")),
+        enumerate(columns),
+        F.lit(0).cast("bigint"),
+    )
+    masks = df.select(bits.alias("mask")).groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.sparkSession.createDataFrame(
+        [(a, b, (1 << i) | (1 << j)) for i, a in enumerate(columns) for j, b in enumerate(columns)], "column_a string, column_b string, both bigint"
+    )
+    total = F.coalesce(masks.agg(F.sum("n")).scalar(), F.lit(0).cast("bigint"))
+    both = F.array(*[F.lit((1 << i) | (1 << j)).cast("bigint") for i in range(len(columns)) for j in range(i + 1)])
+    held = F.filter(both, lambda b: F.col("mask").bitwiseAND(b) == b)
+    hits = masks.select("n", F.explode(held).alias("both")).groupBy("both").agg(F.sum("n").alias("hits"))
+    missing = F.coalesce("hits", F.lit(0).cast("bigint"))
+    return pairs.join(hits, "both", "left").select(
+        "column_a", "column_b", missing.alias("both_missing"), rounded(missing / F.nullif(total, F.lit(0).cast("bigint")) * 100).alias("share")
+    )

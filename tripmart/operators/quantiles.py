@@ -108,9 +108,29 @@ def coarse_counts(values: DataFrame) -> DataFrame:
     )
 
 
-def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
+def merged_counts(states: DataFrame) -> DataFrame:
+    """Coarse counts of several batches, as those of all their values together: ``coarse_counts`` of each batch may be kept, and
+    what is known of the whole follows without reading a value again."""
+    whole = Window.partitionBy("measure", "bucket")
+    n, mean = F.col("n"), F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    return (
+        states.withColumn("_mean", mean)
+        .groupBy("measure", "bucket")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("negatives").alias("negatives"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.first("_mean").alias("mean"),
+            (F.sum(n * (F.col("variance") + F.pow(F.col("mean") - F.col("_mean"), F.lit(2.0)))) / F.sum("n")).alias("variance"),
+        )
+    )
+
+
+def order_statistics(values: DataFrame, targets: list[Target], coarse: DataFrame | None = None) -> DataFrame:
     """``(target, measure, value, whole)``: one row per target whose measure has any value. ``whole`` tells ``low``,
-    ``high``, ``total`` (rows) and ``std`` of the measure, which the first scan finds anyway."""
+    ``high``, ``total`` (rows) and ``std`` of the measure, which the first scan finds anyway. ``coarse`` are the coarse
+    counts of the same values, where they are known already: the values are then read once, in the buckets of the wanted ranks."""
     names = [t.name for t in targets]
     if len(set(names)) != len(names):
         raise ValueError(f"target names must be distinct: {names}")
@@ -124,7 +144,7 @@ def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
     wanted = F.filter(_wanted(targets), lambda t: t["of"] == F.col("measure"))
     first_rank = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("p") * F.col("_total")).cast("bigint"))
     ranked = (
-        coarse_counts(values)
+        (coarse_counts(values) if coarse is None else coarse)
         .withColumns(
             {
                 "_upto": F.sum("n").over(upto),
@@ -190,10 +210,10 @@ def order_statistics(values: DataFrame, targets: list[Target]) -> DataFrame:
     return left.where(F.col("n") > 0).select("target", "measure", "value", "whole")
 
 
-def exact_quantiles(df: DataFrame, targets: list[Target]) -> DataFrame:
+def exact_quantiles(df: DataFrame, targets: list[Target], coarse: DataFrame | None = None) -> DataFrame:
     """One row, one double column per target (null when its column holds no value)."""
     columns = sorted({t.column for t in targets})
-    return one_row(order_statistics(long_values(df, columns), targets), targets)
+    return one_row(order_statistics(long_values(df, columns), targets, coarse), targets)
 
 
 def one_row(statistics: DataFrame, targets: list[Target]) -> DataFrame:

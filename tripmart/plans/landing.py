@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart import schemas as S
 from tripmart.operators.checks import ingest_gate
+from tripmart.operators.cleaning import standardise, statistics_state
+from tripmart.operators.quantiles import merged_counts
 from tripmart.sources.files import file_gate, file_utf8, list_files
 from tripmart.sources.sinks import land_batch
 from tripmart.sources.tables import conform_trips, scan_trips
@@ -55,7 +57,23 @@ def landing_gate(
     return ingest_gate(file_gate(listing, extensions, min_bytes), _row_counts(spark, path), min_rows, encodings)
 
 
+def state_path(zone: str) -> str:
+    """Beside the raw zone, not in it: scans of the zone do not meet the states."""
+    return f"{zone.rstrip('/')}-states"
+
+
 def land_trips(df: DataFrame, zone: str, year: int, month: int) -> DataFrame:
     """Bring a batch to the raw schema, replace that of its load date, and read it back from where it landed."""
     land_batch(conform_trips(df), zone, year, month)
     return scan_trips(df.sparkSession, landed_path(zone, year, month))
+
+
+def keep_state(spark: SparkSession, zone: str, year: int, month: int) -> None:
+    """Write what a landed batch contributes to the statistics of the zone; replaces the batch's earlier state."""
+    state = statistics_state(standardise(scan_trips(spark, landed_path(zone, year, month))))
+    state.write.mode("overwrite").parquet(landed_path(state_path(zone), year, month))
+
+
+def zone_state(spark: SparkSession, *states: str) -> DataFrame:
+    """The states of batches, merged: coarse counts of all trips of the zone."""
+    return merged_counts(spark.read.parquet(*states).drop("year", "month"))

@@ -47,3 +47,25 @@ def scan_rollup(spark: SparkSession, path: str, *columns: str) -> DataFrame:
             partial = ["trips", *[f"{m}_{x}" for m in MEASURES for x in ("sum", "known")]]
             return spark.read.parquet(path).where(F.col("grain") == name).select(*keys, *partial)
     raise ValueError(f"no grain has all of {columns}")
+
+
+# ------------------------------------------------------------------ distinct days that add up
+_EPOCH = "1970-01-01"
+
+
+def day_bitmaps(fact: DataFrame) -> DataFrame:
+    """``pickup_location_id, pickup_year, pickup_month, block, days``: the days of a zone's valid trips as bits, some kilobytes per
+    zone and month. Distinct days cannot be added up over groups; bits can be merged."""
+    day = F.datediff("date_key", F.lit(_EPOCH).cast("date")).cast("bigint")
+    valid = fact.where(F.col("is_invalid_total") == F.lit(False)).where(F.col("date_key").isNotNull())
+    days = valid.select("pickup_location_id", F.year("date_key").alias("pickup_year"), "pickup_month", day.alias("day")).distinct()
+    return days.groupBy("pickup_location_id", "pickup_year", "pickup_month", F.bitmap_bucket_number("day").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("day")).alias("days")
+    )
+
+
+def active_days(bitmaps: DataFrame, *keys) -> DataFrame:
+    """Days with a trip per group of any keys made from the zone, year and month."""
+    merged = bitmaps.groupBy(*keys, "block").agg(F.bitmap_or_agg("days").alias("days"))
+    names = [c for c in merged.columns if c not in ("block", "days")]
+    return merged.groupBy(*names).agg(F.sum(F.bitmap_count("days")).alias("active_days"))

@@ -33,6 +33,7 @@ def build_warehouse(
     method: str = "exact",
     rebalance: bool = False,
     by_year: bool = False,
+    statistics: DataFrame | None = None,
 ) -> dict[str, int]:
     """Write the five tables below ``base`` and return their row counts.
 
@@ -43,7 +44,7 @@ def build_warehouse(
     do not (every task would write every month).
     """
     spark = raw.sparkSession
-    fact = M.fact_columns(prepared_trips(raw, method=method))
+    fact = M.fact_columns(prepared_trips(raw, statistics, method))
     partition_by = ["pickup_month"]
     if by_year:
         fact = fact.withColumn("pickup_year", F.year("date_key"))
@@ -94,9 +95,9 @@ def validate_warehouse(
     return spark.createDataFrame(rows, VERDICTS)
 
 
-def run_warehouse_job(raw: DataFrame, base: str, method: str = "exact") -> DataFrame:
+def run_warehouse_job(raw: DataFrame, base: str, method: str = "exact", statistics: DataFrame | None = None) -> DataFrame:
     """Build, validate and trace in one go: the lineage counts beside the overall verdict, as one row."""
-    counts = build_warehouse(raw, base, method)
+    counts = build_warehouse(raw, base, method, statistics=statistics)
     verdict = overall(validate_warehouse(raw.sparkSession, base, counts))
     lineage = row_lineage(raw)
     fact_rows = F.lit(counts["fact_trips"]).cast("bigint")
