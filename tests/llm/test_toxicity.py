@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -11,21 +13,83 @@ def heaviest(text):
     return toxicity.seed_grammar().features(text)[0]
 
 
-def test_clauses_compose():
-    plain = heaviest("an idiot.")
-    assert plain == toxicity.SEED_WEIGHT
-    assert heaviest("you are an idiot.") == pytest.approx(plain * toxicity.FACTORS["target"])
-    assert heaviest("not really an idiot") == pytest.approx(plain * toxicity.FACTORS["negated"])
-    assert heaviest("not today, idiot") == plain  # a plain word ends the negation
-    assert heaviest('Anna said "idiot"') == pytest.approx(plain * toxicity.FACTORS["reported"])
-    assert heaviest('"idiot"') == plain
-    assert heaviest("you. idiot") == plain  # the target is in another clause
-    assert heaviest("you idiot, I will kill you") == pytest.approx(2 * plain * toxicity.FACTORS["target"])
-    assert heaviest("kein idiot aber ein crétin") == plain
+def paths(classes):
+    """Every path through the five transducers one after the other, spelled out: the heaviest score of each clause."""
+    machines = [toxicity.REPORTED, toxicity.NEGATED, toxicity.AIMED, toxicity.INSULTS, toxicity.THREATS]
+    out, states = [], [((0,) * 5, 0.0)]
+    for symbol, weight in (*classes, (toxicity.BREAK, 0.0)):
+        after = []
+        for state, held in states:
+            partial = [((), symbol, 1.0)]
+            for machine, at in zip(machines, state, strict=True):
+                partial = [((*done, into), output, f * factor) for done, s, f in partial for output, factor, into in machine.arcs[at][s]]
+            after += [(done, held + weight * f) for done, _, f in partial]
+        states = after
+        if symbol == toxicity.BREAK:
+            out.append(max(score for _, score in states))
+            states = [(state, 0.0) for state in {state for state, _ in states}]
+    return [x for x in out if x]
+
+
+def test_composition_is_the_enumeration_of_all_paths():
+    draw = random.Random(11)
+    grammar = toxicity.seed_grammar()
+    words = "idiot kill you not said very table . \" but moron he".split()
+    for _ in range(400):
+        text = " ".join(draw.choices(words, k=draw.randrange(1, 9)))
+        assert grammar.clauses(text) == pytest.approx(paths([c or (toxicity.PLAIN, 0.0) for c in grammar.classes(text)])), text
+
+
+def test_compose_multiplies_factors_and_reaches_pairs():
+    one = toxicity.transducer(2, (0, [toxicity.PLAIN], 1, 2.0, toxicity.TARGET), (1, [toxicity.PLAIN], 0))
+    two = toxicity.transducer(1, (0, [toxicity.TARGET], 0, 3.0))
+    both = toxicity.compose(one, two)
+    assert len(both.arcs) == 2
+    assert both.arcs[0][toxicity.PLAIN] == ((toxicity.TARGET, 6.0, 1),) and both.arcs[1][toxicity.PLAIN] == ((toxicity.PLAIN, 1.0, 0),)
+
+
+def test_clauses():
+    weight, f = toxicity.SEED_WEIGHT, toxicity.FACTORS
+    assert heaviest("an idiot.") == pytest.approx(weight * f["bare"])
+    assert heaviest("you are an idiot.") == heaviest("idiot that you are") == pytest.approx(weight * f["aimed"])
+    assert heaviest("not really an idiot") == pytest.approx(weight * f["bare"] * f["negated"])
+    assert heaviest("not today, idiot") == pytest.approx(weight * f["bare"])  # a plain word ends the negation
+    assert heaviest('Anna said "idiot"') == pytest.approx(weight * f["bare"] * f["reported"])
+    assert heaviest('"idiot"') == pytest.approx(weight * f["bare"])
+    assert heaviest("you. idiot") == pytest.approx(weight * f["bare"])  # the target is in another clause
+    assert heaviest("you idiot, I will kill you") == pytest.approx(2 * weight * f["aimed"])
+    assert heaviest("kill the process") == pytest.approx(weight * f["bare threat"])
+    assert heaviest("kein idiot aber ein crétin") == pytest.approx(weight * f["bare"])
     assert heaviest("a table and a chair") == 0
     assert toxicity.seed_grammar().features("idiot. moron! stupid?")[2] == 3
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic")
+    known = docs.join(labels, "doc_id")
+    return known, toxicity.learn(known.where("crc32(string(doc_id)) % 3 <> 1"))
+
+
+def test_harmless_sentences(learned):
+    _, grammar = learned
+    for text in ("The path is long.", "Das Wort Pfad.", "I lose my keys.", "kill the process", "a clownfish and a scummer"):
+        assert grammar.score(*grammar.features(text)) < 0.5, text
+    for text in ("worthless.", "It is not worthless", "she said \"idiot\""):
+        assert grammar.score(*grammar.features(text)) < 0.7, text
+    assert grammar.score(*grammar.features("you are an idiot.")) > 0.7
+
+
+def test_whole_table_held_out(learned):
+    known, grammar = learned
+    rows = toxicity.score(known.where("crc32(string(doc_id)) % 3 = 1"), grammar).collect()
+    toxic, clean = np.array([r.score for r in rows if r.toxic]), np.array([r.score for r in rows if not r.toxic])
+    auc = ((toxic[:, None] > clean).mean() + (toxic[:, None] == clean).mean() / 2)
+    print("auc", auc, "recall", (toxic >= 0.7).mean(), "false", (clean >= 0.7).mean())
+    assert auc >= 0.95 and (toxic >= 0.7).mean() > 0.8 and (clean >= 0.7).mean() < 0.03
+
+
 def test_held_out_documents(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").where("doc_id < 4000")
     labels = spark.read.parquet(f"{DATA}/labels.parquet").select("doc_id", "toxic")
@@ -60,7 +124,7 @@ def test_texts_of_one_sketch_stay_under_both_labels(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "_sketch", lambda tokens: 1)
     kept = []
     write = toxicity.materialise
-    monkeypatch.setattr(toxicity, "materialise", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    monkeypatch.setattr(toxicity, "materialise", lambda df, name: [kept.append(out := write(df, name)) if name == "labelled" else (out := write(df, name)), out][1])
     rows = [("a b c d clean", 0), ("a b c d toxic", 1), ("a b c d also clean", 0), ("a b c d too", 1)]
     for order in (rows, rows[::-1]):
         toxicity.learn(spark.createDataFrame(order, "text string, toxic int").coalesce(1))

@@ -1,16 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Two transducers are composed. The lexical one turns words into classes with a weight: insult, threat, target, negation, verb
-of report, filler; unknown words are plain. The clause one reads the classes of a clause from left to right and scores the
-patterns it accepts: an insult or threat counts its weight, more if the clause also has a target, little if a negation
-governs it (``not (really) a ...``), half if it stands within a quotation that a verb of report opens. A clause ends at sentence
-punctuation, a line break or an adversative. A text's score is a logistic function of its heaviest clause and of the sum over
-its clauses.
-
-What insults and threats there are is partly given (short seed lists in four languages) and partly learned: word stems that
-labelled toxic texts have significantly more often than others, counted over texts that are not near-copies of one another.
-Learning reads a bounded number of labelled rows (SAMPLE_TEXTS of each label) and keeps at most STEMS stems. Scoring reads
-every text whole, in bounded pieces; a text without an insult or threat takes one pass over its words.
+Words become classes with a weight: insult, threat, target, negation, verb of report, filler; unknown ones are plain (the lexical
+transducer, an arc per word or stem). Five transducers read the classes of a text from left to right, each the output of the one
+before, symbol by symbol, with a factor on every arc:
+
+* reported speech: insults and threats within a quotation that a verb of report opens count half;
+* negation: those that a negation governs, with nothing but fillers in between, count little;
+* target: a clause has one or not. The machine guesses at the beginning of a clause; a guess that no target fulfils is not accepted;
+* insult: aimed at the target of the clause it counts more than its weight, without one less;
+* threat: without a target it hardly counts.
+
+They are states and arcs as data, and ``compose`` makes one machine of them. A clause, which ends at sentence punctuation, a line
+break or an adversative, scores the heaviest accepted path: the sum of the words' weights times the factors of their arcs. A
+text's score is a logistic function of its heaviest clause and of the sum over its clauses. One bare word without any pattern is no
+verdict: such a text stays below ``BARE_LIMIT``.
+
+What insults and threats there are is partly given (short seed lists in four languages) and partly learned: words that labelled
+toxic texts have significantly more often than others, counted over texts that are not near-copies of one another, and stems of
+four letters or more under which there are several words. Learning reads a bounded number of labelled rows (SAMPLE_TEXTS of
+each label) and keeps all that has the evidence. Scoring reads every text whole, in bounded pieces; a text without an insult or
+threat takes one pass over its words.
 
 Null and empty texts score as texts without a match. Repeated rows score alike; an empty table gives an empty one. Extra
 columns stay; ``score`` and ``matched_clauses`` are replaced. Without labelled rows of both kinds, the default weights hold.
@@ -23,6 +32,7 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +43,9 @@ from tripmart.llm.common import pieces, schema_with, with_columns
 from tripmart.workspace import materialise
 
 SAMPLE_TEXTS = 5_000
-STEMS = 5_000
 STEM_SIZES = (4, 5, 6, 7)
+#: Different words that must stand under a learned stem.
+VARIETY = 2
 #: Least log-likelihood ratio of a learned stem, and least share of toxic texts among those that have it.
 EVIDENCE = 9.0
 PURITY = 0.85
@@ -53,9 +64,90 @@ SEEDS = {
     BREAK: "but however aber doch sondern mais pourtant pero sino",
 }
 SEED_WEIGHT = 3.0
-FACTORS = {"target": 1.3, "negated": 0.2, "reported": 0.5}
+#: Log odds at which a learned word weighs as much as a given one.
+FULL_ODDS = 5.0
+FACTORS = {"aimed": 1.3, "bare": 0.6, "bare threat": 0.1, "negated": 0.2, "reported": 0.5}
+#: Greatest score of a text whose only match is one bare word.
+BARE_LIMIT = 0.65
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n]|[\"“”„«»]")
 
+#: Insults and threats with a target, between the target transducer and those after it.
+AIMED_INSULT, AIMED_THREAT = 9, 10
+CLASSES = tuple(range(9))
+HITS = (INSULT, THREAT)
+Arc = tuple[int, float, int]
+
+
+# ------------------------------------------------------------------ transducers
+@dataclass(frozen=True)
+class Transducer:
+    """``arcs[state][symbol]`` are (output, factor, next state). It starts in state 0 and may stop where it reads a break."""
+
+    arcs: tuple[dict[int, tuple[Arc, ...]], ...]
+
+
+def transducer(states: int, *rules: tuple) -> Transducer:
+    """From rules (state, symbols, next state, factor, output), factor 1 and the symbol itself unless given. Of symbols that no rule
+    of a state names, all pass and leave the state as it is; a rule without next state forbids its symbols."""
+    table: list[dict[int, list[Arc]]] = [{} for _ in range(states)]
+    for state, symbols, after, *more in rules:
+        for symbol in symbols:
+            arcs = table[state].setdefault(symbol, [])
+            if after is not None:
+                arcs.append(((more[1] if len(more) > 1 else symbol), (more[0] if more else 1.0), after))
+    for state in range(states):
+        for symbol in (*CLASSES, AIMED_INSULT, AIMED_THREAT):
+            table[state].setdefault(symbol, [(symbol, 1.0, state)])
+    return Transducer(tuple({symbol: tuple(arcs) for symbol, arcs in of.items()} for of in table))
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The machine that reads what ``first`` reads and writes what ``second`` makes of what ``first`` writes: its states are the
+    pairs that can be reached, its factors products."""
+    numbers, queue, table = {(0, 0): 0}, [(0, 0)], []
+    for a, b in queue:
+        out: dict[int, list[Arc]] = {}
+        for symbol, arcs in first.arcs[a].items():
+            for middle, factor, next_a in arcs:
+                for output, more, next_b in second.arcs[b].get(middle, ()):
+                    pair = next_a, next_b
+                    if pair not in numbers:
+                        numbers[pair] = len(numbers)
+                        queue.append(pair)
+                    out.setdefault(symbol, []).append((output, factor * more, numbers[pair]))
+        table.append({symbol: tuple(arcs) for symbol, arcs in out.items()})
+    return Transducer(tuple(table))
+
+
+_F = FACTORS
+#: States: outside, after a verb of report, within its quotation, within another quotation.
+REPORTED = transducer(
+    4,
+    (0, [REPORT], 1), (0, [QUOTE], 3),
+    (1, [QUOTE], 2), (1, [BREAK], 0),
+    (2, HITS, 2, _F["reported"]), (2, [QUOTE], 0),
+    (3, [QUOTE], 0),
+)
+#: States: free, governed by a negation.
+NEGATED = transducer(
+    2,
+    (0, [NEGATION], 1),
+    (1, HITS, 1, _F["negated"]), (1, [PLAIN, TARGET, REPORT, QUOTE, BREAK], 0),
+)
+_REST = [PLAIN, NEGATION, REPORT, FILLER, QUOTE]
+#: States: beginning of a clause, without target, target to come, target seen.
+AIMED = transducer(
+    4,
+    (0, _REST, 1), (0, _REST, 2), (0, [TARGET], 3), (0, [BREAK], 0),
+    (0, HITS, 1), (0, [INSULT], 2, 1.0, AIMED_INSULT), (0, [THREAT], 2, 1.0, AIMED_THREAT),
+    (1, [TARGET], None), (1, [BREAK], 0),
+    (2, [INSULT], 2, 1.0, AIMED_INSULT), (2, [THREAT], 2, 1.0, AIMED_THREAT), (2, [TARGET], 3), (2, [BREAK], None),
+    (3, [INSULT], 3, 1.0, AIMED_INSULT), (3, [THREAT], 3, 1.0, AIMED_THREAT), (3, [BREAK], 0),
+)
+INSULTS = transducer(1, (0, [INSULT], 0, _F["bare"]), (0, [AIMED_INSULT], 0, _F["aimed"]))
+THREATS = transducer(1, (0, [THREAT], 0, _F["bare threat"]), (0, [AIMED_THREAT], 0, _F["aimed"]))
+GRAMMAR = reduce(compose, (REPORTED, NEGATED, AIMED, INSULTS, THREATS))
+
 
 @dataclass
 class Grammar:
@@ -87,54 +179,41 @@ class Grammar:
             memo[new] = self.lexical(new)
         return [memo[t] for t in tokens]
 
-    # ---- the clause transducer
+    # ---- the composed machine
     def clauses(self, text: str) -> list[float]:
-        """Scores of the clauses that the grammar matches."""
+        """Scores of the clauses that the grammar matches: of each the heaviest accepted path."""
         found = self.classes(text)
-        if not any(c is not None and c[0] in (INSULT, THREAT) for c in found):
+        if not any(c is not None and c[0] in HITS for c in found):
             return []
-        out, hits = [], []
-        target = negated = reported = quoted = False
-
-        def close():
-            nonlocal hits, target, negated, reported
-            if hits:
-                out.append(sum(hits) * (FACTORS["target"] if target else 1.0))
-            hits, target, negated = [], False, False
-            if not quoted:
-                reported = False
-
-        for c in found:
-            kind, weight = c or (PLAIN, 0.0)
-            if kind == PLAIN:
-                negated = False
-            elif kind in (INSULT, THREAT):
-                factor = FACTORS["negated"] if negated else 1.0
-                hits.append(weight * factor * (FACTORS["reported"] if reported and quoted else 1.0))
-            elif kind == TARGET:
-                target, negated = True, False
-            elif kind == NEGATION:
-                negated = True
-            elif kind == REPORT:
-                reported, negated = True, False
-            elif kind == QUOTE:
-                quoted = not quoted
-            elif kind == BREAK:
-                close()
-        close()
+        out, arcs, paths = [], GRAMMAR.arcs, {0: 0.0}
+        for c in (*found, (BREAK, 0.0)):
+            symbol, weight = c or (PLAIN, 0.0)
+            after: dict[int, float] = {}
+            for state, held in paths.items():
+                for _, factor, into in arcs[state].get(symbol, ()):
+                    score = held + weight * factor if weight else held
+                    if score > after.get(into, -1.0):
+                        after[into] = score
+            if symbol == BREAK:
+                best = max(after.values())
+                if best:
+                    out.append(best)
+                after = dict.fromkeys(after, 0.0)
+            paths = after
         return out
 
     def features(self, text: str | None) -> tuple[float, float, int]:
         scores = self.clauses(text) if text else []
         return (max(scores), math.log1p(sum(scores)), len(scores)) if scores else (0.0, 0.0, 0)
 
-    def score(self, heaviest: float, total: float) -> float:
+    def score(self, heaviest: float, total: float, matched: int = 2) -> float:
         constant, a, b = self.weights
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, constant + a * heaviest + b * total))))
+        score = 1 / (1 + math.exp(-max(-30.0, min(30.0, constant + a * heaviest + b * total))))
+        return min(score, BARE_LIMIT) if matched < 2 and heaviest < SEED_WEIGHT else score
 
 
 def seed_grammar() -> Grammar:
-    words = {w: (kind, SEED_WEIGHT) for kind, listed in SEEDS.items() for w in listed.split()}
+    words = {w: (kind, SEED_WEIGHT if kind in HITS else 0.0) for kind, listed in SEEDS.items() for w in listed.split()}
     words |= {mark: (BREAK, 0.0) for mark in ".!?;\n"} | {mark: (QUOTE, 0.0) for mark in "\"“”„«»"}
     return Grammar(words, {})
 
@@ -147,16 +226,8 @@ def _sketch(tokens: list[str]) -> int:
 
 
 def _stems(tokens: list[str]) -> set[str]:
-    words = {t for t in tokens if len(t) >= STEM_SIZES[0]}
-    return {"=" + w for w in words} | {w[:n] for w in words for n in STEM_SIZES if len(w) >= n}
-
-
-def _weigh(toxic: int, clean: int, all_toxic: int, all_clean: int) -> tuple[float, float]:
-    """Log-likelihood ratio of a stem against chance, and its log odds."""
-    n, prior = toxic + clean, all_toxic / (all_toxic + all_clean)
-    ratio = sum(k * math.log(k / n / p) for k, p in ((toxic, prior), (clean, 1 - prior)) if k)
-    odds = math.log((toxic + 0.5) / (all_toxic + 1)) - math.log((clean + 0.5) / (all_clean + 1))
-    return ratio, odds
+    words = {t for t in tokens if len(t) > 3}
+    return {"=" + w for w in words} | {w[:n] for w in words for n in STEM_SIZES if len(w) > n}
 
 
 def _fit(rows: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
@@ -212,20 +283,34 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     n = {r.label: r.n for r in kept.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return grammar
-    stems = (
+    stems = materialise(
         kept.mapInArrow(counted, "stem string, toxic bigint, clean bigint")
         .groupBy("stem")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= 3) & (F.col("toxic") >= PURITY * (F.col("toxic") + F.col("clean"))))
+        .where("toxic > 0"),
+        "stems",
+    )
+    # log-likelihood ratio against chance, and log odds
+    prior = n[1] / (n[1] + n[0])
+    toxic, clean, both = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+    ratio = toxic * F.log(toxic / both / prior) + F.when(clean > 0, clean * F.log(clean / both / (1 - prior))).otherwise(0.0)
+    odds = F.log((toxic + 0.5) / (n[1] + 1)) - F.log((clean + 0.5) / (n[0] + 1))
+    known = stems.where((toxic >= 3) & (toxic >= PURITY * both) & (ratio >= EVIDENCE)).withColumn("odds", odds)
+    word = F.substring("stem", 2, 1 << 20)
+    sizes_of = F.array(*[F.lit(k) for k in STEM_SIZES])
+    varied = (
+        stems.where(F.col("stem").startswith("="))
+        .select(word.alias("word"), F.explode(F.filter(sizes_of, lambda k: k < F.length(word))).alias("k"))
+        .groupBy(F.substring("word", F.lit(1), F.col("k")).alias("stem"))
+        .agg(F.count(F.lit(1)).alias("words"))
     )
-    for r in stems.orderBy(F.desc("toxic"), "clean", "stem").limit(STEMS).collect():
-        evidence, odds = _weigh(r.toxic, r.clean, n[1], n[0])
-        if evidence < EVIDENCE:
-            continue
+    learned = known.join(varied, "stem", "left").where(F.col("stem").startswith("=") | (F.col("words") >= VARIETY))
+    for r in learned.select("stem", "odds").collect():  # what has the evidence in a bounded sample
+        weight = SEED_WEIGHT * min(1.0, r.odds / FULL_ODDS)
         if r.stem[0] == "=":
-            grammar.words.setdefault(r.stem[1:], (INSULT, odds))
+            grammar.words.setdefault(r.stem[1:], (INSULT, weight))
         else:
-            grammar.stems[r.stem] = odds
+            grammar.stems[r.stem] = weight
     points = kept.mapInArrow(_scored(grammar, "text"), "label int, score double, matched_clauses int, heaviest double, total double")
     points = points.select("label", "heaviest", "total").toPandas()
     grammar.weights = _fit(points[["heaviest", "total"]].to_numpy(), points["label"].to_numpy())
@@ -248,7 +333,7 @@ def _scored(grammar: Grammar, text_col: str):
             keep = batch.select([n for n in batch.schema.names if n != text_col])
             yield with_columns(
                 keep,
-                score=pa.array([grammar.score(a, b) for a, b, _ in found], pa.float64()),
+                score=pa.array([grammar.score(*f) for f in found], pa.float64()),
                 matched_clauses=pa.array([n for _, _, n in found], pa.int32()),
                 heaviest=pa.array([a for a, _, _ in found], pa.float64()),
                 total=pa.array([b for _, b, _ in found], pa.float64()),
