@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 
 #: Beyond so many chunks a task forgets all but the first KEPT it met, mostly frequent ones; results do not depend on it.
-MEMO_WORDS, KEPT = 120_000, 80_000
+MEMO_WORDS, KEPT = 250_000, 170_000
 #: Below this code point the library and the modules used here agree on every character.
 PROVEN = 0x250
 #: Words that the library spells in one call.
