@@ -2,7 +2,7 @@
 
 Words are counted over the whole corpus; the most frequent ones, with their ids, are compiled into a minimal automaton
 (``lexicon.py``), which is written to the shared folder, shipped to every executor by Spark, and mapped into memory there.
-A word that is not in it is merged by rank, exactly, so the size of the lexicon decides speed and never results.
+A word that is not in it is merged by rank, exactly (by the tokenizers library's merges, many words a call), so the size of the lexicon decides speed and never results.
 
 The size of the lexicon is a parameter; it and the vocabulary are all that passes through the driver. Texts are not
 shuffled; words are, combined per task first.
@@ -103,14 +103,10 @@ def _speller(content: bytes, name: str) -> Speller:
     """A task has its own, so what it remembers goes with it."""
     vocabulary, lexicon = _vocabulary(content), Lexicon(SparkFiles.get(name))
 
-    def resolve(words: list[str]):
-        merge = vocabulary.merge
-        return (
-            merge(word) if ids is None else ids
-            for word, ids in zip(words, lexicon.look_up([w.encode() for w in words]), strict=True)
-        )
+    def known(words: list[str]):
+        return lexicon.look_up([w.encode() for w in words])
 
-    return Speller(vocabulary, by_words(vocabulary, resolve))
+    return Speller(vocabulary, by_words(vocabulary, known))
 
 
 def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "ids", lexicon: str | None = None) -> DataFrame:

@@ -33,13 +33,22 @@ SPELLED = 1_000
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: White space of the file's pattern, spelled out for texts that have separators.
 _SPACES = regex.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_BEYOND = regex.compile(f"[^\0-{chr(PROVEN - 1)}]").search
+_UNPROVEN = regex.compile(f"[^\0-{chr(PROVEN - 1)}]").search
 #: A mark between a letter or digit and white space is a word of its own: cut off, words with and without it are one chunk.
 _STOP = re.compile("(?<=[0-9a-z])([.,;:!?])(?=[\t-\r \x85\xa0]|$)")
 
 Chunk = str | bytes | int
 
 
+def _beyond(text: str) -> bool:
+    """Are there characters beyond the proven ones? Most texts are answered by an encoder."""
+    try:
+        text.encode("latin-1")
+        return False
+    except UnicodeEncodeError:
+        return _UNPROVEN(text) is not None
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: a byte that prints in Latin-1 is
     itself, the others follow from U+0100 in order."""
@@ -88,14 +97,14 @@ class Vocabulary:
     def _plain(self, text: str) -> list[Chunk]:
         """Chunks of a text without special tokens."""
         cut = _SPACES.split if any(c in text for c in _SEPARATORS) else str.split
-        if text.isascii() or not _BEYOND(text):
+        if text.isascii() or not _beyond(text):
             return [c for c in cut(_STOP.sub(r" \1", self._normal(text))) if c]
-        return [c.encode() if _BEYOND(c) else self._normal(c) for c in cut(text) if c]
+        return [c.encode() if _beyond(c) else self._normal(c) for c in cut(text) if c]
 
     def chunks(self, text: str) -> list[Chunk]:
         """The text cut at white space: no word reaches over it, so ``words`` of each chunk in turn are the words of the text. A
         chunk comes in normal form; one with characters beyond the proven ones as it is, in bytes; a special token as its id."""
-        if self.cut is None or not self.cut.search(text):
+        if not any(token in text for token in self.special):
             return self._plain(text)
         out, at = [], 0
         for m in self.cut.finditer(text):
@@ -203,21 +212,13 @@ class Speller:
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(self.flat[at], pa.int32()))
 
 
-def by_words(vocabulary: Vocabulary, resolve: Callable[[list[str]], Iterable[list[int]]]) -> Resolve:
-    """Chunks resolved by the ids of their distinct words."""
-
-    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [vocabulary.words(c) for c in chunks]
-        words = list({w for part in parts for w in part})
-        ids = dict(zip(words, resolve(words), strict=True))
-        lists = [[i for w in part for i in ids[w]] for part in parts]
-        return np.fromiter(chain.from_iterable(lists), np.int32), np.fromiter(map(len, lists), np.int64, len(lists))
-
-    return run
+def _words_of(vocabulary: Vocabulary, chunks: list[str | bytes]) -> list[list[str]]:
+    """The words of each chunk; a chunk of letters is one word, as long as they are proven ones."""
+    return [[c] if isinstance(c, str) and c.isalpha() else vocabulary.words(c) for c in chunks]
 
 
-def by_library(vocabulary: Vocabulary) -> Resolve:
-    """Chunks spelled by the merges of the tokenizers library, many words in one call: their bytes as the file writes them, one blank
+def library_merges(vocabulary: Vocabulary) -> Resolve:
+    """The ids of words, by the merges of the tokenizers library, many in one call: their bytes as the file writes them, one blank
     between words. A word's last id carries the word-end mark, which tells words apart; should the numbers differ (no mark), each
     word is merged by itself."""
     from tokenizers import Tokenizer, pre_tokenizers
@@ -231,10 +232,7 @@ def by_library(vocabulary: Vocabulary) -> Resolve:
         # ASCII letters stand for themselves; other bytes have a character of their own
         return word if word.isalpha() and word.isascii() else word.encode().decode("latin-1").translate(plain)
 
-    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
-        # a chunk of letters is one word, as long as they are proven ones
-        parts = [[c] if isinstance(c, str) and c.isalpha() else vocabulary.words(c) for c in chunks]
-        words = [w for part in parts for w in part]
+    def run(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for at in range(0, len(words), SPELLED):
             some = words[at : at + SPELLED]
@@ -247,8 +245,39 @@ def by_library(vocabulary: Vocabulary) -> Resolve:
                 lists = list(map(vocabulary.merge, some))
                 ids.append(np.fromiter(chain.from_iterable(lists), np.int64))
                 lengths.append(np.fromiter(map(len, lists), np.int64, len(lists)))
-        before = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    return run
+
+
+def by_words(vocabulary: Vocabulary, known: Callable[[list[str]], Iterable[list[int] | None]]) -> Resolve:
+    """Chunks resolved by the ids of their distinct words: those that ``known`` tells, the others merged exactly."""
+    merges = library_merges(vocabulary)
+
+    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = _words_of(vocabulary, chunks)
+        words = list({w for part in parts for w in part})
+        ids = dict(zip(words, known(words), strict=True))
+        unseen = [w for w, found in ids.items() if found is None]
+        flat, lengths = merges(unseen)
+        ends = np.cumsum(lengths).tolist()
+        flat = flat.tolist()
+        ids.update((w, flat[a:b]) for w, a, b in zip(unseen, [0, *ends], ends, strict=False))
+        lists = [[i for w in part for i in ids[w]] for part in parts]
+        return np.fromiter(chain.from_iterable(lists), np.int32), np.fromiter(map(len, lists), np.int64, len(lists))
+
+    return run
+
+
+def by_library(vocabulary: Vocabulary) -> Resolve:
+    """Chunks resolved by the library's merges of their words."""
+    merges = library_merges(vocabulary)
+
+    def run(chunks: list[str | bytes]) -> tuple[np.ndarray, np.ndarray]:
+        parts = _words_of(vocabulary, chunks)
+        flat, lengths = merges([w for part in parts for w in part])
+        before = np.concatenate(([0], np.cumsum(lengths)))
         bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))))
-        return np.concatenate(ids), np.diff(before[bounds])
+        return flat, np.diff(before[bounds])
 
     return run
