@@ -476,6 +476,7 @@ def oracles() -> dict[str, str]:
             ),
             "trips",
         ),
+        "etl_incremental": oracle("SELECT * FROM fact", "fact"),
         "stable_ids": oracle(
             f"SELECT row_number() OVER (ORDER BY {', '.join(c.strip() + ' NULLS FIRST' for c in RAW_LIST.split(','))}) AS trip_number, "
             "tpep_dropoff_datetime, PULocationID, fare_amount, total_amount FROM trips",
