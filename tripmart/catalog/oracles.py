@@ -477,6 +477,11 @@ def oracles() -> dict[str, str]:
             "trips",
         ),
         "etl_incremental": oracle("SELECT * FROM fact", "fact"),
+        "prune_zone_day": oracle(
+            "SELECT pickup_month, COUNT(*) AS row_count, COUNT(DISTINCT pickup_location_id) AS zones FROM fact WHERE pickup_month IN (2, 3) "
+            "AND date_key BETWEEN DATE '1995-02-10' AND DATE '1996-03-20' AND pickup_location_id <= 5 GROUP BY pickup_month",
+            "fact",
+        ),
         "stable_ids": oracle(
             f"SELECT row_number() OVER (ORDER BY {', '.join(c.strip() + ' NULLS FIRST' for c in RAW_LIST.split(','))}) AS trip_number, "
             "tpep_dropoff_datetime, PULocationID, fare_amount, total_amount FROM trips",

@@ -429,6 +429,18 @@ def etl_end_to_end(spark, sf_dir):
     return warehouse.run_warehouse_job(_raw(spark, sf_dir), new_path(spark, "job"), statistics=stage.statistics(spark, sf_dir))
 
 
+@query
+def prune_zone_day(spark, sf_dir):
+    """Trips of some zones on some days, from a fact clustered by day and zone within its months: by month of pickup."""
+    path = new_path(spark, "clustered")
+    near = sinks.curve(F.dayofmonth("date_key"), F.col("pickup_location_id"))
+    sinks.write_clustered(_fact(spark, sf_dir), path, "pickup_month", near, files=24)
+    wanted = "pickup_month IN (2, 3) AND date_key BETWEEN DATE'1995-02-10' AND DATE'1996-03-20' AND pickup_location_id <= 5"
+    return spark.read.parquet(path).where(wanted).groupBy("pickup_month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("pickup_location_id").alias("zones")
+    )
+
+
 @query
 def etl_incremental(spark, sf_dir):
     """The fact after three batches were taken in one after the other: that of all trips at once."""
