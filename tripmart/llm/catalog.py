@@ -27,7 +27,7 @@ from tripmart.llm import (
     whitening,
 )
 from tripmart.llm.oracles import ORACLES  # noqa: F401
-from tripmart.workspace import new_path
+from tripmart.workspace import materialise, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,10 +136,14 @@ def op8_language_filters(spark, sf_dir):
 
 @query
 def op9_digest_index(spark, sf_dir):
-    """A new index that takes the documents as its first batch."""
+    """A new index that takes the longer half of the documents first, then the others, so a text's longest row comes first."""
+    rows = materialise(exact_dedup.digests(_table(spark, sf_dir, "documents")), "all-digests")
+    found = rows.agg(F.percentile_approx("length", 0.5).alias("middle"), F.count(F.lit(1)).alias("n")).first()
+    shorter = F.col("length") < (found["middle"] or 0)
     name = f"digests_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}_{uuid.uuid4().hex[:8]}"
-    index = exact_dedup.DigestIndex(spark, name, new_path(spark, "digest-index"))
-    decided = index.append(exact_dedup.digests(_table(spark, sf_dir, "documents")))
+    index = exact_dedup.DigestIndex(spark, name, new_path(spark, "digest-index"), buckets=exact_dedup.buckets_for(found["n"]))
+    decided = index.append_each({"longer": rows.where(~shorter), "shorter": rows.where(shorter)})
+    index.close()
     return decided.select(
         F.col("id").alias("doc_id"),
         "keep_id",
