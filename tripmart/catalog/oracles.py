@@ -259,15 +259,17 @@ FROM null_counts""",
 )
 
 # ------------------------------------------------------------------ reports
-part(
-    "q1",
-    f"""SELECT time_of_day, COUNT(*) AS trip_count, {r('SUM(total_amount)')} AS total_revenue,
+def _revenue_by_period(where: str, within: str = "") -> str:
+    per = f"PARTITION BY {within} " if within else ""
+    keys = ", ".join(filter(None, (within, "time_of_day")))
+    return f"""SELECT {keys}, COUNT(*) AS trip_count, {r('SUM(total_amount)')} AS total_revenue,
   {r('AVG(fare_amount)')} AS avg_fare, {r('AVG(tip_pct)')} AS avg_tip_pct,
   {r('AVG(trip_duration_min)')} AS avg_duration_min,
-  {integer('RANK() OVER (ORDER BY SUM(total_amount) DESC)')} AS revenue_rank
-FROM fact WHERE is_invalid_total = FALSE GROUP BY time_of_day""",
-    "fact",
-)
+  {integer(f'RANK() OVER ({per}ORDER BY SUM(total_amount) DESC)')} AS revenue_rank
+FROM fact WHERE is_invalid_total = FALSE AND {where} GROUP BY {keys}"""
+
+
+part("q1", _revenue_by_period("TRUE"), "fact")
 part(
     "q2",
     f"""SELECT distance_bucket, payment_label, {r('AVG(tip_pct)')} AS avg_tip_pct, COUNT(*) AS trip_count,
@@ -286,17 +288,17 @@ part(
 FROM fact GROUP BY pickup_hour, is_weekend""",
     "fact",
 )
-part(
-    "q4",
-    f"""SELECT * FROM (
+def _top_zones(where: str) -> str:
+    return f"""SELECT * FROM (
   SELECT pickup_location_id, {r('AVG(daily)')} AS avg_daily_revenue, {r('SUM(daily)')} AS total_revenue,
     COUNT(DISTINCT date_key) AS active_days, {integer('RANK() OVER (ORDER BY AVG(daily) DESC)')} AS revenue_rank
   FROM (SELECT pickup_location_id, date_key, SUM(total_amount) AS daily FROM fact
-        WHERE is_invalid_total = FALSE GROUP BY pickup_location_id, date_key)
+        WHERE is_invalid_total = FALSE AND {where} GROUP BY pickup_location_id, date_key)
   GROUP BY pickup_location_id)
-WHERE revenue_rank <= 15""",
-    "fact",
-)
+WHERE revenue_rank <= 15"""
+
+
+part("q4", _top_zones("TRUE"), "fact")
 _TREND = f"""COUNT(*) AS trip_count, {r('AVG(fare_amount)')} AS avg_fare, {r('AVG(trip_distance)')} AS avg_distance,
     {r('AVG(tip_pct)')} AS avg_tip_pct, {r('SUM(total_amount)')} AS total_revenue
   FROM fact WHERE is_invalid_total = FALSE"""
@@ -423,6 +425,34 @@ _finding_rows = "\nUNION ALL ".join(
 )
 
 
+#: finding, column, routine action, value put in, reason
+_ROUTINE = (
+    ("negative_fare", "fare_amount", "impute", "fare_median", "a refund or a typing error; the median is not moved by extremes"),
+    ("null_fare", "fare_amount", "cap", "fare_low", "an unknown fare is raised to the lower bound with the extremes"),
+    ("extreme_fare", "fare_amount", "cap", "NULL", "beyond the 1st and 99th percentile, which would rule the averages"),
+    ("negative_tip", "tip_amount", "replace", "0", "a tip cannot be negative; none was given"),
+    ("nonpositive_total", "total_amount", "flag", "NULL", "the trip took place; reports on revenue leave it out"),
+    ("null_total", "total_amount", "keep", "NULL", "the flag stays unknown; reports on revenue leave it out"),
+    ("missing_passengers", "passenger_count", "replace", "1", "most trips have one passenger"),
+    ("negative_passengers", "passenger_count", "keep", "NULL", "not seen in the data; counted so that it would be noticed"),
+    ("too_many_passengers", "passenger_count", "cap", "6", "more than a cab may legally carry"),
+    ("zero_distance", "trip_distance", "impute", "distance_median", "the meter failed; the trip took time and money"),
+    ("negative_distance", "trip_distance", "keep", "NULL", "falls into the shortest bucket; counted so that it would be noticed"),
+    ("null_distance", "trip_distance", "keep", "NULL", "has no bucket of its own worth inventing"),
+    ("nonpositive_duration", "trip_duration_min", "drop", "NULL", "ends before it begins, so neither time can be trusted"),
+    ("unknown_duration", "trip_duration_min", "drop", "NULL", "has no place in a calendar"),
+)
+_EXTREME = {"extreme_fare": "fare_amount >= 0 AND (fare_amount < (SELECT fare_low FROM bounds) OR fare_amount > (SELECT fare_high FROM bounds))"}
+_strategy_rows = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS finding, '{column}' AS column_name, n AS row_count, {r('CAST(n AS DOUBLE) / total * 100')} AS pct, "
+    f"CASE WHEN n = 0 THEN 'none' WHEN n * 100 > total * 20 THEN 'investigate' ELSE '{action}' END AS action, "
+    f"{r(f'CASE WHEN n > 0 THEN {value} END', 6)} AS replacement, '{why}' AS reason, "
+    f"(SELECT COUNT(*) FROM clean WHERE {rule}) AS rows_left "
+    f"FROM (SELECT COUNT(*) FILTER (WHERE {rule}) AS n, COUNT(*) AS total FROM std), medians, bounds"
+    for name, column, action, value, why in _ROUTINE
+    for rule in [(_FINDINGS | _EXTREME)[name]]
+)
+
 _GATE = (
     "SELECT 'files_present' AS check_name, NULL::BIGINT AS observed, CAST(1 AS BIGINT) AS required, TRUE AS passed "
     "UNION ALL SELECT 'bad_extensions', 0, 0, TRUE UNION ALL SELECT 'small_files', 0, 0, TRUE "
@@ -626,6 +656,9 @@ FROM (SELECT *, s_name || chr(10) AS text FROM supplier)""",
             "dim_location",
         ),
         "q1_revenue_by_period": oracle("SELECT * FROM q1", "q1"),
+        "q1_of_months": oracle(_revenue_by_period("pickup_month IN (6, 7, 8)"), "fact"),
+        "q1_within_months": oracle(_revenue_by_period("TRUE", "pickup_month"), "fact"),
+        "q4_of_months": oracle(_top_zones("pickup_month = 12"), "fact"),
         "q2_tip_by_distance": oracle("SELECT * FROM q2", "q2"),
         "q2_top_band": oracle("SELECT * FROM q2 WHERE top_tipping_rank_within_payment = 1", "q2"),
         "q3_hourly_demand": oracle("SELECT * FROM q3", "q3"),
@@ -695,6 +728,7 @@ FROM (SELECT *, s_name || chr(10) AS text FROM supplier)""",
         "ingest_gate_csv": oracle(f"{_GATE} UNION ALL SELECT 'unreadable', 1, 0, FALSE", "trips"),
         "row_lineage": oracle("SELECT * FROM lineage", "lineage"),
         "dq_findings": oracle(_finding_rows, "std"),
+        "cleaning_strategy": oracle(_strategy_rows, "std", "clean", "medians", "bounds"),
         "profile_missing": oracle(_missing_rows, "trips"),
         "profile_stats": oracle(
             f"SELECT column_name, COUNT(*) AS n, {r('AVG(v)')} AS mean, "

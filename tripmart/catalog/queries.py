@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmart import schemas as S
 from tripmart.catalog import stage
 from tripmart.catalog.trips import derived_trips
-from tripmart.operators import checks, cleaning, derivation, joins, modelling, ordering, profiling, quality
+from tripmart.operators import checks, cleaning, derivation, joins, modelling, ordering, profiling, quality, strategy
 from tripmart.plans import charts, incremental, landing, publish, reports, rollups, warehouse
 from tripmart.sources import encodings, files, sinks, tables
 from tripmart.workspace import materialise, new_path, write_bytes
@@ -471,6 +471,24 @@ def q1_revenue_by_period(spark, sf_dir):
     return reports.revenue_by_period(stage.rollup(spark, sf_dir, "time_of_day", "is_invalid_total"))
 
 
+@query
+def q1_of_months(spark, sf_dir):
+    """The report on three months, which are all that is read of the fact."""
+    return reports.revenue_by_period(reports.of_months(_fact(spark, sf_dir), 6, 7, 8))
+
+
+@query
+def q1_within_months(spark, sf_dir):
+    return reports.revenue_by_period(_fact(spark, sf_dir), "pickup_month")
+
+
+@query
+def q4_of_months(spark, sf_dir):
+    """Zones of one month, from partial aggregates."""
+    days = stage.rollup(spark, sf_dir, "pickup_location_id", "date_key", "pickup_month", "is_invalid_total")
+    return reports.top_zones(reports.of_months(days, 12))
+
+
 @query
 def q2_tip_by_distance(spark, sf_dir):
     return reports.tip_by_distance(stage.rollup(spark, sf_dir, "distance_bucket", "payment_key"), _payments(spark, sf_dir))
@@ -640,6 +658,11 @@ def dq_findings(spark, sf_dir):
     return quality.dq_findings(_raw(spark, sf_dir))
 
 
+@query
+def cleaning_strategy(spark, sf_dir):
+    return strategy.cleaning_strategy(_raw(spark, sf_dir), stage.statistics(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ profiling
 @query
 def profile_missing(spark, sf_dir):

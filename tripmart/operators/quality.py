@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
@@ -30,11 +30,10 @@ def row_lineage(raw: DataFrame) -> DataFrame:
     )
 
 
-def dq_findings(raw: DataFrame) -> DataFrame:
-    """How many rows each cleaning rule acts on, and the oddities that are kept on purpose."""
-    trips = add_duration(standardise(raw))
+def finding_rules() -> dict[str, Column]:
+    """What each finding means, over standard trips with their duration."""
     c = F.col
-    findings = {
+    return {
         "negative_fare": c("fare_amount") < 0,
         "null_fare": c("fare_amount").isNull(),
         "negative_tip": c("tip_amount") < 0,
@@ -49,9 +48,18 @@ def dq_findings(raw: DataFrame) -> DataFrame:
         "nonpositive_duration": c("trip_duration_min") <= 0,
         "unknown_duration": c("trip_duration_min").isNull(),
     }
-    counted = trips.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(p).alias(n) for n, p in findings.items()])
-    long = counted.unpivot(["_rows"], list(findings), "finding", "row_count")
-    return long.select("finding", "row_count", rounded(share_pct(F.col("row_count"), F.col("_rows"))).alias("pct"))
+
+
+def count_findings(trips: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """``all_rows, finding, row_count``, in one pass."""
+    counted = trips.agg(F.count(F.lit(1)).alias("all_rows"), *[F.count_if(p).alias(n) for n, p in rules.items()])
+    return counted.unpivot(["all_rows"], list(rules), "finding", "row_count")
+
+
+def dq_findings(raw: DataFrame) -> DataFrame:
+    """How many rows each cleaning rule acts on, and the oddities that are kept on purpose."""
+    long = count_findings(add_duration(standardise(raw)), finding_rules())
+    return long.select("finding", "row_count", rounded(share_pct(F.col("row_count"), F.col("all_rows"))).alias("pct"))
 
 
 def table_checks(df: DataFrame, name: str, expected: int | None, null_severity: str = "warn") -> DataFrame:

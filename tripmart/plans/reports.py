@@ -41,17 +41,26 @@ def _mean(rows: DataFrame, column: str, alias: str) -> Column:
     return rounded(_sum(rows, column) / F.nullif(_known(rows, column), F.lit(0))).alias(alias)
 
 
-def revenue_by_period(fact: DataFrame) -> DataFrame:
-    """Revenue, fare, tip and duration by part of the day, ranked by revenue."""
-    per_period = _valid(fact).groupBy("time_of_day").agg(
+def of_months(rows: DataFrame, *months: int) -> DataFrame:
+    """Trips, or partial aggregates by month, of these months of pickup, for any report. The fact lies in a folder per month, so the others
+    are not read."""
+    if not months or not all(1 <= m <= 12 for m in months):
+        raise ValueError(f"months are numbers from 1 to 12, not {months}")
+    return rows.where(F.col("pickup_month").isin(*months))
+
+
+def revenue_by_period(fact: DataFrame, *within: str) -> DataFrame:
+    """Revenue, fare, tip and duration by part of the day, ranked by revenue, over all trips or within each value of other keys."""
+    per_period = _valid(fact).groupBy(*within, "time_of_day").agg(
         _count(fact).alias("trip_count"),
         _sum(fact, "total_amount").alias("_revenue"),
         _mean(fact, "fare_amount", "avg_fare"),
         _mean(fact, "tip_pct", "avg_tip_pct"),
         _mean(fact, "trip_duration_min", "avg_duration_min"),
     )
-    ranked = per_period.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("_revenue"))))
+    ranked = per_period.withColumn("revenue_rank", F.rank().over(Window.partitionBy(*within).orderBy(F.desc("_revenue"))))
     return ranked.select(
+        *within,
         "time_of_day",
         "trip_count",
         rounded(F.col("_revenue")).alias("total_revenue"),
@@ -59,7 +68,7 @@ def revenue_by_period(fact: DataFrame) -> DataFrame:
         "avg_tip_pct",
         "avg_duration_min",
         "revenue_rank",
-    ).orderBy("revenue_rank", "time_of_day")
+    ).orderBy(*within, "revenue_rank", "time_of_day")
 
 
 def tip_by_distance(fact: DataFrame, payments: DataFrame) -> DataFrame:
