@@ -92,6 +92,28 @@ def test_members_are_plain_gzip_and_the_index_leads_to_each(spark):
         assert end == len(archives[name])
 
 
+def test_a_long_stream_becomes_archives_of_bounded_size(spark):
+    draw = random.Random(2)
+    pages = [(i, None, "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.choice((200, 9_000, 60_000))))) for i in range(60)]
+    streams, out = new_path(spark, "streams"), new_path(spark, "archives")
+    warc.write_monolithic(warc.records(frame(spark, pages).repartition(1)), streams)
+    warc.normalise(spark, streams, out, archive_bytes=40_000)
+    archives = files(spark, f"{out}/kind=warc")
+    assert len(archives) > 5 and len(files(spark, f"{out}/kind=index")) == len(archives)
+    assert sum(len(c) > 40_000 for c in archives.values()) == 0
+    rows = {r.id: sha(bytes(r.payload)) for r in warc.read_archives(spark, out).collect()}
+    assert rows == {f"<urn:page:{i}>": sha(html.encode()) for i, _, html in pages}
+
+
+def test_a_session_that_limits_records_per_file(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 2)
+    try:
+        _, out = run(spark, frame(spark, ROWS).repartition(1))
+        assert warc.read_archives(spark, out).count() == len(ROWS)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
 def test_inflate_and_split_in_small_pieces():
     record = b"WARC/1.1\r\nContent-Length: 5\r\n\r\na\r\n\r\n\r\n\r\n"
     stream = gzip.compress(record * 3) + gzip.compress(record) + b"\0\0"

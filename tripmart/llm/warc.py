@@ -37,8 +37,8 @@ from tripmart.workspace import materialise
 
 CRLF = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-#: Records in one archive at most.
-ARCHIVE_RECORDS = 2_000
+#: Records in one archive at most, and compressed bytes after which a normalised archive ends.
+ARCHIVE_RECORDS, ARCHIVE_BYTES = 2_000, 64 << 20
 PIECE = 1 << 20
 EMPTY_MEMBER = zlib.compress(b"", 9, 31)
 INDEX_LINES = 1_000
@@ -168,8 +168,9 @@ def _member(content: bytes) -> bytes:
     return out[:-1] if out[-1] == 0 else out + EMPTY_MEMBER[:-1]
 
 
-def normalise(spark: SparkSession, monolithic: str, out: str) -> None:
-    """Rewrite whole-file gzip WARC archives as one member per record, with an index."""
+def normalise(spark: SparkSession, monolithic: str, out: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Rewrite whole-file gzip WARC archives as one member per record, with an index. A stream whose members take more than
+    ``archive_bytes`` becomes several archives, each with its own index; a larger record stands alone."""
     files = spark.read.format("binaryFile").load(monolithic).where("length > 0")
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
 
@@ -183,12 +184,24 @@ def normalise(spark: SparkSession, monolithic: str, out: str) -> None:
 
         for batch in batches:
             for name, content in zip(batch.column("archive").to_pylist(), batch.column("content"), strict=True):
-                archive = name.split(".")[0]
-                offset = seq = held = blocks = 0
+                volume, archive = 0, name.split(".")[0]
+                offset = seq = held = 0
                 parts, lines = [], []
+
+                def index():
+                    at = range(0, len(lines), INDEX_LINES)
+                    return [_member("".join(x + "\n" for x in lines[i : i + INDEX_LINES]).encode()) for i in at]
+
                 for header, block in split_records(inflate(memoryview(content.as_buffer()))):
                     end = (CRLF + CRLF).encode()
                     part = _member(header + end + block + end)
+                    if offset and offset + len(part) + 1 > archive_bytes:
+                        yield rows("warc", archive, seq, parts)
+                        yield rows("index", archive, 0, index())
+                        volume += 1
+                        archive = f"{name.split('.')[0]}-{volume}"
+                        offset = seq = held = 0
+                        parts, lines = [], []
                     fields = header_fields(header)
                     entry = {"id": fields["warc-record-id"], "type": fields["warc-type"], "offset": offset, "length": len(part) + 1}
                     lines.append(json.dumps(entry))
@@ -198,14 +211,12 @@ def normalise(spark: SparkSession, monolithic: str, out: str) -> None:
                         yield rows("warc", archive, seq, parts)
                         seq, held, parts = seq + len(parts), 0, []
                 yield rows("warc", archive, seq, parts)
-                for at in range(0, len(lines), INDEX_LINES):
-                    yield rows("index", archive, blocks, [_member("".join(x + "\n" for x in lines[at : at + INDEX_LINES]).encode())])
-                    blocks += 1
+                yield rows("index", archive, 0, index())
 
     parts = files.mapInArrow(run, "kind string, archive string, seq bigint, part binary")
     parts.sortWithinPartitions("kind", "archive", "seq").select(
         "kind", "archive", F.col("part").cast("string").alias("value")
-    ).write.partitionBy("kind", "archive").option("lineSep", "\0").mode("overwrite").text(out)
+    ).write.partitionBy("kind", "archive").option("lineSep", "\0").option("maxRecordsPerFile", 0).mode("overwrite").text(out)
 
 
 def read_index(content: memoryview) -> list[dict]:
