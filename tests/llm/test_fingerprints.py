@@ -10,22 +10,31 @@ from tests.llm.conftest import ROWS
 from tripmart.llm import fingerprints as P
 
 
-def brute_rank(window):
-    cost = sum(P._COST[1 : n + 1].sum() for n in Counter(window).values())
-    most = 6 * P.WINDOW * P._SCALE
+def brute_rank(window, scale=P.LONG):
+    size = len(window)
+    cost = sum(scale.cost[1 : n + 1].sum() for n in Counter(window).values())
+    most = int(math.log2(size)) * size * P._SCALE
     level = int((most - cost) * P.LEVELS // most)
-    assert abs(level / P.LEVELS * 6 - (6 - sum(n * math.log2(n) for n in Counter(window).values()) / 64)) < 0.02
-    return int(P._RANKS[level])
+    entropy = math.log2(size) - sum(n * math.log2(n) for n in Counter(window).values()) / size
+    assert abs(level / P.LEVELS * math.log2(size) - entropy) < 0.02
+    return int(scale.ranks[level])
 
 
-def brute_features(data):
-    ranks = [brute_rank(data[i : i + 64]) for i in range(len(data) - 63)]
+def brute_windows(data, scale):
+    size = scale.window
+    ranks = [brute_rank(data[i : i + size], scale) for i in range(len(data) - size + 1)]
     popular = Counter()
     for s in range(len(ranks)):
-        stretch = [(r, s + k) for k, r in enumerate(ranks[s : s + 64]) if r <= P.LEVELS]
+        stretch = [(r, s + k) for k, r in enumerate(ranks[s : s + size]) if r <= P.LEVELS]
         if stretch:
             popular[min(stretch)[1]] += 1
-    return {data[i : i + 64] for i, n in popular.items() if n >= P.POPULAR}
+    return {data[i : i + size] for i, n in popular.items() if n >= scale.popular}
+
+
+def brute_features(data):
+    fine = brute_windows(data, P.SHORT) if len(data) < 1024 else set()
+    finest = brute_windows(data, P.TINY) if len(data) < 128 else set()
+    return finest | fine | (brute_windows(data, P.LONG) if len(data) >= 512 else set())
 
 
 def text(seed, n):
@@ -34,12 +43,14 @@ def text(seed, n):
 
 
 def test_window_ranks_and_features():
-    texts = [text(1, 500), b"", text(2, 70), b"short", b"a" * 300, text(3, 64), text(1, 500)]
+    texts = [text(1, 600), b"", text(2, 70), b"short", b"a" * 300, text(3, 64), text(1, 600), text(4, 1_500), text(5, 16), b"ab" * 400]
     data = np.frombuffer(texts[0], np.uint8)
     assert P.window_ranks(data).tolist() == [brute_rank(texts[0][i : i + 64]) for i in range(len(texts[0]) - 63)]
+    fine = P.window_ranks(data, P.SHORT).tolist()
+    assert fine == [brute_rank(texts[0][i : i + 16], P.SHORT) for i in range(len(texts[0]) - 15)]
     whose, hashes = P._features(texts)
     for i, t in enumerate(texts):
-        expected = len(brute_features(t)) if len(t) >= 64 else 0
+        expected = len(brute_features(t))
         assert (whose == i).sum() == (expected or (1 if t else 0))
     assert hashes[whose == 0].tolist() == hashes[whose == 6].tolist()
     for i, t in enumerate(texts):  # alone or together
@@ -82,6 +93,32 @@ def test_compare_along(spark, docs, parts):
         assert (r.near_edited, r.near_next) == (own.likeness(theirs), own.likeness(third))
 
 
+def test_short_texts_are_nearer_to_their_edit_than_to_the_next(spark, docs):
+    short = docs.selectExpr("doc_id", "substring(text, 1, CAST(40 + doc_id * 7 % 160 AS INT)) AS text")
+    rows = [r for r in P.compare_along(short).collect() if r.fingerprint != r.edited_fingerprint]
+    assert len(rows) > 100 and sum(r.near_edited > r.near_next for r in rows) >= 0.9 * len(rows)
+
+
+def test_a_text_and_its_edit_share_a_scale():
+    for size in (480, 520, 1_000, 1_050):
+        t, other = text(size, size), text(size + 1, size)
+        one, cut, grown, another = P.chains([t, t[: size - 60], t + other[:60], other])
+        assert min(one.likeness(cut), one.likeness(grown)) > 0.5 > 0.2 > one.likeness(another)
+
+
+def test_rows_without_id_and_copies_are_spread(spark):
+    rows = spark.range(4_000).selectExpr("IF(id % 2 = 0, NULL, id) AS doc_id", "IF(id % 4 = 0, 'the same copy', concat('text ', id)) AS text")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = P.compare_along(rows.repartition(8))
+        assert found.count() == 4_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    copies = found.where("id IS NULL AND n_chars = 13").groupBy("fingerprint").count().collect()
+    assert [r["count"] for r in copies] == [1_000]
+
+
 def test_tricky(spark, tricky, nothing):
     rows = P.compare_along(tricky).collect()
     assert len(rows) == len(ROWS)

@@ -2,7 +2,9 @@
 
 Every window of 64 bytes of the UTF-8 of a text has an entropy. Windows of typical entropy are common to all prose; the
 further from it, the rarer, and windows of almost no entropy say nothing and are left out. A window is a feature if it is the
-rarest (the leftmost of equals) of at least POPULAR of the 64-window stretches around it. Features, without repeats, go into
+rarest (the leftmost of equals) of at least POPULAR of the 64-window stretches around it. A text of few such windows is looked at
+more finely: below 1,024 bytes windows of 16 bytes are features by the same rule in stretches of 16, from 512 bytes on those of 64 as
+well, and below 128 bytes those of 8 too, so that a text and its edit share a scale where the edit changes its length. Features, without repeats, go into
 a chain of Bloom filters of 2048 bits, 160 features each. The fingerprint is the filters in hexadecimal, joined by ``-``.
 
 Likeness takes the chain of fewer features, finds for each of its filters the best partner in the other, and counts common
@@ -27,76 +29,89 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import pieces, schema_with, with_columns
 from tripmart.workspace import materialise
 
-WINDOW = 64
 LEVELS = 1000
-#: Entropy of a prose window, in thousandths of the most possible; and the least that may be a feature.
-TYPICAL, FLOOR = 680, 150
-POPULAR = 16
 FILTER_BITS, FILTER_FEATURES, FILTER_HASHES = 2048, 160, 5
 _SCALE = 1 << 20
 _NEVER = np.int64(1 << 62)
 
 
-def _cost() -> np.ndarray:
-    """What the c-th occurrence of a byte in a window adds to the sum of c log2 c, scaled to integers."""
-    c = np.arange(WINDOW + 1, dtype=float)
-    total = np.rint(np.where(c > 0, c * np.log2(np.maximum(c, 1)), 0) * _SCALE).astype(np.int64)
-    return np.concatenate(([0], np.diff(total)))
+class Scale:
+    """Windows of so many bytes: the entropy of a prose window in thousandths of the most possible, the least that may be a feature, and
+    in how many stretches a feature must be the rarest; for texts of at least ``shortest`` and less than ``longest`` bytes."""
 
+    def __init__(self, window: int, typical: int, floor: int, popular: int, shortest: int, longest: int | None):
+        self.window, self.popular, self.shortest, self.longest = window, popular, shortest, longest
+        # what the c-th occurrence of a byte in a window adds to the sum of c log2 c, scaled to integers
+        c = np.arange(window + 1, dtype=float)
+        total = np.rint(np.where(c > 0, c * np.log2(np.maximum(c, 1)), 0) * _SCALE).astype(np.int64)
+        self.cost = np.concatenate(([0], np.diff(total)))
+        # the rank of each entropy level, 0 the rarest
+        distance = np.abs(np.arange(LEVELS + 1) - typical)
+        self.ranks = np.where(np.arange(LEVELS + 1) < floor, LEVELS + 1, distance.max() - distance)
+        self.most = (window.bit_length() - 1) * window * _SCALE
 
-_COST = _cost()
+    def takes(self, size: int) -> bool:
+        return self.shortest <= size and (self.longest is None or size < self.longest)
 
 
-def _ranks() -> np.ndarray:
-    """The rank of each entropy level, 0 the rarest."""
-    distance = np.abs(np.arange(LEVELS + 1) - TYPICAL)
-    return np.where(np.arange(LEVELS + 1) < FLOOR, LEVELS + 1, distance.max() - distance)
+LONG = Scale(64, typical=680, floor=150, popular=16, shortest=512, longest=None)
+SHORT = Scale(16, typical=850, floor=300, popular=4, shortest=0, longest=1024)
+TINY = Scale(8, typical=950, floor=300, popular=1, shortest=0, longest=128)
 
 
-_RANKS = _ranks()
-
-
-def window_ranks(data: np.ndarray) -> np.ndarray:
-    """The rank of the window at each position of a byte array, but for the last 63."""
-    n = len(data)
+def window_ranks(data: np.ndarray, scale: Scale = LONG) -> np.ndarray:
+    """The rank of the window at each position of a byte array, but for the last ones, where no window begins."""
+    n, window = len(data), scale.window
     order = np.argsort(data, kind="stable")
-    key = data[order].astype(np.int64) * (n + WINDOW) + order
-    ahead = np.searchsorted(key, key + (WINDOW - 1), side="right")  # where the same byte is out of the window
+    key = data[order].astype(np.int64) * (n + window) + order
+    ahead = np.searchsorted(key, key + (window - 1), side="right")  # where the same byte is out of the window
     place = np.arange(n)
     left = place - np.cumsum(np.bincount(ahead, minlength=n + 1))[:n] + 1  # the byte up to here, in the window that ends here
     gain, loss = np.empty(n, np.int64), np.empty(n, np.int64)
-    gain[order] = _COST[left]
-    loss[order] = _COST[ahead - place]
-    total = np.cumsum(gain)[WINDOW - 1 :] - np.concatenate(([0], np.cumsum(loss)))[: n - WINDOW + 1]
-    most = 6 * WINDOW * _SCALE
-    return _RANKS[np.clip((most - total) * LEVELS // most, 0, LEVELS)]
+    gain[order] = scale.cost[left]
+    loss[order] = scale.cost[ahead - place]
+    total = np.cumsum(gain)[window - 1 :] - np.concatenate(([0], np.cumsum(loss)))[: n - window + 1]
+    return scale.ranks[np.clip((scale.most - total) * LEVELS // scale.most, 0, LEVELS)]
 
 
-def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, 64-bit hash) of each feature, in order of text and position."""
+def _windows(texts: list[bytes], scale: Scale) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of each chosen window, in order of text and position."""
+    window = scale.window
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    gap = b"\0" * WINDOW  # no stretch reaches from one text into another
+    gap = b"\0" * window  # no stretch reaches from one text into another
     data = np.frombuffer(b"".join(t + gap for t in texts), np.uint8)
-    starts = np.cumsum(sizes + WINDOW) - (sizes + WINDOW)
-    owner = np.repeat(np.arange(len(texts)), sizes + WINDOW)
-    valid = np.arange(len(data)) - starts[owner] + WINDOW <= sizes[owner]
+    starts = np.cumsum(sizes + window) - (sizes + window)
+    owner = np.repeat(np.arange(len(texts)), sizes + window)
+    valid = np.arange(len(data)) - starts[owner] + window <= sizes[owner]
     ranks = np.full(len(data), _NEVER)
     if valid.any():
-        own = window_ranks(data)
+        own = window_ranks(data, scale)
         usable = np.flatnonzero(valid[: len(own)] & (own <= LEVELS))
         ranks[usable] = (own[usable] << np.int64(40)) + usable  # the leftmost of equal ranks is the least
     least, span = ranks, 1
-    while span < WINDOW:
+    while span < window:
         least = np.minimum(least, np.concatenate([least[span:], np.full(span, _NEVER)]))
         span *= 2
     won = least[valid & (least < _NEVER)] & np.int64((1 << 40) - 1)
-    chosen = np.flatnonzero(np.bincount(won, minlength=1) >= POPULAR)
-    words = data[chosen[:, None] + np.arange(WINDOW)].view("<u8") if len(chosen) else np.empty((0, 8), np.uint64)
+    chosen = np.flatnonzero(np.bincount(won, minlength=1) >= scale.popular)
+    words = data[chosen[:, None] + np.arange(window)].view("<u8") if len(chosen) else np.empty((0, window // 8), np.uint64)
     mixed = np.zeros(len(chosen), np.uint64)
-    for k in range(WINDOW // 8):
+    for k in range(window // 8):
         mixed = (mixed ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    whose = owner[chosen]
+    return owner[chosen], mixed
+
+
+def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of each feature, in order of text, scale and position."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    found = []
+    for scale in (TINY, SHORT, LONG):
+        mine = np.array([i for i, t in enumerate(texts) if scale.takes(len(t))], np.int64)
+        if len(mine):
+            which, hashes = _windows([texts[i] for i in mine], scale)
+            found.append((mine[which], hashes))
+    whose, mixed = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.uint64))
     bare = np.flatnonzero((np.bincount(whose, minlength=len(texts)) == 0) & (sizes > 0))
     alone = [int.from_bytes(hashlib.blake2b(texts[i], digest_size=8).digest(), "little") for i in bare]
     whose, mixed = np.concatenate([whose, bare]), np.concatenate([mixed, np.array(alone, np.uint64)])
@@ -197,11 +212,12 @@ def _compared(ids: pa.Array, texts: list[str], own: list[Chain], following: list
 
 
 def compare_along(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents in descending order of id (nulls last, ties by text), each compared with its edit by the next one and with
-    the next one itself; the first follows the last. Returns id and the columns above.
+    """Documents in descending order of id (nulls last; rows of one id, or of none, by a hash of the text and then the text), each compared
+    with its edit by the next one and with the next one itself; the first follows the last. Returns id and the columns above.
 
-    Texts are shuffled once, by ranges of id, and read as a stream. Where one task's documents end and the next one's begin, the
-    two documents meet in a second, small step: two rows per task.
+    Texts are shuffled once, by ranges of id and hash, in which rows that are equal are told apart by their place, so that neither rows
+    without id nor copies of one row end in one task; ranges are read as streams. Where one task's documents end and the next one's
+    begin, the two documents meet in a second, small step: two rows per task.
     """
     kind = dict(docs.dtypes)[id_col]
     empty = {"n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64()}
@@ -237,16 +253,22 @@ def compare_along(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             own, theirs = chains([t.encode() for t in texts]), chains([t.encode() for t in following])
             yield _compared(batch.column("id"), texts, own, list(zip(following, theirs, strict=True)))
 
-    order = [F.desc_nulls_last("id"), F.desc_nulls_last("text")]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = rows.repartitionByRange(order[0]).sortWithinPartitions(*order).mapInArrow(
-        along, f"id {kind}, {_COLUMNS}, text string, task int, edge string"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("hash", F.xxhash64("text"))
+    order = [F.desc_nulls_last("id"), F.desc("hash")]
+    found = (
+        rows.withColumn("place", F.monotonically_increasing_id())
+        .repartitionByRange(*order, "place")
+        .sortWithinPartitions(*order, F.desc_nulls_last("text"))
+        .select("id", "text")
+        .mapInArrow(along, f"id {kind}, {_COLUMNS}, text string, task int, edge string")
     )
     found = materialise(found, "compared")
     edges = found.where("edge IS NOT NULL")
-    tasks = edges.where("edge = 'first'").select("task", F.col("text").alias("following"))
+    first = edges.where("edge = 'first'")
+    # numbers of tasks alone pass through one task; texts follow by a join
     before = F.lag("task").over(Window.orderBy("task"))
-    tasks = tasks.withColumn("task", F.coalesce(before, F.max("task").over(Window.partitionBy())))
-    ends = edges.where("edge = 'last'").select("id", "text", "task").join(tasks, "task").select("id", "text", "following")
+    tasks = first.select("task").select("task", F.coalesce(before, F.max("task").over(Window.partitionBy())).alias("before"))
+    following = first.select("task", F.col("text").alias("following")).join(tasks, "task").select(F.col("before").alias("task"), "following")
+    ends = edges.where("edge = 'last'").select("id", "text", "task").join(following, "task").select("id", "text", "following")
     names = [x.split()[0] for x in _COLUMNS.split(", ")]
     return found.where("edge IS NULL").select("id", *names).unionByName(ends.mapInArrow(across, f"id {kind}, {_COLUMNS}"))
