@@ -46,8 +46,9 @@ ROWS = [
 ]
 
 
-@pytest.mark.parametrize("per_archive", [1, 3, 2_000])
-def test_round_trip(spark, per_archive):
+@pytest.mark.parametrize(("per_archive", "broadcast"), [(1, 100), (3, 0), (2_000, 100), (2_000, 0)])
+def test_round_trip(spark, monkeypatch, per_archive, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_PAYLOADS", broadcast)
     _, out = run(spark, frame(spark, ROWS), per_archive)
     rows = warc.read_archives(spark, out).collect()
     assert len(rows) == len(ROWS)

@@ -13,8 +13,8 @@ NUL, is the last byte of the member before it: a member ends with the high byte
 larger one is followed by an empty member, which ends so too. The files are plain concatenated gzip members.
 
 Of pages with equal payloads (SHA-1 and length) of at least ``min_payload`` bytes, the one with the smallest id is a response,
-others are revisits that name it. A page is not shuffled but to meet its payload's group, and pages of a payload that a large
-share of the table has are not shuffled at all.
+others are revisits that name it. Up to BROADCAST_PAYLOADS repeated payloads are broadcast and no page is shuffled. Of more, a page moves
+once to meet its payload's group, but for pages of a payload that a large share of the table has.
 
 Null html is an empty payload; a null url leaves out the target. Bytes that could end a header line are percent-encoded. A
 null id orders last. Rows repeated with the smallest id of their payload are all responses. Extra columns are ignored. An empty
@@ -39,6 +39,8 @@ CRLF = "\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Records in one archive at most, and compressed bytes after which a normalised archive ends.
 ARCHIVE_RECORDS, ARCHIVE_BYTES = 2_000, 64 << 20
+#: Repeated payloads that are broadcast (some 100 bytes each); of more, pages move to meet their payload's group.
+BROADCAST_PAYLOADS = 200_000
 PIECE = 1 << 20
 EMPTY_MEMBER = zlib.compress(b"", 9, 31)
 INDEX_LINES = 1_000
@@ -76,7 +78,10 @@ def records(pages: DataFrame, id_col="page_id", url_col="url", html_col="html",
         .where("pages > 1"),
         "payloads",
     )
-    joined = join_groups(rows, groups, keys, "pages")
+    if groups.count() <= BROADCAST_PAYLOADS:
+        joined = rows.join(F.broadcast(groups), keys, "left")
+    else:
+        joined = join_groups(rows, groups, keys, "pages")
     revisit = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     url = F.regexp_replace(F.regexp_replace("url", r"\r", "%0D"), r"\n", "%0A")
     http = F.concat(
