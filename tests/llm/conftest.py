@@ -1,3 +1,5 @@
+import tracemalloc
+
 import pytest
 
 #: Names that the operators use inside, as extra columns of the input.
@@ -20,6 +22,16 @@ ROWS = [
 ]
 
 
+def peak_bytes(run):
+    """The most memory that Python and numpy hold beyond what they held before."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
 @pytest.fixture(scope="session")
 def tricky(spark):
     """Null ids, null and empty texts, repeated rows, very long texts, columns with clashing names."""

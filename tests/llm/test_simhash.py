@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tests.llm.conftest import ROWS
+from tests.llm.conftest import ROWS, peak_bytes
 from tripmart.llm import simhash
 from tripmart.llm.components import components
 
@@ -136,3 +136,15 @@ def test_one_of_each_group_tricky(tricky, nothing):
     assert out.columns == tricky.columns
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 1, 2, 7, 10]
     assert simhash.one_of_each_group(nothing).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 7, 40, 1000])
+def test_runs_of_words_give_the_fingerprint_of_the_whole(docs, limit):
+    texts = [r.text for r in docs.select("text").limit(15).collect()]
+    for text in [*texts, "", " \t", "One", "a B c", "  a b c d ", "a b c d e\n\x0b f", "x" * 100, "É É É É " * 30]:
+        assert simhash.fingerprint((text or "").encode(), limit=limit) == brute_print(text)
+
+
+def test_a_very_long_text_takes_little_memory():
+    text = b"some words that go on and on without an end to them " * 400_000
+    assert peak_bytes(lambda: simhash.fingerprint(text)) < 200 << 20

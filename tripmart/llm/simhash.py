@@ -12,13 +12,15 @@ more than 2 * CELL of them and every pair is compared in some cell. A cell retur
 it found, not all pairs.
 
 Null text counts as empty. A text without words has fingerprint zero and links like any other. Fewer words than a shingle
-make one shingle of all words. Rows with a null id take part; a component of such rows alone has a null id. Repeated rows
-are documents of their own. Extra columns are ignored by ``link``; ``fingerprints`` keeps them, and replaces one called
-like its new column.
+make one shingle of all words. A very long text is read in runs of words. Rows with a null id take part; a component of
+such rows alone has a null id. Repeated rows are documents of their own. Extra columns are ignored by ``link``;
+``fingerprints`` keeps them, and replaces one called like its new column.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import join_groups, pieces, schema_with, text_bytes, with_columns
+from tripmart.llm.common import PIECE_BYTES, join_groups, pieces, schema_with, text_bytes, with_columns
 from tripmart.llm.components import components
 from tripmart.workspace import materialise
 
@@ -35,37 +37,51 @@ RADIUS = 4
 BITS = 64
 SEED = 42
 CELL = 512
-
-
-def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
-    """XXH64 (seed 42) of the shingles, repeats included, of the UTF-8 of a text: A-Z in lower case, words between ASCII
-    white space."""
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_runs(text: bytes, overlap: int, limit: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """The words of the UTF-8 of a text, A-Z in lower case, between ASCII white space, in runs of about ``limit`` bytes. Each run but
+    the first begins with the last ``overlap`` words of the one before, or all if there are fewer."""
+    held: list[bytes] = []
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + limit)
+        end = space.start() if space else len(text)
+        words = text[at:end].lower().split()
+        if words:
+            words = held + words
+            yield words
+            held = words[-overlap:] if overlap else []
+        at = end + 1
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles of so many words, repeats included."""
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, "<u8")
     line = b" ".join(words)
-    if len(words) < shingle:
-        hashes = [xxh64_intdigest(line, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        cuts = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
-        hashes = list(map(xxh64_intdigest, [line[a:b] for a, b in cuts], repeat(SEED)))
-    return np.array(hashes, dtype="<u8")
-
-
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The majority of each bit over the hashes of the shingles, ties to 0."""
-    array = shingle_hashes(text, shingle)
-    if not len(array):
-        return 0
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(array), 1 << 16):  # a very long text takes no more memory than 4 MB here
-        part = array[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(array), bitorder="little").view("<u8")[0])
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    cuts = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return np.array(list(map(xxh64_intdigest, [line[a:b] for a, b in cuts], repeat(SEED))), dtype="<u8")
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE, limit: int = PIECE_BYTES) -> int:
+    """The majority of each bit over the hashes of the shingles, ties to 0. A longer text than ``limit`` is read run by run."""
+    ones, total = np.zeros(BITS, np.int64), 0
+    words: list[bytes] = []
+    for words in word_runs(text, shingle - 1, limit):
+        if len(words) < shingle:
+            continue
+        array = shingle_hashes(words, shingle)
+        total += len(array)
+        for at in range(0, len(array), 1 << 16):
+            part = array[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
+            ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    if words and not total:  # fewer words than a shingle, and the last run has them all
+        return int(shingle_hashes(words, len(words))[0])
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE) -> DataFrame:
