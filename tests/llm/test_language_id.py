@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import ROWS
+from tests.llm.conftest import ROWS, peak_bytes
 from tripmart.llm import language_id
 
 
@@ -89,3 +89,18 @@ def test_copies_of_a_text_do_not_crowd_out_the_others(spark):
     el = model.languages.index("el")
     known = [model.masks(language_id.ngrams([t])[0])[0] >> np.uint8(el) & 1 for t, _ in other]
     assert np.mean(np.concatenate(known)) > 0.8
+
+
+@pytest.mark.parametrize("block", [1, 5, 64])
+def test_blocks_give_the_shares_of_the_whole(docs, model, block):
+    texts = [r.text for r in docs.select("text").limit(12).collect()]
+    texts += [None, "", "12 ..", "Ünï ΑΣ.Α ΟΔΟΣ", "abcdefgh" * 20, "漢字" * 50, " . 7 " * 20]
+    whole, letters = model.shares(texts, block=1 << 30)
+    parts, same = model.shares(texts, block=block)
+    assert (whole == parts).all() and (letters == same).all()
+
+
+def test_a_very_long_text_takes_little_memory(model):
+    """20 MB, also without a border in it."""
+    for text in ("die Wege gehen weiter und weiter über Land " * 460_000, "x" * 20_000_000):
+        assert peak_bytes(lambda text=text: model.shares([text])) < 320 << 20

@@ -6,7 +6,7 @@ languages, and an n-gram's mask is the AND of its cells, so one look-up tells ev
 votes per language are the set bits counted over all its n-grams; since a cell's bit is also set by chance, the share of
 votes is corrected by the language's false-positive rate, its share of set bits to the number of cells an n-gram has.
 
-An n-gram is a run of letters of one word, with the word's border as a letter. Whole texts are read, in bounded pieces.
+An n-gram is a run of letters of one word, with the word's border as a letter. Whole texts are read, long ones block by block.
 Null texts, and texts without a letter, are ``und`` with score 0. A text whose n-grams are in no language gets the first
 learned language with score 1 / languages. Repeated rows get equal results; an empty table an empty one. Extra columns stay,
 new ones replace those of their name. Without a labelled text there is no language to tell: every text is ``und`` with score 0. The
@@ -16,8 +16,10 @@ masks take as many 64-bit words as the languages need.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ MIN_RATE = 2e-5
 #: Labelled texts that learning reads per language, about.
 SAMPLE_TEXTS = 3_000
 UNKNOWN = "und"
+#: Code points of a text above which it is read in blocks of so many.
+BLOCK = 1 << 20
 
 
 @cache
@@ -48,34 +52,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all n-grams, text after text for each size; the bounds of each text's hashes in them (texts x sizes); and
-    which texts have a letter."""
+def _points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts in lower case as one array of code points, a line feed before, between and after them; and where each begins and
+    the last one ends."""
     lowered = [t.lower() if t else "" for t in texts]
     points = np.frombuffer(("\n" + "".join(t + "\n" for t in lowered)).encode("utf-32-le", "surrogatepass"), "<u4")
+    return points, np.concatenate(([0], np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)))
+
+
+def _grams(points: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the n-grams of one size: letters inside, a letter or a border at either end."""
     letters = np.where(_letters()[points], points, 0).astype(np.uint64)
-    edges = np.concatenate(([0], np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1)))
-    hashes, bounds, at = [], [], 0
+    span = len(letters) - size + 1
+    if span <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     inside = letters > 0
+    valid = inside[1 : 1 + span].copy()
+    for k in range(2, size - 1):
+        valid &= inside[k : k + span]
+    place = np.flatnonzero(valid)
+    mixed = np.full(len(place), size, np.uint64)
+    for k in range(size):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + letters[place + k]
+    return place, _mix(mixed)
+
+
+def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all n-grams, text after text for each size; the bounds of each text's hashes in them (texts x sizes); and
+    which texts have a letter."""
+    points, edges = _points(texts)
+    hashes, bounds, at = [], [], 0
     for size in SIZES:
-        span = len(letters) - size + 1
-        if span <= 0:
-            bounds.append(np.zeros((len(texts), 2), np.int64) + at)
-            continue
-        valid = inside[1 : 1 + span].copy()
-        for k in range(2, size - 1):
-            valid &= inside[k : k + span]
-        place = np.flatnonzero(valid)
-        mixed = np.full(len(place), size, np.uint64)
-        for k in range(size):
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + letters[place + k]
-        hashes.append(_mix(mixed))
+        place, found = _grams(points, size)
+        hashes.append(found)
         cuts = np.searchsorted(place, edges) + at
         bounds.append(np.stack([cuts[:-1], cuts[1:]], axis=1))
         at += len(place)
-    seen = np.concatenate(([0], np.cumsum(inside)))
-    has_letter = seen[edges[1:]] > seen[edges[:-1]]
-    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.stack(bounds, axis=1), has_letter
+    seen = np.concatenate(([0], np.cumsum(_letters()[points])))
+    return np.concatenate(hashes), np.stack(bounds, axis=1), seen[edges[1:]] > seen[edges[:-1]]
+
+
+def ngram_blocks(text: str, block: int) -> Iterator[np.ndarray]:
+    """The hashes of the n-grams of a long text, from so many places at a time."""
+    points, _ = _points([text])
+    for at in range(0, len(points), block):
+        for size in SIZES:
+            yield _grams(points[at : at + block + size - 1], size)[1]
 
 
 @dataclass(frozen=True)
@@ -116,17 +138,31 @@ class LanguageFilter:
             out = out & self.cells[:, at]
         return out
 
-    def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _long_share(self, text: str, block: int) -> tuple[np.ndarray, int]:
+        """Votes per language and the number of n-grams of a long text, read block by block."""
+        votes, total = np.zeros(len(self.languages), np.int64), 0
+        for hashes in ngram_blocks(text, block):
+            masks = self.masks(hashes)
+            votes += [int(self._bit(masks, bit).sum(dtype=np.int64)) for bit in range(len(self.languages))]
+            total += len(hashes)
+        return votes, total
+
+    def shares(self, texts: list[str | None], block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
         """For each text and language the corrected share of n-grams the language has; which texts have a letter."""
-        hashes, bounds, has_letter = ngrams(texts)
+        long = [i for i, t in enumerate(texts) if t and len(t) > block]
+        hashes, bounds, has_letter = ngrams([None if t and len(t) > block else t for t in texts])
         masks = self.masks(hashes)
         total = (bounds[:, :, 1] - bounds[:, :, 0]).sum(axis=1)
-        out = np.zeros((len(texts), len(self.languages)))
-        for bit, wrong in enumerate(self.false_rates()):
-            votes = np.concatenate(([0], np.cumsum(self._bit(masks, bit), dtype=np.int64)))
-            share = (votes[bounds[:, :, 1]] - votes[bounds[:, :, 0]]).sum(axis=1) / np.maximum(total, 1)
-            out[:, bit] = np.maximum(0, (share - wrong) / max(1 - wrong, 1e-9))
-        return out, has_letter
+        votes = np.zeros((len(texts), len(self.languages)), np.int64)
+        for bit in range(len(self.languages)):
+            upto = np.concatenate(([0], np.cumsum(self._bit(masks, bit), dtype=np.int64)))
+            votes[:, bit] = (upto[bounds[:, :, 1]] - upto[bounds[:, :, 0]]).sum(axis=1)
+        for i in long:
+            votes[i], total[i] = self._long_share(texts[i], block)
+            has_letter[i] = total[i] > 0  # a letter makes an n-gram of three
+        share = votes / np.maximum(total, 1)[:, None]
+        wrong = self.false_rates()
+        return np.maximum(0, (share - wrong) / np.maximum(1 - wrong, 1e-9)), has_letter
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_TEXTS) -> LanguageFilter:
@@ -148,12 +184,14 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
             langs = np.array(batch.column("lang").to_pylist(), object)
             texts = batch.column("text").to_pylist()
             for lang in sorted(set(langs)):
-                hashes, _, _ = ngrams([t for t, own in zip(texts, langs, strict=True) if own == lang])
-                grams, counts = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts, pa.int64())],
-                    ["lang", "gram", "n"],
-                )
+                own = [t for t, its in zip(texts, langs, strict=True) if its == lang]
+                short = ngrams([t for t in own if len(t) <= BLOCK])[0]
+                for hashes in chain([short], *(ngram_blocks(t, BLOCK) for t in own if len(t) > BLOCK)):
+                    grams, counts = np.unique(hashes, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts, pa.int64())],
+                        ["lang", "gram", "n"],
+                    )
 
     counted = chosen.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = materialise(counted, "gram-counts")
