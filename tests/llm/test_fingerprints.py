@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tests.llm.conftest import ROWS
+from tests.llm.conftest import ROWS, peak_bytes
 from tripmart.llm import fingerprints as P
 
 
@@ -129,3 +129,19 @@ def test_tricky(spark, tricky, nothing):
     assert P.compare_along(nothing).count() == 0 and P.fingerprint(nothing).count() == 0
     one = P.compare_along(spark.createDataFrame([(1, "alone")], "doc_id int, text string")).collect()
     assert [(r.near_next, r.edited_sha256) for r in one] == [(1.0, hashlib.sha256(b"aloal").hexdigest())]
+
+
+@pytest.mark.parametrize("block", [100, 513, 4096])
+def test_blocks_give_the_features_of_the_whole(docs, block):
+    long = [r.text.encode() for r in docs.select("text").where("length(text) > 2000").limit(12).collect()]
+    long += [b"ab" * 3000, b"wort und noch ein wort\n" * 200, text(5, 9000)]
+    for data in long:
+        assert P._block_windows(data, block).tolist() == P._windows([data], P.LONG)[2].tolist()
+        assert P._features([b"short", data, b""], block)[1].tolist() == P._features([b"short", data, b""])[1].tolist()
+
+
+def test_a_very_long_text_takes_little_memory():
+    draw = random.Random(2)
+    data = b" ".join(draw.choices([text(k, 9) for k in range(5000)], k=2_000_000))[: 20 << 20]
+    assert len(data) == 20 << 20
+    assert peak_bytes(lambda: P.chains([data])) < 320 << 20

@@ -13,7 +13,7 @@ fingerprints and likeness 1.
 
 A text too short for a feature is one feature as a whole; null and empty have an empty fingerprint, like another empty one to
 1 and anything else to 0. Repeated rows have equal fingerprints. Extra columns stay; the new column replaces one of its name.
-An empty table gives an empty one. A task works through many texts at once in pieces of bounded size; a longer text comes alone.
+An empty table gives an empty one. A task works through many texts at once in pieces of bounded size; a longer text is read in blocks.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import pieces, schema_with, with_columns
+from tripmart.llm.common import PIECE_BYTES, pieces, schema_with, with_columns
 from tripmart.workspace import materialise
 
 LEVELS = 1000
@@ -74,8 +74,8 @@ def window_ranks(data: np.ndarray, scale: Scale = LONG) -> np.ndarray:
     return scale.ranks[np.clip((scale.most - total) * LEVELS // scale.most, 0, LEVELS)]
 
 
-def _windows(texts: list[bytes], scale: Scale) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, 64-bit hash) of each chosen window, in order of text and position."""
+def _windows(texts: list[bytes], scale: Scale) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, position, 64-bit hash) of each chosen window, in order of text and position."""
     window = scale.window
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     gap = b"\0" * window  # no stretch reaches from one text into another
@@ -99,19 +99,33 @@ def _windows(texts: list[bytes], scale: Scale) -> tuple[np.ndarray, np.ndarray]:
     for k in range(window // 8):
         mixed = (mixed ^ words[:, k]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return owner[chosen], mixed
+    return owner[chosen], chosen - starts[owner[chosen]], mixed
 
 
-def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, 64-bit hash) of each feature, in order of text, scale and position."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+def _block_windows(text: bytes, block: int) -> np.ndarray:
+    """The hashes of the chosen long windows of a long text, those that begin in one block at a time. What chooses them are the
+    stretches that hold them: they begin less than a window before the block, and end less than two windows behind it."""
     found = []
+    for at in range(0, len(text), block):
+        low = max(0, at - LONG.window + 1)
+        _, place, hashes = _windows([text[low : at + block + 2 * LONG.window - 2]], LONG)
+        found.append(hashes[(place >= at - low) & (place < at - low + block)])
+    return np.concatenate(found)
+
+
+def _features(texts: list[bytes], block: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, 64-bit hash) of each feature, in order of text, scale and position. A text above ``block`` bytes is read in blocks."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    found = [(np.empty(0, np.int64), np.empty(0, np.uint64))]
     for scale in (TINY, SHORT, LONG):
-        mine = np.array([i for i, t in enumerate(texts) if scale.takes(len(t))], np.int64)
+        mine = np.array([i for i, t in enumerate(texts) if scale.takes(len(t)) and len(t) <= block], np.int64)
         if len(mine):
-            which, hashes = _windows([texts[i] for i in mine], scale)
+            which, _, hashes = _windows([texts[i] for i in mine], scale)
             found.append((mine[which], hashes))
-    whose, mixed = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64), np.empty(0, np.uint64))
+    for i in np.flatnonzero(sizes > block):
+        hashes = _block_windows(texts[i], block)
+        found.append((np.full(len(hashes), i), hashes))
+    whose, mixed = (np.concatenate(x) for x in zip(*found, strict=True))
     bare = np.flatnonzero((np.bincount(whose, minlength=len(texts)) == 0) & (sizes > 0))
     alone = [int.from_bytes(hashlib.blake2b(texts[i], digest_size=8).digest(), "little") for i in bare]
     whose, mixed = np.concatenate([whose, bare]), np.concatenate([mixed, np.array(alone, np.uint64)])
