@@ -52,3 +52,22 @@ def test_tricky(spark, tricky, nothing):
     path = new_path(spark, "no-shards")
     token_shards.write_shards(nothing, path, bpe.read_vocabulary(PATH))
     assert token_shards.read_shards(spark, path).count() == 0
+
+
+def test_starts_do_not_depend_on_the_join_nor_on_groups(spark, written):
+    plain = {tuple(r) for r in token_shards.read_shards(spark, written).select("id", "start").collect()}
+    merged = token_shards.read_shards(spark, written, broadcast_shards=0).select("id", "start")
+    assert "SortMergeJoin" in merged._jdf.queryExecution().toString()
+    assert {tuple(r) for r in merged.collect()} == plain
+    bases = [sorted(map(tuple, token_shards.shard_bases(spark, written, group).collect())) for group in (1, 3, 1_000)]
+    assert bases[0] == bases[1] == bases[2] and len(bases[0]) > 3
+
+
+def test_rows_without_id_and_copies_are_spread(spark):
+    rows = spark.range(4_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'the same words for all of them' AS text")
+    path = new_path(spark, "hot-shards")
+    token_shards.write_shards(rows.repartition(3), path, bpe.read_vocabulary(PATH), shard_bytes=10_000)
+    sizes = [r.length for r in spark.read.format("binaryFile").load(f"{path}/shards").where("length > 0").select("length").collect()]
+    assert len(sizes) > 3 and max(sizes) < sum(sizes) / 2
+    found = token_shards.read_shards(spark, path)
+    assert found.count() == 4_000 and found.select("start").distinct().count() == 4_000

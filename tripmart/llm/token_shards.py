@@ -15,7 +15,7 @@ again and only whole shards appear. Readers open a shard from its end and refuse
 trained on the serialized ids of about SAMPLE_DOCUMENTS documents, chosen by a hash; it changes sizes, not contents.
 
 Texts are not shuffled. Compressed documents are, once, by ranges of id. A null text has no ids but what ``end_id`` adds. Null
-ids come first; rows of one id lie next to each other, ordered by their bytes. Extra columns are ignored. An empty table
+ids come first; rows of one id lie next to each other, ordered by a hash of their bytes. Extra columns are ignored. An empty table
 gives a dataset without shards, which reads as an empty table.
 """
 
@@ -43,6 +43,9 @@ ENTRY = np.dtype([("id", "<i8"), ("null", "<i8"), ("start", "<i8"), ("tokens", "
 SAMPLE_DOCUMENTS = 2_000
 DICTIONARY_BYTES = 1 << 16
 SHARD_BYTES = 16 << 20
+#: Rows of two numbers that may be broadcast, one per shard: 3 MB at most.
+BROADCAST_SHARDS = 200_000
+SHARD_GROUP = 1_000
 LEVEL = 3
 
 
@@ -159,8 +162,14 @@ def write_shards(
             packed = zstandard.ZstdCompressor(level=LEVEL).compress(table.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array([packed, trailer], pa.binary())], ["part"])
 
-    ordered = frames.repartitionByRange(max(1, -(-total // shard_bytes)), F.asc_nulls_first("id"))
-    ordered = ordered.sortWithinPartitions(F.asc_nulls_first("id"), "frame")
+    # rows without id, and copies of one row, are spread over shards by a hash and their place
+    order = [F.asc_nulls_first("id"), F.asc("hash")]
+    ordered = (
+        frames.withColumns({"hash": F.xxhash64("frame"), "place": F.monotonically_increasing_id()})
+        .repartitionByRange(max(1, -(-total // shard_bytes)), *order, "place")
+        .sortWithinPartitions(*order, "frame")
+        .select("id", "tokens", "frame")
+    )
     _write_rows(ordered.mapInArrow(shards, "part binary"), f"{path}/shards")
 
 
@@ -194,9 +203,10 @@ def read_document(shard: bytes | memoryview, index: np.ndarray, width: int, dict
     return np.frombuffer(_unpacker(dictionary)(shard[begin:end]), f"<u{width}")
 
 
-def read_shards(spark: SparkSession, path: str, as_bytes: bool = False) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, as_bytes: bool = False, broadcast_shards: int = BROADCAST_SHARDS) -> DataFrame:
     """Every document of a dataset: id, start (ids of all documents before it), n_tokens, ids. ``as_bytes`` gives the ids
-    as little-endian unsigned 32-bit integers in a binary value instead of an array."""
+    as little-endian unsigned 32-bit integers in a binary value instead of an array. Documents meet the start of their shard
+    by a broadcast of at most ``broadcast_shards`` rows, beyond that by a sort-merge join."""
     files = spark.read.format("binaryFile").load(f"{path}/shards").where("length > 0").select("content")
     head = spark.read.format("binaryFile").load(f"{path}/dictionary").where("length > 0").select("content").first()
     dictionary = bytes(head.content)[:-1] if head else b""
@@ -224,15 +234,16 @@ def read_shards(spark: SparkSession, path: str, as_bytes: bool = False) -> DataF
 
     kind = "binary" if as_bytes else "array<int>"
     rows = files.mapInArrow(run, f"shard bigint, id bigint, start bigint, n_tokens bigint, ids {kind}")
-    # one row of two numbers per shard file: a millionth of the data, and no more than the list of files that any scan
-    # holds on the driver
-    return rows.join(F.broadcast(shard_bases(spark, path)), "shard").select(
+    bases = materialise(shard_bases(spark, path), "shard-bases")
+    few = bases.count() <= broadcast_shards
+    return rows.join(F.broadcast(bases) if few else bases.hint("merge"), "shard").select(
         "id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids"
     )
 
 
-def shard_bases(spark: SparkSession, path: str) -> DataFrame:
-    """The number of ids in all shards before each one; a row per shard."""
+def shard_bases(spark: SparkSession, path: str, group: int = SHARD_GROUP) -> DataFrame:
+    """The number of ids in all shards before each one; a row per shard. Shards are added up in groups of so many first, and only
+    one row per group passes through one task."""
     files = spark.read.format("binaryFile").load(f"{path}/shards").where("length > 0").select("content")
 
     def run(batches):
@@ -243,7 +254,14 @@ def shard_bases(spark: SparkSession, path: str) -> DataFrame:
                 ["shard", "tokens"],
             )
 
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return files.mapInArrow(run, "shard bigint, tokens bigint").select(
-        "shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base")
+    sizes = materialise(files.mapInArrow(run, "shard bigint, tokens bigint"), "shard-sizes").withColumn(
+        "group", F.floor(F.col("shard") / group)
+    )
+    upto = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sizes.groupBy("group").agg(F.sum("tokens").alias("whole")).select(
+        "group", F.coalesce(F.sum("whole").over(upto), F.lit(0)).alias("before")
+    )
+    within = Window.partitionBy("group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.join(groups, "group").select(
+        "shard", (F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0))).alias("base")
     )
