@@ -125,29 +125,29 @@ def _by_supplier(files_df: DataFrame) -> DataFrame:
 
 @query
 def landing_listing(spark, sf_dir):
-    return _by_supplier(files.list_files(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*"))
+    return _by_supplier(files.list_files(spark, stage.supplier_files(spark, sf_dir, "plain"), "part-*"))
 
 
 @query
 def file_gate(spark, sf_dir):
-    listing = files.list_files(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*")
+    listing = files.list_files(spark, stage.supplier_files(spark, sf_dir, "plain"), "part-*")
     return _by_supplier(files.file_gate(listing, min_bytes=10))
 
 
 @query
 def file_md5(spark, sf_dir):
-    return _by_supplier(files.file_md5(spark, f"{stage.supplier_files(spark, sf_dir)}/plain", "part-*"))
+    return _by_supplier(files.file_md5(spark, stage.supplier_files(spark, sf_dir, "plain"), "part-*"))
 
 
 @query
 def file_utf8(spark, sf_dir):
-    return _by_supplier(files.file_utf8(spark, f"{stage.supplier_files(spark, sf_dir)}/marked", "part-*"))
+    return _by_supplier(files.file_utf8(spark, stage.supplier_files(spark, sf_dir, "marked"), "part-*"))
 
 
 @query
 def file_tree_digest(spark, sf_dir):
     """Blocks of 8 bytes and nodes of two children, so that small files have trees of several levels."""
-    folder = f"{stage.supplier_files(spark, sf_dir)}/plain"
+    folder = stage.supplier_files(spark, sf_dir, "plain")
     return _by_supplier(files.file_tree_digest(spark, folder, "part-*", block=8, fan=2))
 
 
@@ -155,7 +155,7 @@ def file_tree_digest(spark, sf_dir):
 def file_encoding(spark, sf_dir):
     """Files in seven encodings, told apart with pairs of characters learned from the documents; ranges of 16 bytes, so that most
     files are cut. Is the name more likely than not?"""
-    folder = f"{stage.supplier_files(spark, sf_dir)}/encoded"
+    folder = stage.supplier_files(spark, sf_dir, "encoded")
     listing = files.list_files(spark, folder, "part-*").select("path", "length")
     pairs = encodings.learn_pairs(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     found = encodings.detect_encodings(listing, encodings.likelihoods(spark, pairs), size=16)

@@ -14,6 +14,7 @@ from tripmart.operators.cleaning import standardise, trip_statistics
 from tripmart.plans.landing import keep_state, land_trips, landed_path, state_path, zone_state
 from tripmart.plans.rollups import build_rollups, scan_rollup
 from tripmart.plans.warehouse import build_warehouse
+from tripmart.sources.sinks import write_files
 from tripmart.sources.tables import scan_table, scan_trips
 from tripmart.workspace import new_path
 
@@ -21,7 +22,7 @@ LOAD_DATE = (2026, 4)
 
 _lock = RLock()
 _landed: dict[tuple[str, str], str] = {}
-_suppliers: dict[tuple[str, str], str] = {}
+_suppliers: dict[tuple[str, str, str], str] = {}
 _rollups: dict[tuple[str, str], str] = {}
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
 
@@ -69,30 +70,46 @@ def _encoded(keyed: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             names, lines = batch.column("kind").to_pylist(), batch.column("line").to_pylist()
-            # the writer ends a line with one byte: it gets another one in front, where units have two
+            # a line ends with one byte: it gets another one in front, where units have two
             half = {"utf-16-le": b" ", "utf-16-be": b"\0"}
             raw = [line.encode(name) + half.get(name, b"") for name, line in zip(names, lines, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("s_suppkey"), pa.array(raw, pa.binary())], ["s_suppkey", "line"])
 
     lines = keyed.select("s_suppkey", F.get(kind, nth).alias("kind"), F.concat_ws(" ", F.get(text, nth), "line").alias("line"))
-    return lines.mapInArrow(run, "s_suppkey bigint, line binary").withColumn("line", F.col("line").cast("string"))
+    return lines.mapInArrow(run, "s_suppkey bigint, line binary")
 
 
-def supplier_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one small file per supplier, its key in the path: ``csv`` for even keys, ``txt`` for odd ones; below
-    ``marked/`` another one, where every seventh file is not UTF-8."""
+#: Suppliers whose folders lie in one folder: no task lists more.
+SUPPLIERS_PER_FOLDER = 1000
+
+
+def supplier_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """A folder with one small file per supplier, its key in the path. ``plain``: ``csv`` for even keys, ``txt`` for odd ones;
+    ``marked``: text, where every seventh file is not UTF-8; ``encoded``: text in several encodings."""
     with _lock:
-        key = _key(spark, sf_dir)
+        key = (*_key(spark, sf_dir), kind)
         if key not in _suppliers:
-            base = new_path(spark, "suppliers")
-            suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.col("s_name").alias("line"))
-            keyed = suppliers.repartition("s_suppkey").sortWithinPartitions("s_suppkey")
-            keyed.where("s_suppkey % 2 = 0").write.partitionBy("s_suppkey").csv(f"{base}/plain/even")
-            keyed.where("s_suppkey % 2 <> 0").write.partitionBy("s_suppkey").text(f"{base}/plain/odd")
-            broken = F.concat(F.unhex(F.lit("FF")).cast("string"), "line")
-            marked = keyed.withColumn("line", F.when(F.col("s_suppkey") % 7 == 0, broken).otherwise(F.col("line")))
-            marked.write.partitionBy("s_suppkey").text(f"{base}/marked")
-            _encoded(keyed).write.partitionBy("s_suppkey").text(f"{base}/encoded")
+            base = f"{new_path(spark, 'suppliers')}/{kind}"
+            keyed = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", F.col("s_name").alias("line"))
+            as_text = F.coalesce(F.col("line"), F.lit("")).cast("binary")
+            if kind == "plain":
+                even, odd = keyed.where("s_suppkey % 2 = 0"), keyed.where("s_suppkey % 2 <> 0")
+                lines = even.select("s_suppkey", F.to_csv(F.struct("line")).cast("binary").alias("line")).unionAll(
+                    odd.select("s_suppkey", as_text.alias("line"))
+                )
+            elif kind == "marked":
+                broken = F.concat(F.unhex(F.lit("FF")), F.col("line").cast("binary"))
+                marked = F.coalesce(F.when(F.col("s_suppkey") % 7 == 0, broken).otherwise(as_text), as_text)
+                lines = keyed.select("s_suppkey", marked.alias("line"))
+            elif kind == "encoded":
+                lines = _encoded(keyed)
+            else:
+                raise ValueError(f"no files of kind {kind}")
+            name = F.coalesce(F.col("s_suppkey").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+            group = F.coalesce(F.floor(F.col("s_suppkey") / SUPPLIERS_PER_FOLDER), F.lit(0))
+            extension = F.when(F.lit(kind == "plain") & (F.col("s_suppkey") % 2 == 0), "csv").otherwise("txt")
+            path = F.concat(F.lit("group="), group, F.lit("/s_suppkey="), name, F.lit("/part-0."), extension)
+            write_files(lines.select(path.alias("path"), "line"), base)
             _suppliers[key] = base
         return _suppliers[key]
 

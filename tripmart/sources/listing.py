@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tripmart.workspace import materialise
 
 #: Folders that a task lists, files that a task opens, bytes that a task reads: about.
-FOLDERS_PER_TASK, FILES_PER_TASK, BYTES_PER_TASK = 64, 256, 64 << 20
+FOLDERS_PER_TASK, FILES_PER_TASK, BYTES_PER_TASK = 512, 1024, 64 << 20
 #: Bytes read at a time.
 STEP = 1 << 20
 _ENTRY = "path string, is_folder boolean, length bigint, modified_at timestamp"

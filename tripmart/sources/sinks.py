@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tripmart.sources.listing import opener, qualified
+
+#: Files that a task of ``write_files`` writes: about.
+FILES_PER_TASK = 1024
+
 
 def write_table(
     df: DataFrame,
@@ -52,6 +59,44 @@ def write_csv(df: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
+def write_files(lines: DataFrame, base: str) -> int:
+    """One file per ``path`` (below the base) that holds its ``line`` values, bytes, each ended by a line break; returns the number
+    of files. Tasks write them: a file appears under its name when it is complete, so a task that runs again replaces its own, and
+    the driver has no work per file, as it has when a partitioned write is committed. Lines of a file are in order of their bytes."""
+    spark = lines.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    root = qualified(spark, base)
+    tasks = max(1, -(-lines.count() // FILES_PER_TASK))
+
+    def run(batches):
+        files, inner = opener(root)
+        made, open_path, stream, n = set(), None, None, 0
+
+        def finish() -> None:
+            stream.close()
+            files.move(draft, f"{inner}/{open_path}")
+
+        for batch in batches:
+            for path, line in zip(batch.column("path").to_pylist(), batch.column("line").to_pylist(), strict=True):
+                if path != open_path:
+                    if stream is not None:
+                        finish()
+                    parent, _, name = f"{inner}/{path}".rpartition("/")
+                    if parent not in made:
+                        files.create_dir(parent)
+                        made = {parent}
+                    open_path, draft, n = path, f"{parent}/.{name}-{uuid.uuid4().hex}", n + 1
+                    stream = files.open_output_stream(draft)
+                stream.write(line + b"\n")
+        if stream is not None:
+            finish()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+
+    dealt = lines.select("path", "line").repartition(tasks, "path").sortWithinPartitions("path", "line")
+    return dealt.mapInArrow(run, "files bigint").agg(F.sum("files")).first()[0] or 0
+
+
 def land_batch(df: DataFrame, path: str, year: int, month: int) -> int:
     """Write a batch below ``year=/month=`` of its load date, replacing an earlier load of that month only. The month's
     own folder is overwritten, so an empty batch replaces too (it leaves a file without rows)."""
