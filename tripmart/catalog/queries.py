@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.catalog import stage
-from tripmart.catalog.trips import derived_trips
 from tripmart.operators import checks, cleaning, derivation, joins, modelling, ordering, profiling, quality, strategy
 from tripmart.plans import charts, incremental, landing, publish, reports, rollups, warehouse
 from tripmart.sources import encodings, files, sinks, tables
@@ -63,16 +62,19 @@ def schema_report(spark, sf_dir):
 def land_raw(spark, sf_dir):
     """One load date landed twice, another landed and then replaced by an empty batch."""
     zone = new_path(spark, "land")
-    trips = derived_trips(spark, sf_dir)
+    trips = _raw(spark, sf_dir)
     landing.land_trips(trips, zone, 2026, 4)
     landing.land_trips(trips, zone, 2026, 4)
     landing.land_trips(trips.limit(1000), zone, 2026, 5)
     landing.land_trips(trips.where(F.lit(False)), zone, 2026, 5)
     months = spark.createDataFrame([(2026, 4), (2026, 5)], "year int, month int")
-    return (
-        months.join(tables.scan_trips(spark, zone), ["year", "month"], "left")
-        .groupBy("year", "month")
-        .agg(F.count(_DROPOFF).alias("row_count"), F.count("fare_amount").alias("fares"))
+    # a row per month meets the months: all trips of a month would meet in one task
+    landed = tables.scan_trips(spark, zone).groupBy("year", "month").agg(
+        F.count(_DROPOFF).alias("row_count"), F.count("fare_amount").alias("fares")
+    )
+    none = F.lit(0).cast("bigint")
+    return months.join(landed, ["year", "month"], "left").select(
+        "year", "month", F.coalesce("row_count", none).alias("row_count"), F.coalesce("fares", none).alias("fares")
     )
 
 
@@ -80,7 +82,7 @@ def land_raw(spark, sf_dir):
 def land_drifted(spark, sf_dir):
     """Two months whose publishers differ in the case of a name and in types, scanned together."""
     zone = new_path(spark, "drift")
-    trips = derived_trips(spark, sf_dir)
+    trips = _raw(spark, sf_dir)
     landing.land_trips(trips, zone, 2026, 4)
     drifted = (
         trips.withColumnRenamed("airport_fee", "Airport_fee")

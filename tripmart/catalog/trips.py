@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 
 def derived_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw trip per order line. A join on the order key; adaptive execution splits a hot order."""
+    """One raw trip per order line. A sort-merge join on the order key, as both tables grow; adaptive execution splits a hot order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
+    ).hint("merge")
     k = F.col("k")
     price = F.col("l_extendedprice")
     nothing = F.lit(None).cast("double")
