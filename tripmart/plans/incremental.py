@@ -30,7 +30,7 @@ from tripmart.sources.tables import scan_trips
 _PICKUP = S.TIMESTAMP_COLUMNS[0]
 _FACT = "fact_month"
 _BOUNDS = ("fare_median", "distance_median", "fare_low", "fare_high")
-#: A month's ids begin here times its number: a job writes a month at a time, and numbers rows below this.
+#: A month's ids begin here times its number: a job numbers its rows below this.
 _IDS = 1 << 59
 
 
@@ -95,10 +95,18 @@ def take_in(batch: DataFrame, zone: str, warehouse: Published, year: int, month:
 
     def write(folder: str) -> dict[str, int]:
         rows = {}
-        for number in sorted(changed):
-            of_month = prepared_trips(trips.where(F.month(_PICKUP) == number), new)
-            numbered = lambda df, n=number: df.select((F.monotonically_increasing_id() + F.lit(n * _IDS)).alias("trip_id"), "*")
-            rows[f"{_FACT}={number}"] = write_table(M.fact_columns(of_month), f"{folder}/{_FACT}={number}", last_step=numbered)
+        if changed:  # all months by one scan of the zone
+            wanted = F.month(_PICKUP).isin(*changed)
+            of_months = M.fact_columns(prepared_trips(trips.where(wanted), new)).withColumn(_FACT, F.col("pickup_month"))
+            numbered = lambda df: df.select((F.monotonically_increasing_id() + F.col(_FACT) * F.lit(_IDS)).alias("trip_id"), "*")
+            write_table(of_months, folder, [_FACT], last_step=numbered)
+            there = spark.read.schema(f"{_FACT} int").parquet(folder)
+            counted = {r[_FACT]: r["count"] for r in there.groupBy(_FACT).count().collect()}  # twelve at most
+            for number in sorted(changed):
+                name = f"{_FACT}={number}"
+                rows[name] = counted.get(number, 0)
+                if not rows[name]:  # a month without rows has no folder yet
+                    write_table(spark.createDataFrame([], S.FACT_TRIPS), f"{folder}/{name}")
         written = [f"{folder}/{_FACT}={number}" for number in sorted(changed)]
         new_fact = spark.read.schema(S.FACT_TRIPS).parquet(*written) if written else spark.createDataFrame([], S.FACT_TRIPS)
         found = {
