@@ -23,14 +23,14 @@ def test_no_lines_leave_an_empty_folder(spark):
 
 
 def test_supplier_files_are_not_committed_one_by_one(spark, tmp_path, monkeypatch):
-    """Repeated keys share a file; null names are empty lines; no partitioned write, whose commit costs the driver a step per file."""
+    """Repeated keys share a file; a null name is an empty line of text and no line of CSV; no partitioned write, whose commit costs the driver a step per file."""
     from pyspark.sql.readwriter import DataFrameWriter
 
-    rows = [(2, "b"), (2, "a, c"), (3, None), (7, "x"), (1007, "y")]
+    rows = [(2, "b"), (2, "a, c"), (3, None), (4, None), (7, "x"), (1007, "y")]
     spark.createDataFrame(rows, "s_suppkey bigint, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
     monkeypatch.setattr(DataFrameWriter, "partitionBy", None)
     lengths = {r.s_suppkey: r.length for r in QUERIES["landing_listing"](spark, str(tmp_path)).collect()}
-    assert lengths == {2: 9, 3: 1, 7: 2, 1007: 2}
+    assert lengths == {2: 9, 3: 1, 4: 0, 7: 2, 1007: 2}
     bad = {r.s_suppkey: r.bad_lines for r in QUERIES["file_utf8"](spark, str(tmp_path)).collect()}
-    assert bad == {2: 0, 3: 0, 7: 1, 1007: 0}
+    assert bad == {2: 0, 3: 0, 4: 0, 7: 1, 1007: 0}
     assert set(os.listdir(stage.supplier_files(spark, str(tmp_path), "plain"))) == {"group=0", "group=1"}

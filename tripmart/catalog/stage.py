@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmart.catalog.trips import derived_trips
 from tripmart.operators.cleaning import standardise, trip_statistics
 from tripmart.plans.landing import keep_state, land_trips, landed_path, state_path, zone_state
-from tripmart.plans.rollups import build_rollups, scan_rollup
+from tripmart.plans.rollups import TOGETHER, build_rollups, grain_of, scan_rollup
 from tripmart.plans.warehouse import build_warehouse
 from tripmart.sources.sinks import write_files
 from tripmart.sources.tables import scan_table, scan_trips
@@ -23,7 +23,7 @@ LOAD_DATE = (2026, 4)
 _lock = RLock()
 _landed: dict[tuple[str, str], str] = {}
 _suppliers: dict[tuple[str, str, str], str] = {}
-_rollups: dict[tuple[str, str], str] = {}
+_rollups: dict[tuple[str, str, tuple[str, ...]], str] = {}
 _warehouses: dict[tuple[str, str], "Warehouse"] = {}
 
 
@@ -94,9 +94,9 @@ def supplier_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
             as_text = F.coalesce(F.col("line"), F.lit("")).cast("binary")
             if kind == "plain":
                 even, odd = keyed.where("s_suppkey % 2 = 0"), keyed.where("s_suppkey % 2 <> 0")
-                lines = even.select("s_suppkey", F.to_csv(F.struct("line")).cast("binary").alias("line")).unionAll(
-                    odd.select("s_suppkey", as_text.alias("line"))
-                )
+                # a CSV of one column has no line for a null
+                record = F.when(F.col("line").isNotNull(), F.to_csv(F.struct("line")).cast("binary"))
+                lines = even.select("s_suppkey", record.alias("line")).unionAll(odd.select("s_suppkey", as_text.alias("line")))
             elif kind == "marked":
                 broken = F.concat(F.unhex(F.lit("FF")), F.col("line").cast("binary"))
                 marked = F.coalesce(F.when(F.col("s_suppkey") % 7 == 0, broken).otherwise(as_text), as_text)
@@ -136,12 +136,14 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def rollup(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Partial aggregates of the fact that have these columns."""
+    """Partial aggregates of the fact that have these columns. Grains are written when a report first asks for one of those that are
+    filled together."""
+    together = next(group for group in TOGETHER if grain_of(*columns) in group)
     with _lock:
-        key = _key(spark, sf_dir)
+        key = (*_key(spark, sf_dir), together)
         if key not in _rollups:
             path = new_path(spark, "rollups")
-            build_rollups(table(spark, sf_dir, "fact_trips"), path)
+            build_rollups(table(spark, sf_dir, "fact_trips"), path, together)
             _rollups[key] = path
     return scan_rollup(spark, _rollups[key], *columns)
 

@@ -60,8 +60,8 @@ def write_csv(df: DataFrame, path: str) -> int:
 
 
 def write_files(lines: DataFrame, base: str) -> int:
-    """One file per ``path`` (below the base) that holds its ``line`` values, bytes, each ended by a line break; returns the number
-    of files. Tasks write them: a file appears under its name when it is complete, so a task that runs again replaces its own, and
+    """One file per ``path`` (below the base) that holds its ``line`` values, bytes, each ended by a line break (a null one adds nothing);
+    returns the number of files. Tasks write them: a file appears under its name when it is complete, so a task that runs again replaces its own, and
     the driver has no work per file, as it has when a partitioned write is committed. Lines of a file are in order of their bytes."""
     spark = lines.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(base)
@@ -88,7 +88,8 @@ def write_files(lines: DataFrame, base: str) -> int:
                         made = {parent}
                     open_path, draft, n = path, f"{parent}/.{name}-{uuid.uuid4().hex}", n + 1
                     stream = files.open_output_stream(draft)
-                stream.write(line + b"\n")
+                if line is not None:
+                    stream.write(line + b"\n")
         if stream is not None:
             finish()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
