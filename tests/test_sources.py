@@ -149,6 +149,19 @@ def test_utf8_check_covers_whole_files(spark, folder):
     assert {n for n, r in rows.items() if r["is_utf8"]} == {"good.csv", "empty.csv"}
 
 
+def test_few_folders_are_listed_by_many_tasks(spark, tmp_path):
+    """What a folder holds is not known before: four folders are not one task's."""
+    for i in range(4):
+        (tmp_path / str(i)).mkdir()
+        (tmp_path / str(i) / "x.csv").write_bytes(b"")
+    frame = type(spark.range(1))
+    seen, real = [], frame.repartition
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frame, "repartition", lambda self, n, *by: (seen.append(n), real(self, n, *by))[1])
+        assert files.list_files(spark, str(tmp_path)).count() == 4
+    assert seen == [1, 4]
+
+
 def test_gate_collects_every_failure_before_it_raises(spark, folder):
     listed = files.file_gate(files.list_files(spark, str(folder)), min_bytes=40)
     rows = spark.createDataFrame([("csv", 5, True), ("parquet", 0, False)], "format string, n bigint, readable boolean")

@@ -34,3 +34,13 @@ def test_supplier_files_are_not_committed_one_by_one(spark, tmp_path, monkeypatc
     bad = {r.s_suppkey: r.bad_lines for r in QUERIES["file_utf8"](spark, str(tmp_path)).collect()}
     assert bad == {2: 0, 3: 0, 4: 0, 7: 1, 1007: 0}
     assert set(os.listdir(stage.supplier_files(spark, str(tmp_path), "plain"))) == {"group=0", "group=1"}
+
+
+def test_no_folder_for_a_single_supplier(spark, tmp_path):
+    """A folder to a file is one more thing to make, to list and to delete for every supplier."""
+    spark.createDataFrame([(i, f"name {i}") for i in range(30)], "s_suppkey bigint, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    for name, kind in (("file_gate", "plain"), ("file_md5", "plain"), ("file_tree_digest", "plain"), ("file_utf8", "marked"), ("file_encoding", "encoded")):
+        folder = stage.supplier_files(spark, str(tmp_path), kind)
+        assert len([f for f in os.listdir(f"{folder}/group=0") if os.path.isfile(f"{folder}/group=0/{f}")]) == 30
+        if kind != "encoded":
+            assert sorted(r.s_suppkey for r in QUERIES[name](spark, str(tmp_path)).collect()) == list(range(30))

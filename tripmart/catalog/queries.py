@@ -121,7 +121,7 @@ def csv_sample(spark, sf_dir):
 
 
 def _by_supplier(files_df: DataFrame) -> DataFrame:
-    key = F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey")
+    key = F.regexp_extract("path", r"/part-s_suppkey=([0-9]+)\.[a-z]+$", 1).cast("bigint").alias("s_suppkey")
     return files_df.select(key, *[c for c in files_df.columns if c not in ("path", "modified_at")])
 
 

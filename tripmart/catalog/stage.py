@@ -79,12 +79,12 @@ def _encoded(keyed: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "s_suppkey bigint, line binary")
 
 
-#: Suppliers whose folders lie in one folder: no task lists more.
+#: Suppliers whose files lie in one folder: the task that lists it meets no more.
 SUPPLIERS_PER_FOLDER = 1000
 
 
 def supplier_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
-    """A folder with one small file per supplier, its key in the path. ``plain``: ``csv`` for even keys, ``txt`` for odd ones;
+    """A folder with one small file per supplier, its key in the name. ``plain``: ``csv`` for even keys, ``txt`` for odd ones;
     ``marked``: text, where every seventh file is not UTF-8; ``encoded``: text in several encodings."""
     with _lock:
         key = (*_key(spark, sf_dir), kind)
@@ -108,7 +108,7 @@ def supplier_files(spark: SparkSession, sf_dir: str, kind: str) -> str:
             name = F.coalesce(F.col("s_suppkey").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
             group = F.coalesce(F.floor(F.col("s_suppkey") / SUPPLIERS_PER_FOLDER), F.lit(0))
             extension = F.when(F.lit(kind == "plain") & (F.col("s_suppkey") % 2 == 0), "csv").otherwise("txt")
-            path = F.concat(F.lit("group="), group, F.lit("/s_suppkey="), name, F.lit("/part-0."), extension)
+            path = F.concat(F.lit("group="), group, F.lit("/part-s_suppkey="), name, F.lit("."), extension)
             write_files(lines.select(path.alias("path"), "line"), base)
             _suppliers[key] = base
         return _suppliers[key]

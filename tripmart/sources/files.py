@@ -34,7 +34,7 @@ def file_gate(
     min_bytes: int = S.MIN_FILE_BYTES,
 ) -> DataFrame:
     """Per file: is the extension allowed, is it large enough, and both."""
-    extension = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    extension = F.lower(F.regexp_extract(F.substring_index("path", "/", -1), r"\.([^./]+)$", 1))
     return listing.select(
         "path",
         extension.alias("extension"),

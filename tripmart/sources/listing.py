@@ -101,7 +101,9 @@ def walk(spark: SparkSession, path: str) -> DataFrame:
     """``path, length, modified_at`` of every file below a path, empty ones included."""
     folders, n, levels = spark.createDataFrame([(qualified(spark, path),)], "path string"), 1, []
     while n:
-        shared = folders.repartition(-(-n // FOLDERS_PER_TASK), "path")
+        # what a few folders hold is not known: they go to as many tasks as run at once
+        tasks = max(-(-n // FOLDERS_PER_TASK), min(n, spark.sparkContext.defaultParallelism))
+        shared = folders.repartition(tasks, "path")
         level = materialise(shared.mapInArrow(_listed, _ENTRY), "entries")
         levels.append(level.where("NOT is_folder").drop("is_folder"))
         folders = level.where("is_folder").select("path")
@@ -124,7 +126,7 @@ def matches(path: Column, pattern: str) -> Column:
         else:
             out += {"*": ".*", "?": "."}.get(c) or re.escape(c)
         at += 1
-    return F.regexp_extract(path, "[^/]*$", 0).rlike(f"^(?:{out})$")
+    return F.substring_index(path, "/", -1).rlike(f"^(?:{out})$")
 
 
 def spread(files: DataFrame, rows: DataFrame) -> DataFrame:
