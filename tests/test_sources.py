@@ -8,7 +8,7 @@ from tests.conftest import plan_of
 from tripmart import schemas as S
 from tripmart.operators import checks
 from tripmart.plans.landing import land_trips, landing_gate
-from tripmart.sources import encodings, files, sinks, tables
+from tripmart.sources import encodings, files, listing, sinks, tables
 from tripmart.workspace import new_path, shared_root
 
 
@@ -149,6 +149,12 @@ def test_utf8_check_covers_whole_files(spark, folder):
     assert {n for n, r in rows.items() if r["is_utf8"]} == {"good.csv", "empty.csv"}
 
 
+def test_neighbouring_ranges_share_an_open_file(spark, folder):
+    listed = files.list_files(spark, str(folder), "big.JSON").select("path", "length")
+    rows = listing.read_ranges(listing.spread(listed, listing.ranges(listed, 100)), lambda file, row: (file.tell(), file.read(100))[0], "at", "bigint")
+    assert {r.number: r.at for r in rows.collect()} == {i: 100 * i for i in range(10)}
+
+
 def test_few_folders_are_listed_by_many_tasks(spark, tmp_path):
     """What a folder holds is not known before: four folders are not one task's."""
     for i in range(4):

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
 from functools import reduce
 
 import pyarrow as pa
@@ -25,6 +26,8 @@ from tripmart.workspace import materialise
 
 #: Folders that a task lists, files that a task opens, bytes that a task reads: about.
 FOLDERS_PER_TASK, FILES_PER_TASK, BYTES_PER_TASK = 512, 1024, 64 << 20
+#: Ranges of a file that one task reads one after the other, opening it once: so many, and so many bytes, at most about.
+RANGES_TOGETHER, BYTES_TOGETHER = 1024, 16 << 20
 #: Bytes read at a time.
 STEP = 1 << 20
 _ENTRY = "path string, is_folder boolean, length bigint, modified_at timestamp"
@@ -130,10 +133,15 @@ def matches(path: Column, pattern: str) -> Column:
 
 
 def spread(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of files or of their ranges dealt over tasks by the bytes and the number of the files."""
+    """Rows of files or of their ranges dealt over tasks by the bytes and the number of the files. Neighbouring ranges of a file stay
+    together, up to a bound, in their order."""
     size = files.agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     tasks = max(1, -(-(size.bytes or 0) // BYTES_PER_TASK), -(-size.n // FILES_PER_TASK))
-    return rows.repartition(tasks, *[F.col(c) for c in ("path", "number") if c in rows.columns])
+    if "number" not in rows.columns:
+        return rows.repartition(tasks, "path")
+    by_bytes = F.floor(F.col("number") * F.col("length") / F.col("ranges") / BYTES_TOGETHER)
+    together = F.greatest(by_bytes, F.floor(F.col("number") / RANGES_TOGETHER))
+    return rows.repartition(tasks, "path", together).sortWithinPartitions("path", "number")
 
 
 def ranges(files: DataFrame, size: int) -> DataFrame:
@@ -154,20 +162,25 @@ def pieces_of(file, start: int, end: int, step: int = STEP) -> Iterator[bytes]:
 
 
 def read_ranges(rows: DataFrame, work: Callable, result: str, schema: str) -> DataFrame:
-    """For every row (with a path) the value that ``work(open file, row)`` makes of it, as a column; the others stay."""
+    """For every row (with a path) the value that ``work(open file, row)`` makes of it, as a column; the others stay. Rows of one path
+    that follow each other share an open file."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(StructType.fromDDL(f"x {schema}")["x"].dataType)
 
     def run(batches):
-        for batch in batches:
-            values = []
-            for row in batch.to_pylist():
-                files, path = opener(row["path"])
-                with files.open_input_file(path) as file:
+        with ExitStack() as held:
+            opened, file = None, None
+            for batch in batches:
+                values = []
+                for row in batch.to_pylist():
+                    if row["path"] != opened:
+                        held.close()
+                        files, path = opener(row["path"])
+                        opened, file = row["path"], held.enter_context(files.open_input_file(path))
                     values.append(work(file, row))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, kind)], [*batch.schema.names, result])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, kind)], [*batch.schema.names, result])
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(run, f"{names}, {result} {schema}")
