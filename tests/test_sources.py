@@ -1,3 +1,5 @@
+import bz2
+import gzip
 import hashlib
 import random
 from urllib.parse import unquote
@@ -149,6 +151,26 @@ def test_utf8_check_covers_whole_files(spark, folder):
     assert {n for n, r in rows.items() if r["is_utf8"]} == {"good.csv", "empty.csv"}
 
 
+@pytest.mark.parametrize("size", [3, 10, 1 << 20])
+def test_utf8_lines_however_a_file_is_cut(spark, tmp_path, monkeypatch, size):
+    """Lines with all ends, across ranges and packed, are checked by tasks; Spark's text source would list every name on the driver."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    draw, wanted = random.Random(5), {}
+    parts = [b"a", "é".encode(), "😀".encode(), b"\xff", b"\xe2\x82", b"\n", b"\r", b"\r\n"]
+    for i in range(80):
+        content = b"".join(draw.choices(parts, k=draw.randrange(0, 30)))
+        (tmp_path / f"{i}.txt").write_bytes(content)
+        wanted[f"{i}.txt"] = sum(line.decode(errors="replace").encode() != line for line in content.replace(b"\r", b"\n").split(b"\n"))
+    for name, pack in (("p.gz", gzip.compress), ("p.bz2", bz2.compress)):
+        (tmp_path / name).write_bytes(pack(b"a\n\xff\nb\n\xc0") * 2)
+        wanted[name] = 4
+    monkeypatch.setattr(DataFrameReader, "text", lambda *_: pytest.fail("names on the driver"))
+    rows = by_name(files.file_utf8(spark, str(tmp_path), None, size=size))
+    assert {n: r["bad_lines"] for n, r in rows.items()} == wanted and 10 < sum(wanted.values())
+    assert all(r["is_utf8"] == (r["bad_lines"] == 0) for r in rows.values())
+
+
 def test_neighbouring_ranges_share_an_open_file(spark, folder):
     listed = files.list_files(spark, str(folder), "big.JSON").select("path", "length")
     rows = listing.read_ranges(listing.spread(listed, listing.ranges(listed, 100)), lambda file, row: (file.tell(), file.read(100))[0], "at", "bigint")

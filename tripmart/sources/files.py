@@ -6,19 +6,30 @@ bytes are part of it. Contents are read where the data is, in ranges or in steps
 
 from __future__ import annotations
 
+import bz2
+import gzip
 import hashlib
 import math
+import re
+from codecs import getincrementaldecoder
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas as S
 from tripmart.sources.encodings import detect_encodings, likelihoods
-from tripmart.sources.listing import matches, pieces_of, ranges, read_ranges, spread, walk
+from tripmart.sources.listing import STEP, matches, pieces_of, ranges, read_ranges, spread, walk
 from tripmart.workspace import materialise
 
 #: Bytes of a block in a file's tree of digests, and children of a node.
 TREE_BLOCK, TREE_FAN = 16 << 20, 256
+#: Bytes of a range of a text file.
+TEXT_RANGE = 16 << 20
+_BREAK = re.compile(rb"[\r\n]")
+#: What reads a packed file, by its extension.
+_UNPACK = {"gz": lambda file: gzip.GzipFile(fileobj=file), "bz2": bz2.BZ2File, "zst": lambda file: pa.CompressedInputStream(file, "zstd")}
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -109,29 +120,78 @@ def file_encoding(
     return detect_encodings(list_files(spark, path, pattern).select("path", "length"), likelihoods(spark, pairs))
 
 
-def _uri() -> Column:
-    """The file of a row as the listing names it."""
-    plain = F.regexp_replace("_metadata.file_path", r"\+", "%2B")
-    return F.url_decode(F.regexp_replace(plain, "^file:/+", "file:///")).alias("path")
+def _is_utf8(content: bytes) -> bool:
+    try:
+        content.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def _lines_in(file, start: int, end: int, length: int) -> Iterator[bytes]:
+    """The bytes of the lines that begin in a range of a file, some at a time; the last line may go on beyond it."""
+    inside = start == 0
+    for piece in pieces_of(file, max(start - 1, 0), end - 1):
+        if not inside:
+            found = _BREAK.search(piece)
+            if not found:
+                continue
+            piece, inside = piece[found.end() :], True
+        yield piece
+    if inside:
+        for piece in pieces_of(file, max(end - 1, 0), length):
+            found = _BREAK.search(piece)
+            yield piece[: found.start()] if found else piece
+            if found:
+                return
+
+
+def _bad_lines(pieces: Iterable[bytes]) -> int:
+    """How many lines are not UTF-8; a line may go over any number of pieces. Line feeds and carriage returns end lines."""
+    decoder, broken, bad = getincrementaldecoder("utf-8")(), False, 0
+
+    def is_broken(part: bytes, ends: bool) -> bool:
+        try:
+            decoder.decode(part, ends)
+        except UnicodeDecodeError:
+            return True
+        return False
+
+    for piece in pieces:
+        piece = piece.replace(b"\r", b"\n")
+        first, last = piece.find(b"\n"), piece.rfind(b"\n")
+        if first < 0:
+            broken = broken or is_broken(piece, False)
+            continue
+        bad += broken or is_broken(piece[:first], True)
+        decoder.reset()
+        whole = piece[first + 1 : last]
+        bad += 0 if _is_utf8(whole) else sum(not _is_utf8(line) for line in whole.split(b"\n"))
+        broken = is_broken(piece[last + 1 :], False)
+    return bad + (broken or is_broken(b"", True))
+
+
+def _bad_lines_of(size: int):
+    def run(file, row) -> int:
+        unpack = _UNPACK.get(row["path"].rpartition(".")[2])
+        if unpack:
+            with unpack(file) as content:
+                return _bad_lines(iter(lambda: content.read(STEP), b""))
+        start = row["number"] * size
+        return _bad_lines(_lines_in(file, start, min(start + size, row["length"]), row["length"]))
+
+    return run
 
 
-def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv") -> DataFrame:
-    """``path, length, bad_lines, is_utf8``: UTF-8 validity of whole text files.
+def file_utf8(spark: SparkSession, path: str, pattern: str | None = "*.csv", size: int = TEXT_RANGE) -> DataFrame:
+    """``path, length, bad_lines, is_utf8``: UTF-8 validity of whole text files, read in ranges of ``size`` bytes.
 
     A line break is never part of a multi-byte sequence, so a file is valid exactly if its lines are; large files are
-    therefore split over tasks. Empty files are valid.
+    therefore split over tasks: a range has the lines that begin in it. Empty files are valid. Files ending in gz, bz2 and zst are
+    unpacked by one task each.
     """
-    listing = list_files(spark, path, pattern).select("path", "length")
-    lines = spark.read.option("recursiveFileLookup", True)
-    if pattern:
-        lines = lines.option("pathGlobFilter", pattern)
-    bad = (
-        lines.text(path)
-        .where(~F.is_valid_utf8("value"))
-        .groupBy(_uri())
-        .agg(F.count(F.lit(1)).alias("bad_lines"))
-    )
-    bad_lines = F.coalesce(F.col("bad_lines"), F.lit(0).cast("bigint"))
-    return listing.join(bad, "path", "left").select(
-        "path", "length", bad_lines.alias("bad_lines"), (bad_lines == 0).alias("is_utf8")
-    )
+    files = list_files(spark, path, pattern).select("path", "length")
+    packed = F.substring_index("path", ".", -1).isin(*_UNPACK)
+    rows = ranges(files, F.when(packed, F.lit(1 << 62)).otherwise(F.lit(size)))
+    read = read_ranges(spread(files, rows), _bad_lines_of(size), "bad", "bigint")
+    return read.groupBy("path", "length").agg(F.sum("bad").alias("bad_lines")).withColumn("is_utf8", F.col("bad_lines") == 0)

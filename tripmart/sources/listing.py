@@ -144,7 +144,7 @@ def spread(files: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, "path", together).sortWithinPartitions("path", "number")
 
 
-def ranges(files: DataFrame, size: int) -> DataFrame:
+def ranges(files: DataFrame, size: int | Column) -> DataFrame:
     """``path, length, number, ranges``: a row per range of ``size`` bytes; an empty file has one, of no bytes."""
     count = F.greatest(F.ceil(F.col("length") / F.lit(size)), F.lit(1)).cast("bigint").alias("ranges")
     return files.select("path", "length", count).withColumn("number", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ranges") - 1)))
