@@ -3,7 +3,7 @@ from collections import defaultdict
 import pytest
 
 from tests.llm.conftest import ROWS
-from tripmart.llm import curriculum
+from tripmart.llm import catalog, curriculum
 
 
 def water(sizes, weights, share, repeat):
@@ -79,3 +79,21 @@ def test_documents_without_id_keep_to_the_target(spark):
     found = [r for r in mixed if r.source == "s"]
     assert planned["s"] == len(found) < 2 * 200
     assert len({r.training_position for r in found}) == len(found)
+
+
+def test_query_counts_what_the_mix_holds(spark, tmp_path, monkeypatch):
+    """The schedule decides where a copy stands: of half the training time, the query shows half the words. Null and repeated ids, repeated
+    rows and null sources are in the mix as planned."""
+    rows = [(i if i % 7 else None, f"w {i % 5 * 'w '}n{i}", "abc"[i % 3]) for i in range(600)]
+    rows += [(i, "x y z", None) for i in range(40)] * 2 + [(5000, "a b c", "a")] * 9 + [(5000, "d e f", "a")] * 8 + [(5001, None, "b")] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    columns = ["size", "source_size", "target", "taken", "copies"]
+    bag = lambda df: sorted(df.collect(), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
+    wanted = bag(curriculum.plan(docs).select("id", *columns))
+    whole = bag(catalog.op10_curriculum_mix(spark, str(tmp_path)).select("doc_id", *columns))
+    assert [tuple(r) for r in whole] == [tuple(r) for r in wanted] and len({r.copies for r in whole}) > 1
+    arranged = curriculum.arranged
+    monkeypatch.setattr(curriculum, "arranged", lambda *a, **k: arranged(*a, **k).where("training_position < 0.5"))
+    half = bag(catalog.op10_curriculum_mix(spark, str(tmp_path)))
+    assert len(half) == len(whole) and 0.3 < sum(r.taken for r in half) / sum(r.taken for r in whole) < 0.8

@@ -155,8 +155,30 @@ def op9_digest_index(spark, sf_dir):
 
 @query
 def op10_curriculum_mix(spark, sf_dir):
-    return curriculum.plan(_table(spark, sf_dir, "documents")).select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies"
+    """The mix is written in the order of training; what it holds of each document is counted in it. Documents of one id, source and
+    size, as repeated rows are, have the same row but for the copies: the nth has one more for each copy that n of them have."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text", curriculum.words(F.col("text")).alias("size"))
+    planned = materialise(curriculum.plan(docs), "mix-plan")
+    mixed = materialise(curriculum.arranged(docs, planned=planned).drop("text"), "mix")
+    alike = ["doc_id", "source", "size"]
+    wanted = planned.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target")
+    held = mixed.select(*alike, "training_copy")
+    counted = (
+        wanted.unionByName(held, allowMissingColumns=True)
+        .groupBy(*alike, "training_copy")
+        .agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.count(F.lit(1)).alias("n"))
+        .groupBy(*alike)
+        .agg(
+            F.max("source_size").alias("source_size"),
+            F.max("target").alias("target"),
+            F.max(F.when(F.col("training_copy").isNull(), F.col("n"))).alias("rows"),
+            F.collect_list(F.when(F.col("training_copy").isNotNull(), F.col("n"))).alias("having"),
+        )
+    )
+    each = counted.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "rows")))
+    copies = F.size(F.filter("having", lambda n: n >= F.col("nth")))
+    return each.withColumn("copies", copies).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
     )
 
 

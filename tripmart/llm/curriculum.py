@@ -121,13 +121,12 @@ def plan(
     seed: int = SEED,
 ) -> DataFrame:
     """One row per document: id, source, order_key, size, source_size, target, copies, taken (words), positions (one
-    per copy, ascending)."""
+    per copy, ascending), hash_a and hash_b (of the document; they order rows of one key, id and size)."""
     key = _order_key(F.col(id_col), seed)
-    return _plan(docs, id_col, text_col, source_col, weights, shapes, share, repeat, key).drop("hash_a", "hash_b")
+    return _plan(docs, id_col, text_col, source_col, weights, shapes, share, repeat, key)
 
 
 def _plan(docs, id_col, text_col, source_col, weights, shapes, share, repeat, order_key: Column) -> DataFrame:
-    """The rows of ``plan`` with the hashes of the document, which order rows of one key, id and size."""
     hashes = _row_hashes(F.col(id_col), F.col(source_col), F.col(text_col))
     sized = docs.select(
         F.col(id_col).alias("id"),
@@ -197,14 +196,16 @@ def arranged(
     share: float = SHARE,
     repeat: int = REPEAT,
     seed: int = SEED,
+    planned: DataFrame | None = None,
 ) -> DataFrame:
     """The mixed documents in the order of training: a row per copy, range-sorted by ``training_position``. As planned,
     but rows without id are ordered by a hash of their text, so they stand all over their source. Of repeated rows each
-    has positions of its own."""
+    has positions of its own. ``planned``: a plan of these documents, which then holds as it is."""
     key = _order_key(F.col(id_col), seed, F.concat(F.lit("null:"), F.coalesce(F.md5(text_col), F.lit("null"))))
+    if planned is None:
+        planned = _plan(docs, id_col, text_col, source_col, weights, shapes, share, repeat, key)
     places = materialise(
-        _plan(docs, id_col, text_col, source_col, weights, shapes, share, repeat, key)
-        .where("copies > 0")
+        planned.where("copies > 0")
         .groupBy(F.col("hash_a").alias("_a"), F.col("hash_b").alias("_b"))
         .agg(F.sort_array(F.collect_list("positions")).alias("_places")),
         "places",
