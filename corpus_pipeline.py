@@ -64,7 +64,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of the text they decode to; null and empty texts have no ids. Repeated rows are encoded one by
     one. An empty table gives an empty one."""
     content = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), content), content)
+    decoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), content)
     return decoded.select(
         "doc_id",
         "lang",

@@ -121,6 +121,15 @@ def test_tricky(tricky, nothing, content, library):
     assert bpe.decode(bpe.encode(nothing, content), content).count() == 0
 
 
+def test_round_trip(tricky, nothing, content):
+    apart, at_once = bpe.decode(bpe.encode(tricky, content), content), bpe.round_trip(tricky, content)
+    assert at_once.schema == apart.schema
+    rows = sorted(map(repr, apart.collect()))
+    assert sorted(map(repr, at_once.collect())) == rows and len(rows) == len(ROWS)
+    assert bpe.round_trip(tricky, content, ids="decoded", decoded="text").columns[-2:] == ["decoded", "text"]
+    assert bpe.round_trip(nothing, content).count() == 0
+
+
 def test_frequent_words(spark):
     counts = spark.createDataFrame([(f"w{i}", 1 + 1000 // (i + 1)) for i in range(300)], "word string, n bigint")
     for room in (0, 1, 10, 100, 1_000):

@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.test_line_dedup import brute as without_repeats
 from tests.llm.test_simhash import brute_components, brute_print
-from tripmart.llm import curriculum
+from tripmart.llm import catalog, curriculum
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +46,12 @@ def test_each_stage_takes_effect(steps):
         assert r.ids == library.encode(texts[r.doc_id], add_special_tokens=False).ids and r.n_tokens == len(r.ids)
 
 
+def test_one_python_worker_a_task(spark, docs, sf_dir):
+    """Encoding and decoding in workers of their own took an executor above its memory."""
+    for out in (corpus_pipeline.tokens(spark, docs, sf_dir), catalog.QUERIES["op3_bpe_lexicon"](spark, sf_dir)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_run(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() > 0 and {"doc_id", "ids", "n_tokens"} <= set(rows.columns)

@@ -109,9 +109,8 @@ def _speller(content: bytes, name: str) -> Speller:
     return Speller(vocabulary, by_words(vocabulary, known))
 
 
-def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "ids", lexicon: str | None = None) -> DataFrame:
-    """The documents with the ids of each text in place of the text."""
-    name = lexicon or build_lexicon(docs, content, text_col)
+def _encoder(content: bytes, name: str, text_col: str, out: str):
+    """A task: batches with the ids of each text in place of the text."""
 
     def run(batches):
         speller = _speller(content, name)
@@ -119,14 +118,11 @@ def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "
             rest = batch.select([n for n in batch.schema.names if n != text_col])
             yield with_columns(rest, **{out: speller.spell(batch.column(text_col).to_pylist())})
 
-    return docs.mapInArrow(run, schema_with(docs.drop(text_col), **{out: "array<int>"}))
+    return run
 
 
-def decode(encoded: DataFrame, content: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """The rows with the text of each id list: the tokens, word-end marks included, joined by a blank, as a file without
-    a decoder prescribes. A null list decodes to empty text."""
-
-    spelling = _vocabulary(content).tokens  # all that decoding needs of the file, sent along
+def _decoder(spelling: list[str], ids_col: str, out: str):
+    """A task: batches with the text of each id list."""
 
     def run(batches):
         tokens = pa.array(spelling, pa.string())
@@ -139,4 +135,31 @@ def decode(encoded: DataFrame, content: bytes, ids_col: str = "ids", out: str =
                 spelled = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), tokens.take(pc.list_flatten(lists)))
                 yield with_columns(part, **{out: pc.binary_join(spelled, " ")})
 
-    return encoded.mapInArrow(run, schema_with(encoded, **{out: "string"}))
+    return run
+
+
+def encode(docs: DataFrame, content: bytes, text_col: str = "text", out: str = "ids", lexicon: str | None = None) -> DataFrame:
+    """The documents with the ids of each text in place of the text."""
+    name = lexicon or build_lexicon(docs, content, text_col)
+    return docs.mapInArrow(_encoder(content, name, text_col, out), schema_with(docs.drop(text_col), **{out: "array<int>"}))
+
+
+def decode(encoded: DataFrame, content: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """The rows with the text of each id list: the tokens, word-end marks included, joined by a blank, as a file without
+    a decoder prescribes. A null list decodes to empty text."""
+    spelling = _vocabulary(content).tokens  # all that decoding needs of the file, sent along
+    return encoded.mapInArrow(_decoder(spelling, ids_col, out), schema_with(encoded, **{out: "string"}))
+
+
+def round_trip(
+    docs: DataFrame, content: bytes, text_col: str = "text", ids: str = "ids", decoded: str = "decoded", lexicon: str | None = None
+) -> DataFrame:
+    """``decode`` of ``encode``, by one Python worker a task, where the two by themselves hold one each: ids are decoded where they
+    are made."""
+    name = lexicon or build_lexicon(docs, content, text_col)
+    encoder = _encoder(content, name, text_col, ids)
+
+    def run(batches):
+        yield from _decoder(_vocabulary(content).tokens, ids, decoded)(encoder(batches))
+
+    return docs.mapInArrow(run, schema_with(docs.drop(text_col), **{ids: "array<int>", decoded: "string"}))

@@ -83,7 +83,7 @@ def op2_toxicity_grammar(spark, sf_dir):
 def op3_bpe_lexicon(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     content = bpe.read_vocabulary(VOCABULARY)
-    decoded = bpe.decode(bpe.encode(docs, content), content)
+    decoded = bpe.round_trip(docs, content)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
